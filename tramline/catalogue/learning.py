@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
+from tramline.catalogue import text as text_queries
 from tramline.catalogue import views
 from tramline.functions import text
 from tramline.operators import classify, features, vocabulary
@@ -162,7 +163,7 @@ def ml_model_metrics(spark, sf):
 
 def ml_score_confidence(spark, sf):
     scored = classify.with_confidence(_trained(spark, sf, "naive_bayes"))
-    return scored.select("id", "predicted_cause", "confidence")
+    return scored.select("id", "predicted_cause", F.round("confidence", 4).alias("confidence"))
 
 
 def ml_sample_predictions(spark, sf):
@@ -202,14 +203,16 @@ def stop_word_list() -> list[str]:
         return archive.read(entry).decode("utf-8").split()
 
 
-def _terms_sql():
+def _terms_sql(fitted_on="TRUE"):
+    """Words without stop words, and the vocabulary of the rows that `fitted_on` holds for."""
     stops = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_word_list())
     return f"""{views.CLEAN_SQL},
-filtered AS (SELECT *, list_filter(words, lambda w: w NOT IN ({stops})) AS kept FROM worded),
-terms AS (SELECT id, unnest(kept) AS term FROM filtered),
-counts AS (SELECT id, term, count(*) AS n FROM terms GROUP BY 1, 2),
+filtered AS (
+  SELECT *, list_filter(words, lambda w: w NOT IN ({stops})) AS kept, {fitted_on} AS fitted FROM worded),
+terms AS (SELECT id, fitted, unnest(kept) AS term FROM filtered),
+counts AS (SELECT id, fitted, term, count(*) AS n FROM terms GROUP BY 1, 2, 3),
 vocabulary AS (
-  SELECT term, CAST(sum(n) AS BIGINT) AS tf, count(*) AS df FROM counts
+  SELECT term, CAST(sum(n) AS BIGINT) AS tf, count(*) AS df FROM counts WHERE fitted
   GROUP BY 1 HAVING count(*) >= {fv.VOCABULARY_MIN_DF}
   ORDER BY tf DESC, term LIMIT {fv.VOCABULARY_SIZE})"""
 
@@ -240,8 +243,60 @@ def _in_share_sql(key, share, purpose):
     return f"CAST('0x' || {digits} AS BIGINT) < {int(share * 2**32)}"
 
 
+def _bayes_sql():
+    """Multinomial naive Bayes with add-one smoothing over the same features in long form:
+    (message, feature, value), values of 0 left out."""
+    in_train = _in_share_sql("doc_id", fv.TRAIN_SHARE, "split")
+    numeric = "\n  UNION ALL ".join(
+        f"SELECT id, 'n:{c}', {'greatest(display_duration_hours, 0)' if c == 'display_duration_hours' else c}"
+        " FROM rows"
+        for c in fv.NUMERIC_FEATURES
+    )
+    return f"""WITH {_terms_sql(in_train)},
+built AS ({text_queries.FEATURES_SQL}),
+rows AS (SELECT built.*, fitted FROM built JOIN filtered USING (id) WHERE built."end" IS NOT NULL),
+{_index_sql("cause", "(SELECT built.cause FROM built JOIN filtered USING (id) WHERE fitted)")},
+known AS (
+  SELECT id, fitted, rows.cause, coalesce(position, (SELECT count(*) FROM cause_ranks)) AS class
+  FROM rows LEFT JOIN cause_ranks USING (cause)),
+x(id, feature, value) AS (
+  SELECT id, 't:' || term,
+         n * ln(((SELECT count(*) FROM filtered WHERE fitted) + 1.0) / (df + 1.0))
+  FROM counts JOIN vocabulary USING (term)
+  UNION ALL SELECT id, 'p:' || pattern, 1 FROM rows
+    WHERE pattern IN (SELECT built.pattern FROM built JOIN filtered USING (id) WHERE fitted)
+  UNION ALL SELECT id, 'l:' || message_length_category, 1 FROM rows
+    WHERE message_length_category IN (
+      SELECT message_length_category FROM built JOIN filtered USING (id) WHERE fitted)
+  UNION ALL {numeric}),
+width AS (
+  SELECT (SELECT count(*) FROM vocabulary) + {len(fv.NUMERIC_FEATURES)}
+         + (SELECT count(DISTINCT built.pattern) FROM built JOIN filtered USING (id) WHERE fitted)
+         + (SELECT count(DISTINCT message_length_category) FROM built JOIN filtered USING (id) WHERE fitted) AS w),
+sums AS (
+  SELECT class, feature, sum(value) AS s FROM x JOIN known USING (id) WHERE fitted GROUP BY 1, 2),
+classes AS (
+  SELECT class, ln(n + 1.0) - ln((SELECT count(*) FROM known WHERE fitted) + count(*) OVER ()) AS prior,
+         ln((SELECT sum(s) FROM sums WHERE sums.class = sizes.class) + w) AS norm
+  FROM (SELECT class, count(*) AS n FROM known WHERE fitted GROUP BY 1) AS sizes, width),
+scores AS (
+  SELECT id, classes.class AS class,
+         any_value(prior) + sum(value * (coalesce(ln(s + 1.0), 0) - norm)) AS score
+  FROM x JOIN known USING (id) CROSS JOIN classes
+         LEFT JOIN sums ON sums.class = classes.class AND sums.feature = x.feature
+  WHERE NOT fitted GROUP BY 1, 2),
+best AS (
+  SELECT id, arg_max(class, score) AS class, max(score) AS top FROM scores GROUP BY 1),
+answers AS (
+  SELECT best.id AS id, best.class AS class, any_value(cause_ranks.cause) AS predicted_cause,
+         100 / sum(exp(score - top)) AS confidence
+  FROM best JOIN scores USING (id) LEFT JOIN cause_ranks ON cause_ranks.position = best.class
+  GROUP BY 1, 2)"""
+
+
 def oracles():
     terms = _terms_sql()
+    bayes = _bayes_sql()
     numeric = len(fv.NUMERIC_FEATURES)
     side = f"CASE WHEN {_in_share_sql('doc_id', fv.TRAIN_SHARE, 'split')} THEN 'train' ELSE 'test' END AS side"
     return {
@@ -275,6 +330,14 @@ widths AS (
 SELECT id, CAST(width AS INTEGER) AS width FROM messages, widths WHERE "end" IS NOT NULL""",
         "ml_train_test_split": f"SELECT CAST(doc_id AS VARCHAR) AS id, {side} FROM documents",
         "split_counts": f"SELECT {side}, count(*) AS n FROM documents GROUP BY 1",
+        "ml_nb_score": f"""{bayes}
+SELECT id, cause, CAST(answers.class AS DOUBLE) AS prediction, predicted_cause
+FROM answers JOIN known USING (id)""",
+        "ml_score_confidence": f"""{bayes}
+SELECT id, predicted_cause, round(confidence, 4) AS confidence FROM answers""",
+        "ml_sample_predictions": f"""{bayes}
+SELECT cause, CAST(answers.class AS DOUBLE) AS prediction, text_content
+FROM answers JOIN rows USING (id) WHERE {_in_share_sql('id', fv.SAMPLE_SHARE, 'sample')}""",
         "sample_by_key": f"""
 SELECT o_orderkey, o_totalprice FROM orders WHERE {_in_share_sql('o_orderkey', fv.SAMPLE_SHARE, 'sample')}""",
         "ml_metrics": """

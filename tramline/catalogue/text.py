@@ -166,6 +166,42 @@ def _default_sql(value):
     return f"'{value}'" if isinstance(value, str) else f"CAST({value} AS DOUBLE)" if isinstance(value, float) else str(value)
 
 
+def _murmur_sql(source: str, column: str) -> str:
+    """Spark's `hash`: Murmur3 with seed 42 over four-byte words, then single signed bytes."""
+    mask = "CAST(4294967295 AS UBIGINT)"
+
+    def times(x, factor):
+        return f"((({x}) * CAST({factor} AS UBIGINT)) & {mask})"
+
+    def rotated(x, bits):
+        return f"(((({x}) << {bits}) | (({x}) >> {32 - bits})) & {mask})"
+
+    def folded(x, bits):
+        return f"xor({x}, (({x}) >> {bits}))"
+
+    mixed = times(rotated(times("k", 0xCC9E2D51), 15), 0x1B873593)
+    step = f"(({rotated('xor(h, k)', 13)} * 5 + CAST({0xE6546B64} AS UBIGINT)) & {mask})"
+    return f"""
+hexed AS (SELECT id, hex(encode({column})) AS h, octet_length(encode({column})) AS n FROM {source}),
+words_of AS (
+  SELECT id, n, list_concat(
+    list_transform(regexp_extract_all(substr(h, 1, n // 4 * 8), '.{{8}}'),
+      lambda x: CAST('0x' || x[7:8] || x[5:6] || x[3:4] || x[1:2] AS UBIGINT)),
+    list_transform(regexp_extract_all(substr(h, n // 4 * 8 + 1), '..'),
+      lambda x: CAST('0x' || CASE WHEN x >= '80' THEN 'FFFFFF' ELSE '' END || x AS UBIGINT))) AS ks
+  FROM hexed),
+run_0 AS (
+  SELECT id, n, list_reduce(list_transform(ks, lambda k: {mixed}), lambda h, k: {step},
+                            CAST(42 AS UBIGINT)) AS h FROM words_of),
+run_1 AS (SELECT id, xor(h, CAST(n AS UBIGINT)) AS h FROM run_0),
+run_2 AS (SELECT id, {times(folded("h", 16), 0x85EBCA6B)} AS h FROM run_1),
+run_3 AS (SELECT id, {times(folded("h", 13), 0xC2B2AE35)} AS h FROM run_2),
+run_4 AS (SELECT id, {folded("h", 16)} AS h FROM run_3)
+SELECT id, CAST(CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE h END AS INTEGER)
+         AS message_hash
+FROM run_4"""
+
+
 def oracles():
     clean = f"WITH {views.CLEAN_SQL}"
     defaults = ", ".join(
@@ -202,4 +238,5 @@ SELECT CAST(doc_id AS VARCHAR) AS id, lang AS pattern,
        CAST(length(source) AS INTEGER) AS title_length, {defaults}
 FROM documents""",
         "message_features": FEATURES_SQL,
+        "message_hash": f"{clean}, {_murmur_sql('clean', 'text_content')}",
     }

@@ -39,7 +39,8 @@ def _in_share(key: str, share: float, purpose: str, seed: int):
 
     The purpose keeps draws apart: a sample of one side of a split is still a sample.
     """
-    salted = F.concat(F.lit(f"{purpose}:{seed}:"), F.col(key).cast("string"))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    salted = F.concat(F.lit(f"{purpose}:{seed}:"), text)
     digits = F.substring(F.md5(salted.cast("binary")), 1, 8)
     return F.conv(digits, 16, 10).cast("bigint") < int(share * _FINGERPRINT_RANGE)
 
