@@ -38,7 +38,7 @@ def text_length_category(spark, sf):
 
 def text_flags(spark, sf):
     lowered = _clean(spark, sf).select("id", F.lower("text_content").alias("lowered"))
-    flags = [text.flag(F.col("lowered"), p).alias(n) for n, p in fv.FLAG_PATTERNS.items()]
+    flags = [text.flag(F.col("lowered"), p, lowered=True).alias(n) for n, p in fv.FLAG_PATTERNS.items()]
     return lowered.select("id", *flags)
 
 

@@ -61,10 +61,10 @@ def build(messages: DataFrame, letter_lines: bool = False) -> DataFrame:
     source = F.col(_LOWERED)
     found = lowered.withColumns(
         {
-            "words": text.clean_tokens(source),
-            "transport_types": text.transport_lines(source, letter_lines),
-            "station_list": text.stations(source),
-            **{name: text.flag(source, p) for name, p in fv.FLAG_PATTERNS.items()},
+            "words": text.clean_tokens(source, lowered=True),
+            "transport_types": text.transport_lines(source, letter_lines, lowered=True),
+            "station_list": text.stations(source, lowered=True),
+            **{name: text.flag(source, p, lowered=True) for name, p in fv.FLAG_PATTERNS.items()},
             "begin_date": F.to_date("begin"),
             "end_date": F.to_date("end"),
             "display_duration_hours": moments.hours_between(F.col("begin"), F.col("end")),

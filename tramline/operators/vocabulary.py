@@ -18,15 +18,12 @@ def term_statistics(documents: DataFrame, words: str = "words") -> DataFrame:
     once for `tf` and its distinct words once for `df`, and map-side aggregation
     folds frequent terms before anything is sent.
     """
-    occurrence = F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    presence = F.transform(
-        F.array_distinct(words),
-        lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-    )
+    twice = documents.select(words, F.explode(F.array(F.lit(1), F.lit(0))).alias("tf"))
+    seen = F.when(F.col("tf") == 1, F.col(words)).otherwise(F.array_distinct(words))
     return (
-        documents.select(F.inline(F.concat(occurrence, presence)))
+        twice.select("tf", F.explode(seen).alias("term"))
         .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        .agg(F.sum("tf").alias("tf"), F.sum(1 - F.col("tf")).alias("df"))
     )
 
 
