@@ -1,0 +1,94 @@
+from datetime import date, datetime, timedelta
+
+import samples
+from pyspark.sql import functions as F
+
+from tramline.functions import moments
+from tramline.operators import features, kpis
+
+
+def as_dict(df):
+    return {(r[0], r[1]): (r[2], r[3]) for r in df.collect()}
+
+
+def expected(position):
+    """Totals and averages by plain Python; `position` of the key in the sample rows."""
+    groups = {}
+    for row in samples.COUNTS:
+        day = row[0].strftime("%A") if row[0] else None
+        groups.setdefault((row[position], day), []).append(row[3])
+    out = {}
+    for key, counts in groups.items():
+        known = [n for n in counts if n is not None]
+        out[key] = (sum(known), sum(known) / len(known)) if known else (None, None)
+    return out
+
+
+def test_by_ticket_and_stop(spark):
+    rows = samples.validations(spark)
+    assert as_dict(kpis.by_weekday(rows, kpis.TICKET_KEY)) == expected(1)
+    assert as_dict(kpis.by_weekday(rows, kpis.STOP_KEY)) == expected(2)
+
+
+def test_grain_gives_the_same_tables(spark):
+    rows = samples.validations(spark)
+    grain = kpis.daily_grain(rows)
+    for key in kpis.KPI_TABLES.values():
+        assert as_dict(kpis.from_grain(grain, key)) == as_dict(kpis.by_weekday(rows, key))
+
+
+def test_schema_and_order(spark):
+    kpi = kpis.by_weekday(samples.validations(spark), kpis.TICKET_KEY, ordered=True)
+    assert kpi.dtypes == [
+        ("CATEGORIE_TITRE", "string"),
+        ("JOUR_DE_LA_SEMAINE", "string"),
+        ("TOTAL_VALIDATION", "bigint"),
+        ("MOYEN_VALIDATION", "double"),
+    ]
+    totals = [r["TOTAL_VALIDATION"] for r in kpi.collect()]
+    known = [t for t in totals if t is not None]
+    assert known == sorted(known, reverse=True) and totals[: len(known)] == known
+
+
+def test_one_hot_key_is_folded_before_the_shuffle(spark, plan_of):
+    rows = spark.range(50_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("LIBELLE_ARRET"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("JOUR"),
+        F.lit(2).alias("NB_VALD"),
+    )
+    kpi = kpis.by_weekday(rows, kpis.STOP_KEY)
+    assert kpi.agg(F.sum("TOTAL_VALIDATION")).first()[0] == 100_000
+    before, after = plan_of(kpi).split("Exchange", 1)
+    assert "HashAggregate" in before and "partial_sum" in after
+
+
+def test_scan_reads_only_the_kpi_columns(spark, folder, plan_of):
+    samples.validations(spark).write.parquet(f"{folder}/v")
+    plan = plan_of(kpis.by_weekday(spark.read.parquet(f"{folder}/v"), kpis.TICKET_KEY))
+    assert "ReadSchema: struct<JOUR:date,CATEGORIE_TITRE:string,NB_VALD:int>" in plan
+
+
+def test_weekday_names(spark):
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(14)] + [None]
+    df = spark.createDataFrame([(d,) for d in days], "d date").coalesce(1)
+    names = [r[0] for r in df.select(moments.weekday_name(F.col("d"))).collect()]
+    assert names == [d.strftime("%A") if d else None for d in days]
+
+
+def test_compact_timestamps(spark):
+    texts = ["20240131T235901", "20240230T000000", "2024-01-31", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    parsed = [r[0] for r in df.select(moments.compact_timestamp(F.col("t"))).collect()]
+    assert parsed == [datetime(2024, 1, 31, 23, 59, 1), None, None, None, None]
+
+
+def test_hours_and_calendar(spark):
+    begin = datetime(2024, 1, 27, 23, 30, 15)
+    rows = [(begin, begin + timedelta(hours=1, minutes=30)), (begin, None), (None, begin),
+            (begin, begin - timedelta(hours=2))]
+    df = spark.createDataFrame(rows, "begin timestamp, end timestamp").coalesce(1)
+    df = df.withColumn("h", moments.hours_between(F.col("begin"), F.col("end")))
+    found = features.time_features(df).collect()
+    assert [r["h"] for r in found] == [1.5, None, None, -2.0]
+    assert [found[0][c] for c in ("day_of_week", "month_of_year", "year", "hour_of_day", "is_weekend")] == [7, 1, 2024, 23, 1]
+    assert [found[2][c] for c in ("day_of_week", "year", "is_weekend")] == [None, None, 0]
