@@ -1,0 +1,85 @@
+from datetime import datetime
+
+import samples
+from pyspark.sql import functions as F
+
+from tramline import fixed_values as fv
+from tramline.operators import features
+
+
+def test_all_features_in_order(spark):
+    rows = samples.messages(spark, 2)
+    built = features.build(rows)
+    assert built.columns == [*rows.columns, *features.FEATURE_COLUMNS]
+    again = features.build(built)
+    assert again.columns == built.columns and again.collect() == built.collect()
+
+
+def test_values(spark):
+    rows = spark.createDataFrame(
+        [(datetime(2024, 3, 2, 22), datetime(2024, 3, 3, 1, 30), "TRAVAUX", "PERTURBÉ", "Titre é",
+          "<p>La gare de Lyon sera FERMÉE samedi soir&nbsp;: bus 12, bus 12 et Métro A.</p>")],
+        "begin timestamp, end timestamp, cause string, pattern string, title string, message string",
+    )
+    row = features.build(rows).first().asDict()
+    wanted = {
+        "text_content": " La gare de Lyon sera FERMÉE samedi soir : bus 12, bus 12 et Métro A. ",
+        "display_duration_hours": 3.5,
+        "word_count": 16,
+        "message_length_category": "short",
+        "transport_types": ["bus 12", "bus 12"],
+        "transportation_types": "bus 12|bus 12",
+        "transport_count": 2,
+        "station_list": ["lyon sera fermée samedi soir"],
+        "stations_mentioned": "lyon sera fermée samedi soir",
+        "stations_count": 1,
+        "is_route_change": 0,
+        "is_station_closure": 1,
+        "is_delay_notification": 0,
+        "is_schedule_change": 0,
+        "mentions_morning": 0,
+        "mentions_evening": 1,
+        "mentions_weekend": 1,
+        "severity_level": 3,
+        "is_urgent": 1,
+        "day_of_week": 7,
+        "month_of_year": 3,
+        "year": 2024,
+        "hour_of_day": 22,
+        "is_weekend": 1,
+        "title_length": 7,
+    }
+    assert {name: row[name] for name in wanted} == wanted
+    assert str(row["begin_date"]) == "2024-03-02" and str(row["end_date"]) == "2024-03-03"
+    assert row["words"][:3] == ["la", "gare", "de"]
+
+
+def test_null_message(spark):
+    rows = samples.messages(spark, 1).withColumn("message", F.lit(None).cast("string"))
+    for row in features.build(rows).collect():
+        assert row["words"] == [] and row["word_count"] == 0
+        assert row["message_length_category"] == "short"
+        assert row["transport_count"] == row["stations_count"] == row["is_delay_notification"] == 0
+        assert row["message_hash"] == 42
+
+
+def test_plan_is_one_generated_stage_without_shuffle_or_python(spark, folder, plan_of):
+    samples.messages(spark, 2).write.parquet(f"{folder}/m")
+    plan = plan_of(features.build(spark.read.parquet(f"{folder}/m")))
+    assert "Python" not in plan and "Exchange" not in plan
+    stages = {line.split("*(")[1][0] for line in plan.splitlines() if "*(" in line}
+    projections = [line for line in plan.splitlines() if "Project" in line]
+    assert stages == {"1"} and all("*(1)" in line for line in projections)
+    assert plan.count("regexp_replace(message") == 1
+
+
+def test_unused_features_are_not_computed(spark, folder, plan_of):
+    samples.messages(spark, 2).write.parquet(f"{folder}/m")
+    plan = plan_of(features.build(spark.read.parquet(f"{folder}/m")).select("id", "hour_of_day"))
+    assert "regexp" not in plan and "ReadSchema: struct<id:string,begin:timestamp>" in plan
+
+
+def test_defaults_fill_only_missing_columns(spark):
+    rows = spark.createDataFrame([("x", 7)], "pattern string, title_length int")
+    filled = features.with_defaults(rows).first().asDict()
+    assert filled == {**fv.FEATURE_DEFAULTS, "pattern": "x", "title_length": 7}

@@ -63,6 +63,7 @@ class RankedCountVectorizer(Estimator, HasInputCol, HasOutputCol):
         vocabSize=fv.VOCABULARY_SIZE,
     ):
         super().__init__()
+        self._setDefault(minDF=fv.VOCABULARY_MIN_DF, vocabSize=fv.VOCABULARY_SIZE)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
