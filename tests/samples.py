@@ -61,3 +61,18 @@ def messages(spark, copies=20):
         "message string, pattern string, title string"
     )
     return spark.createDataFrame(rows, schema)
+
+
+def payloads(messages):
+    """Message rows as payload JSON texts."""
+    return messages.selectExpr(
+        """to_json(struct(
+             id,
+             array(struct(date_format(begin, "yyyyMMdd'T'HHmmss") AS begin,
+                          date_format(end, "yyyyMMdd'T'HHmmss") AS end)) AS applicationPeriods,
+             cause,
+             date_format(update_date, "yyyyMMdd'T'HHmmss") AS lastUpdate,
+             message,
+             pattern AS severity,
+             title)) AS value"""
+    )

@@ -147,7 +147,7 @@ def test_classifiers(built, prepared, name):
 
 def test_unknown_labels_get_the_kept_index_and_no_name(spark, built):
     rows = built.withColumn("cause", F.expr("IF(id LIKE '0-%', NULL, cause)"))
-    model = Pipeline(stages=[classify.label_indexer()]).fit(rows)
+    model = Pipeline(stages=[classify.indexers()]).fit(rows)
     labels = classify.labels_of(model)
     assert labels == ["ACCIDENT", "INFORMATION", "PERTURBATION", "TRAVAUX"]
     indexed = model.transform(rows)

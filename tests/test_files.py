@@ -52,7 +52,7 @@ def test_export_formats_and_texts_survive(spark, folder):
     files = list(Path(folder, "out").glob("*.csv"))
     text = "".join(f.read_text() for f in files)
     assert "2024-01-02,2024-01-02 03:04:05," in text and text.startswith("d,t,m,n,b")
-    assert sources.read_csv(spark, f"{folder}/out").collect() == rows.collect()
+    assert sources.read_csv(spark, f"{folder}/out", multiline=True).collect() == rows.collect()
 
 
 def test_single_file_only_below_the_bound(spark, folder, monkeypatch):
@@ -84,6 +84,23 @@ def test_tables(spark, folder, plan_of):
     assert sources.read_csv(spark, f"{folder}/export").count() == 24
 
 
+def test_rebalanced_append_splits_a_hot_partition(spark, folder):
+    rows = spark.range(200_000).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("t"), F.when(F.col("id") % 10 > 0, 2024).otherwise(2023).alias("year")
+    )
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}
+    before = {k: spark.conf.get(k) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        sinks.append_table(rows, "hot_year", "year", rebalance=True, path=f"{folder}/hot")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    files = {y: len(list(Path(folder, f"hot/year={y}").glob("*.parquet"))) for y in (2023, 2024)}
+    assert files[2024] > 4 * files[2023] / 2 and spark.table("hot_year").count() == 200_000
+
+
 def test_batch_load_with_and_without_inference(spark, folder):
     payload = {"id": "a", "applicationPeriods": [{"begin": "20240131T080000", "end": "20240131T100000"}],
                "cause": "TRAVAUX", "lastUpdate": "20240130T070000", "message": "m", "severity": "s", "title": "t"}
@@ -137,6 +154,8 @@ def test_kafka_options_and_missing_connector(spark):
     assert options == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "maxOffsetsPerTrigger": 5}
     with pytest.raises(Exception, match="(?i)kafka"):
         stream_sources.stream_kafka(spark, "h:9092", "t")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sinks.write_kafka(spark.createDataFrame([("x",)], "value string"), "h:9092", "t")
 
 
 def test_explicit_and_footer_schema(spark, folder):

@@ -5,7 +5,7 @@ import samples
 from pyspark.sql import functions as F
 
 from tramline import schemas, sinks
-from tramline.operators import kpis, messages
+from tramline.operators import kpis
 from tramline.plans import messages as message_plans
 from tramline.plans import validations as plans
 from tramline.streaming import sinks as stream_sinks
@@ -119,7 +119,7 @@ def test_messages_from_records_to_table_and_out(spark, folder, infer):
     table = f"stream_messages_{infer}"
     total = 0
     for copies in (2, 3):
-        payloads = messages.to_payload(samples.messages(spark, copies))
+        payloads = samples.payloads(samples.messages(spark, copies))
         texts = [r["value"] for r in payloads.collect()] + ["{bad"]
         total += len(texts)
         records = envelope(spark, folder, texts)

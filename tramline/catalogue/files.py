@@ -41,7 +41,7 @@ def csv_infer_roundtrip(spark, sf):
     """Messages as CSV with markup, quotes and line breaks; types inferred on reading."""
     path = work_folder(spark, "csv")
     sinks.export_csv(views.messages(spark, sf), path)
-    back = sources.read_csv(spark, path)
+    back = sources.read_csv(spark, path, multiline=True)
     return printable(back.withColumn("id", F.col("id").cast("bigint")))
 
 
@@ -83,7 +83,7 @@ def messages_export_table(spark, sf):
     out = work_folder(spark, "export")
     plans.export_messages(spark, name, out)
     schema = views.messages(spark, sf).schema
-    return printable(sources.read_csv(spark, out, schema))
+    return printable(sources.read_csv(spark, out, schema, multiline=True))
 
 
 def vectors_parquet_roundtrip(spark, sf):

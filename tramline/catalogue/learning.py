@@ -73,8 +73,7 @@ def _categories(spark, sf):
 
 def _indexed(spark, sf):
     rows = materialise(_categories(spark, sf), "categories")
-    stages = [classify.label_indexer(), *classify.category_indexers(), classify.encoder()]
-    return Pipeline(stages=stages).fit(rows).transform(rows)
+    return Pipeline(stages=[classify.indexers(), classify.encoder()]).fit(rows).transform(rows)
 
 
 def ml_string_index(spark, sf):

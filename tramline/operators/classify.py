@@ -88,15 +88,13 @@ def _short(column: str) -> str:
     return column.removesuffix("_category")
 
 
-def label_indexer() -> StringIndexer:
-    return StringIndexer(inputCol=fv.LABEL, outputCol=LABEL_INDEX, handleInvalid="keep")
-
-
-def category_indexers() -> list:
-    return [
-        StringIndexer(inputCol=c, outputCol=f"{_short(c)}_index", handleInvalid="keep")
-        for c in fv.CATEGORICAL_FEATURES
-    ]
+def indexers() -> StringIndexer:
+    """Label and categories by falling frequency, all counted in one pass; an unknown
+    or NULL value gets the index after the last."""
+    columns = [fv.LABEL, *fv.CATEGORICAL_FEATURES]
+    return StringIndexer(
+        inputCols=columns, outputCols=[f"{_short(c)}_index" for c in columns], handleInvalid="keep"
+    )
 
 
 def encoder() -> OneHotEncoder:
@@ -108,9 +106,7 @@ def encoder() -> OneHotEncoder:
 
 def feature_stages(min_df: float = fv.VOCABULARY_MIN_DF, size: int = fv.VOCABULARY_SIZE) -> Pipeline:
     """Everything between built features and the assembler, label index included."""
-    return Pipeline(
-        stages=[*text_stages(min_df, size), label_indexer(), *category_indexers(), encoder()]
-    )
+    return Pipeline(stages=[*text_stages(min_df, size), indexers(), encoder()])
 
 
 def feature_columns(include_leaky: bool = True) -> list[str]:
@@ -259,10 +255,8 @@ def tune(
 def labels_of(model: PipelineModel) -> list[str]:
     """Class names in index order, from the fitted label indexer."""
     for stage in model.stages:
-        if isinstance(stage, PipelineModel):
-            return labels_of(stage)
-        if isinstance(stage, StringIndexerModel) and stage.getOutputCol() == LABEL_INDEX:
-            return list(stage.labelsArray[0])
+        if isinstance(stage, StringIndexerModel) and LABEL_INDEX in stage.getOutputCols():
+            return list(stage.labelsArray[stage.getOutputCols().index(LABEL_INDEX)])
     raise ValueError("the model holds no label indexer")
 
 

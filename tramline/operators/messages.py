@@ -77,26 +77,6 @@ def flatten(payload: DataFrame, parse_update: bool = True) -> DataFrame:
     return flat.withColumn("year", F.year("begin")) if parse_update else flat
 
 
-def to_payload(messages: DataFrame) -> DataFrame:
-    """The inverse of parsing and flattening: message rows as payload JSON texts."""
-
-    def compact(column):
-        return F.date_format(column, "yyyyMMdd'T'HHmmss")
-
-    payload = F.struct(
-        F.col("id").cast("string").alias("id"),
-        F.array(F.struct(compact("begin").alias("begin"), compact("end").alias("end"))).alias(
-            "applicationPeriods"
-        ),
-        F.col("cause"),
-        compact("update_date").alias("lastUpdate"),
-        F.col("message"),
-        F.col("pattern").alias("severity"),
-        F.col("title"),
-    )
-    return messages.select(F.to_json(payload).alias("value"))
-
-
 def to_kafka_value(records: DataFrame) -> DataFrame:
     """Each row as one JSON text in the column a Kafka writer expects; nulls kept."""
     whole = F.struct(*records.columns)

@@ -64,10 +64,10 @@ def load_validations(
 
 
 def jdbc_kpi_writer(url: str, properties: dict[str, str]) -> WriteKpi:
-    """Overwrites a database table with a KPI; its few rows need one connection."""
+    """Overwrites a database table with a KPI."""
 
     def write(kpi: DataFrame, table: str) -> None:
-        sinks.write_jdbc(kpi, url, table, "overwrite", properties, connections=1)
+        sinks.write_jdbc(kpi, url, table, "overwrite", properties)
 
     return write
 

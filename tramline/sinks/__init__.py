@@ -9,6 +9,8 @@ from tramline import fixed_values as fv
 
 # Largest table written as one file; beyond it, a single writer task is refused.
 SINGLE_FILE_ROWS = 1_000_000
+# Texts may span lines, so one task reads a whole exported file back; this bounds it.
+ROWS_PER_CSV_FILE = 1_000_000
 # Connections one JDBC write opens at a time, whatever the cluster's size.
 JDBC_CONNECTIONS = 16
 JDBC_BATCH_ROWS = 10_000
@@ -60,7 +62,11 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
             raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
         df = df.coalesce(1)
     df.write.mode("overwrite").options(
-        header=True, escape='"', dateFormat=fv.CSV_DATE, timestampFormat=fv.CSV_TIMESTAMP
+        header=True,
+        escape='"',
+        dateFormat=fv.CSV_DATE,
+        timestampFormat=fv.CSV_TIMESTAMP,
+        maxRecordsPerFile=ROWS_PER_CSV_FILE,
     ).csv(path)
 
 

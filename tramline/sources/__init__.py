@@ -15,10 +15,20 @@ def read_parquet(spark: SparkSession, path, schema: StructType | None = None) ->
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def read_csv(spark: SparkSession, path, schema: StructType | None = None, sep: str = ",") -> DataFrame:
-    """CSV with a header, UTF-8; texts may span lines. Without a schema, types are
-    inferred by an extra pass over the files."""
-    reader = spark.read.options(header=True, sep=sep, encoding="UTF-8", multiLine=True, escape='"')
+def read_csv(
+    spark: SparkSession,
+    path,
+    schema: StructType | None = None,
+    sep: str = ",",
+    multiline: bool = False,
+) -> DataFrame:
+    """CSV with a header, UTF-8. Without a schema, types are inferred by an extra pass.
+
+    `multiline` accepts texts that span lines; each file is then read by one task.
+    """
+    reader = spark.read.options(
+        header=True, sep=sep, encoding="UTF-8", multiLine=multiline, escape='"'
+    )
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
