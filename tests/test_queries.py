@@ -5,7 +5,7 @@ import check
 import pytest
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"split_random", "sample_rows", "ml_rf_score", "ml_lr_score", "ml_gbt_ovr_score", "ml_model_metrics"}
+ROWS_ONLY = {"split_random", "sample_rows", "ml_rf_score", "ml_lr_score", "ml_gbt_ovr_score"}
 
 
 @pytest.fixture(scope="module")

@@ -127,14 +127,18 @@ def sample_by_key(spark, sf):
     return classify.sample(rows, "o_orderkey")
 
 
+def _rounded_metrics(predictions):
+    found = classify.metrics(classify.confusion(predictions))
+    return found.select(*[F.round(c, 9).alias(c) for c in found.columns])
+
+
 def ml_metrics(spark, sf):
     """The four metrics of a made-up prediction over all order lines."""
     predictions = views.table(spark, sf, "lineitem").selectExpr(
         "CAST(l_linenumber % 4 AS DOUBLE) AS cause_index",
         "CAST(IF(l_partkey % 3 = 0, l_suppkey % 5, l_linenumber % 4) AS DOUBLE) AS prediction",
     )
-    found = classify.metrics(classify.confusion(predictions))
-    return found.select(*[F.round(c, 9).alias(c) for c in found.columns])
+    return _rounded_metrics(predictions)
 
 
 def _trained(spark, sf, name):
@@ -157,7 +161,7 @@ def _score(name):
 
 
 def ml_model_metrics(spark, sf):
-    return classify.metrics(classify.confusion(_trained(spark, sf, "logistic_regression")))
+    return _rounded_metrics(_trained(spark, sf, "naive_bayes"))
 
 
 def ml_score_confidence(spark, sf):
@@ -293,6 +297,26 @@ answers AS (
   GROUP BY 1, 2)"""
 
 
+# From rows of (label, prediction).
+_METRICS_SQL = """
+kinds AS (SELECT label AS kind FROM predicted UNION SELECT prediction FROM predicted),
+tallies AS (
+  SELECT kind, count(*) FILTER (label = kind) AS support,
+         count(*) FILTER (prediction = kind) AS guessed,
+         count(*) FILTER (label = kind AND prediction = kind) AS hits
+  FROM kinds, predicted GROUP BY 1),
+rates AS (
+  SELECT support, hits,
+         CASE WHEN guessed = 0 THEN 0 ELSE hits / guessed END AS p,
+         CASE WHEN support = 0 THEN 0 ELSE hits / support END AS r
+  FROM tallies)
+SELECT round(sum(hits) / sum(support), 9)::DOUBLE AS accuracy,
+       round(sum(support * CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END) / sum(support), 9)::DOUBLE AS f1,
+       round(sum(support * p) / sum(support), 9)::DOUBLE AS weighted_precision,
+       round(sum(support * r) / sum(support), 9)::DOUBLE AS weighted_recall
+FROM rates"""
+
+
 def oracles():
     terms = _terms_sql()
     bayes = _bayes_sql()
@@ -339,25 +363,11 @@ SELECT cause, CAST(answers.class AS DOUBLE) AS prediction, text_content
 FROM answers JOIN rows USING (id) WHERE {_in_share_sql('id', fv.SAMPLE_SHARE, 'sample')}""",
         "sample_by_key": f"""
 SELECT o_orderkey, o_totalprice FROM orders WHERE {_in_share_sql('o_orderkey', fv.SAMPLE_SHARE, 'sample')}""",
-        "ml_metrics": """
-WITH predicted AS (
+        "ml_metrics": f"""WITH predicted AS (
   SELECT l_linenumber % 4 AS label,
          CASE WHEN l_partkey % 3 = 0 THEN l_suppkey % 5 ELSE l_linenumber % 4 END AS prediction
-  FROM lineitem),
-classes AS (SELECT label AS class FROM predicted UNION SELECT prediction FROM predicted),
-tallies AS (
-  SELECT class, count(*) FILTER (label = class) AS support,
-         count(*) FILTER (prediction = class) AS guessed,
-         count(*) FILTER (label = class AND prediction = class) AS hits
-  FROM classes, predicted GROUP BY 1),
-scores AS (
-  SELECT support, hits,
-         CASE WHEN guessed = 0 THEN 0 ELSE hits / guessed END AS p,
-         CASE WHEN support = 0 THEN 0 ELSE hits / support END AS r
-  FROM tallies)
-SELECT round(sum(hits) / sum(support), 9)::DOUBLE AS accuracy,
-       round(sum(support * CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END) / sum(support), 9)::DOUBLE AS f1,
-       round(sum(support * p) / sum(support), 9)::DOUBLE AS weighted_precision,
-       round(sum(support * r) / sum(support), 9)::DOUBLE AS weighted_recall
-FROM scores""",
+  FROM lineitem), {_METRICS_SQL}""",
+        "ml_model_metrics": f"""{bayes},
+predicted AS (SELECT known.class AS label, answers.class AS prediction FROM answers JOIN known USING (id)),
+{_METRICS_SQL}""",
     }

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 _DEFAULTS = {
     # Message times carry no zone; one fixed zone keeps every job consistent.
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles methods above this size; splitting them is faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
