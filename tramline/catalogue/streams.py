@@ -12,13 +12,17 @@ from tramline.streaming import sinks as stream_sinks
 from tramline.streaming import sources as stream_sources
 
 NOW = stream_sinks.AVAILABLE_NOW
-# The sample validations go out in this many drop files, several per micro-batch.
-_FILES = 8
-_LIMITS = {"maxFilesPerTrigger": 4}
+
+
+def _halves(spark, sf, table):
+    """A rate limit that takes the files written from a table in about two batches."""
+    cores = spark.sparkContext.defaultParallelism
+    files = max(cores, views.table(spark, sf, table).rdd.getNumPartitions())
+    return {"maxFilesPerTrigger": (files + 1) // 2}
 
 
 def _drop_csv(spark, sf, path, sep=validation_plans.RAW_SEP):
-    views.validations(spark, sf).repartition(_FILES).write.csv(path, header=True, sep=sep)
+    views.validations(spark, sf, wide=True).write.csv(path, header=True, sep=sep)
 
 
 def _staged(spark, sf):
@@ -27,10 +31,11 @@ def _staged(spark, sf):
     _drop_csv(spark, sf, f"{root}/drop/csv")
     fields = schemas.VALIDATIONS.fieldNames()
     line = F.array_join(F.array(*[F.col(c).cast("string") for c in fields]), ";", "")
-    lines = views.validations(spark, sf).select(line.alias("value"))
-    lines.repartition(_FILES).write.text(f"{root}/drop/txt")
+    lines = views.validations(spark, sf, wide=True).select(line.alias("value"))
+    lines.write.text(f"{root}/drop/txt")
+    limits = _halves(spark, sf, "events")
     queries = validation_plans.ingest_validations(
-        spark, f"{root}/drop/*", f"{root}/staging", f"{root}/checkpoints", NOW, **_LIMITS
+        spark, f"{root}/drop/*", f"{root}/staging", f"{root}/checkpoints", NOW, **limits
     )
     for query in queries:
         query.awaitTermination()
@@ -51,8 +56,9 @@ def stream_csv_to_table(spark, sf):
     root = work_folder(spark, "load")
     _drop_csv(spark, sf, f"{root}/staging", ",")
     name, path = files.new_table(spark, "validations")
+    limits = _halves(spark, sf, "events")
     validation_plans.load_validations(
-        spark, f"{root}/staging", name, f"{root}/checkpoint", NOW, path=path, **_LIMITS
+        spark, f"{root}/staging", name, f"{root}/checkpoint", NOW, path=path, **limits
     ).awaitTermination()
     return files.printable(sources.read_table(spark, name))
 
@@ -61,13 +67,14 @@ def _kpi_stream(incremental, kpi_table):
     def run(spark, sf):
         root = work_folder(spark, "kpi")
         name, path = files.new_table(spark, "validations")
-        sinks.append_table(views.validations(spark, sf).repartition(_FILES), name, path=path)
+        sinks.append_table(views.validations(spark, sf, wide=True), name, path=path)
+        limits = _halves(spark, sf, "events")
 
         def write(rows, table):
             sinks.write_parquet(rows, f"{root}/{table}")
 
         validation_plans.stream_kpis(
-            spark, name, write, f"{root}/checkpoint", NOW, incremental, **_LIMITS
+            spark, name, write, f"{root}/checkpoint", NOW, incremental, **limits
         ).awaitTermination()
         return sources.read_parquet(spark, f"{root}/{kpi_table}")
 
@@ -76,9 +83,10 @@ def _kpi_stream(incremental, kpi_table):
 
 def _landed(spark, sf, root):
     """Kafka records fed from files, landed by the landing job."""
-    json_messages.envelope(spark, sf).repartition(_FILES).write.parquet(f"{root}/records")
+    json_messages.envelope(spark, sf).write.parquet(f"{root}/records")
+    limits = _halves(spark, sf, "documents")
     records = stream_sources.stream_parquet(
-        spark, f"{root}/records", schemas.KAFKA_ENVELOPE, **_LIMITS
+        spark, f"{root}/records", schemas.KAFKA_ENVELOPE, **limits
     )
     message_plans.land_messages(
         records, f"{root}/landing", f"{root}/landing-checkpoint", NOW
@@ -91,8 +99,9 @@ def _flatten_stream(infer):
         root = work_folder(spark, "messages")
         landing = _landed(spark, sf, root)
         name, path = files.new_table(spark, "messages")
+        limits = _halves(spark, sf, "documents")
         message_plans.load_messages(
-            spark, landing, name, f"{root}/checkpoint", NOW, infer=infer, path=path, **_LIMITS
+            spark, landing, name, f"{root}/checkpoint", NOW, infer=infer, path=path, **limits
         ).awaitTermination()
         return json_messages.printable(sources.read_table(spark, name))
 
@@ -104,10 +113,10 @@ def stream_publish_messages(spark, sf):
     root = work_folder(spark, "publish")
     name, path = files.new_table(spark, "messages")
     flat = messages.flatten(messages.parse_payload(json_messages.landed(spark, sf)))
-    sinks.append_table(flat.repartition(_FILES), name, path=path)
+    sinks.append_table(flat, name, path=path)
     target = f"{root}/target"
     message_plans.publish_messages(
-        stream_sources.stream_table(spark, name, **_LIMITS),
+        stream_sources.stream_table(spark, name, **_halves(spark, sf, "documents")),
         lambda rows: rows.write.mode("append").parquet(target),
         f"{root}/checkpoint",
         NOW,

@@ -17,8 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+def validations(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Validation rows; `wide` gives every core a part even of a small table."""
+    events = table(spark, sf_dir, "events")
+    return (spread(events, "event_id") if wide else events).selectExpr(
         "CAST(ts AS DATE) AS JOUR",
         "CAST(user_id % 4 AS INT) AS CODE_STIF_TRNS",
         "CAST(IF(user_id % 50 = 0, NULL, user_id % 10) AS INT) AS CODE_STIF_RES",

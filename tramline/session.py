@@ -52,7 +52,7 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle `df` by `key` only if its scan has fewer tasks than there are cores.
+    """Shuffle a scan by `key` only if it has fewer tasks than there are cores.
 
     Meant for CPU-bound work over few, small files; a large input passes through
     unchanged.
