@@ -92,3 +92,13 @@ def test_hours_and_calendar(spark):
     assert [r["h"] for r in found] == [1.5, None, None, -2.0]
     assert [found[0][c] for c in ("day_of_week", "month_of_year", "year", "hour_of_day", "is_weekend")] == [7, 1, 2024, 23, 1]
     assert [found[2][c] for c in ("day_of_week", "year", "is_weekend")] == [None, None, 0]
+
+
+def test_both_tables_share_one_scan_and_shuffle(spark, folder, plan_of):
+    samples.validations(spark).write.parquet(f"{folder}/v")
+    grain = kpis.daily_grain(spark.read.parquet(f"{folder}/v"))
+    parts = [kpis.from_grain(grain, key).withColumnRenamed(key, "k") for key in kpis.KPI_TABLES.values()]
+    both = parts[0].union(parts[1])
+    assert len(both.collect()) == 10
+    final = plan_of(both).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -86,6 +86,14 @@ def test_inferred_schema(spark):
     assert parsed.collect() == fixed.collect()
 
 
+def test_mixed_types_are_inferred_as_strings(spark):
+    texts = landed(spark, {"id": 5, "tags": [1, "x"]}, {"id": "a", "tags": [None]}, {"id": None})
+    schema = messages.infer_payload_schema(texts)
+    assert schema.simpleString() == "struct<id:string,tags:array<string>>"
+    parsed = messages.flatten(messages.parse_payload(texts, schema))
+    assert [r["id"] for r in parsed.collect()] == ["5", "a", None]
+
+
 def test_inference_of_nothing(spark):
     assert not messages.infer_payload_schema(landed(spark)).fields
     assert not messages.infer_payload_schema(landed(spark, "{bad")).fields

@@ -24,7 +24,9 @@ def _payload():
         .otherwise(F.array(first, second))
         .alias("applicationPeriods"),
         F.col("cause"),
-        F.when(number % 11 == 0, "soon").otherwise(F.date_format("update_date", _COMPACT)).alias("lastUpdate"),
+        F.when(number % 11 == 0, "soon")
+        .otherwise(F.date_format("update_date", _COMPACT))
+        .alias("lastUpdate"),
         F.col("message"),
         F.col("pattern").alias("severity"),
         F.col("title"),

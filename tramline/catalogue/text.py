@@ -163,7 +163,9 @@ FROM listed"""
 
 
 def _default_sql(value):
-    return f"'{value}'" if isinstance(value, str) else f"CAST({value} AS DOUBLE)" if isinstance(value, float) else str(value)
+    if isinstance(value, str):
+        return f"'{value}'"
+    return f"CAST({value} AS DOUBLE)" if isinstance(value, float) else str(value)
 
 
 def _murmur_sql(source: str, column: str) -> str:

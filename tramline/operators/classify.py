@@ -45,7 +45,9 @@ def _in_share(key: str, share: float, purpose: str, seed: int):
     return F.conv(digits, 16, 10).cast("bigint") < int(share * _FINGERPRINT_RANGE)
 
 
-def split(df: DataFrame, key: str | None = None, share: float = fv.TRAIN_SHARE, seed: int = fv.SEED):
+def split(
+    df: DataFrame, key: str | None = None, share: float = fv.TRAIN_SHARE, seed: int = fv.SEED
+) -> tuple[DataFrame, DataFrame]:
     """Training and test rows.
 
     With `key`, a row's side depends on its key alone: it survives recomputation,
@@ -58,7 +60,9 @@ def split(df: DataFrame, key: str | None = None, share: float = fv.TRAIN_SHARE,
     return df.filter(in_train), df.filter(~in_train)
 
 
-def sample(df: DataFrame, key: str | None = None, share: float = fv.SAMPLE_SHARE, seed: int = fv.SEED) -> DataFrame:
+def sample(
+    df: DataFrame, key: str | None = None, share: float = fv.SAMPLE_SHARE, seed: int = fv.SEED
+) -> DataFrame:
     """Rows drawn without replacement, each with probability `share`; by `key` as in `split`."""
     if key is None:
         return df.sample(False, share, seed=seed)
@@ -163,7 +167,9 @@ def model_stages(name: str, include_leaky: bool = True, **overrides) -> Pipeline
 # --- evaluation ---------------------------------------------------------------
 
 
-def confusion(predictions: DataFrame, label: str = LABEL_INDEX, prediction: str = "prediction") -> DataFrame:
+def confusion(
+    predictions: DataFrame, label: str = LABEL_INDEX, prediction: str = "prediction"
+) -> DataFrame:
     """Row counts per (label, prediction)."""
     return predictions.groupBy(
         F.col(label).alias("label"), F.col(prediction).alias("prediction")
@@ -176,11 +182,18 @@ def metrics(counts: DataFrame) -> DataFrame:
     One pass over the predictions gives all four. Each cell speaks for two classes:
     it is support of its label and a guess of its prediction.
     """
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    roles = F.array(
-        F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("guessed"), hit.alias("hits")),
-        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("guessed"), F.lit(0).cast("bigint").alias("hits")),
-    )
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+
+    def role(column, support, guessed, hits):
+        return F.struct(
+            F.col(column).alias("class"),
+            support.alias("support"),
+            guessed.alias("guessed"),
+            hits.alias("hits"),
+        )
+
+    roles = F.array(role("label", n, none, hit), role("prediction", none, n, none))
     classes = (
         counts.select(F.inline(roles))
         .groupBy("class")
@@ -192,7 +205,9 @@ def metrics(counts: DataFrame) -> DataFrame:
         "hits",
         F.coalesce(F.try_divide("hits", "guessed"), zero).alias("precision"),
         F.coalesce(F.try_divide("hits", "support"), zero).alias("recall"),
-        F.coalesce(F.try_divide(2 * F.col("hits"), F.col("support") + F.col("guessed")), zero).alias("f1"),
+        F.coalesce(
+            F.try_divide(2 * F.col("hits"), F.col("support") + F.col("guessed")), zero
+        ).alias("f1"),
     )
 
     def weighted(column):

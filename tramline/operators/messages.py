@@ -23,15 +23,14 @@ def infer_payload_schema(landed: DataFrame) -> StructType:
     """Schema that covers the JSON texts in `value`, merged by one aggregation.
 
     Only the schema text reaches the driver. Texts that are not JSON are skipped;
-    as in Spark's JSON reader, fields that are always null become strings and
-    fractions doubles.
+    as in Spark's JSON reader, fields that are always null or of mixed types become
+    strings and fractions doubles.
     """
     merged = F.schema_of_variant_agg(F.try_parse_json("value"))
     # Variant parsing has its own names for these types; retype the leaves in SQL text.
     ddl = F.regexp_replace(merged, r"\bOBJECT<", "STRUCT<")
-    ddl = F.regexp_replace(ddl, r": VOID\b", ": STRING")
-    ddl = F.regexp_replace(ddl, r"<VOID>", "<STRING>")
-    ddl = F.regexp_replace(ddl, r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE")
+    ddl = F.regexp_replace(ddl, r"(?<=: |<)(?:VOID|VARIANT)(?=[,>])", "STRING")
+    ddl = F.regexp_replace(ddl, r"(?<=: |<)DECIMAL\(\d+, *\d+\)(?=[,>])", "DOUBLE")
     text = landed.agg(ddl.alias("ddl")).first()["ddl"]
     if text is None or not text.startswith("STRUCT<") or text == "STRUCT<>":
         return StructType([])

@@ -57,15 +57,20 @@ def load_messages_batch(
     table: str | None = None,
     infer: bool = False,
     parse_update: bool = True,
+    rebalance: bool = False,
     path: str | None = None,
 ) -> DataFrame:
-    """The batch twin of `load_messages`; with `table`, also appends the rows to it."""
+    """The batch twin of `load_messages`; with `table`, also appends the rows to it.
+
+    `rebalance` pays for landing files that mix many years: one shuffle instead of a
+    small file per task and year.
+    """
     landed = sources.read_json(spark, landing, schemas.LANDED)
     schema = messages.infer_payload_schema(landed) if infer else schemas.PAYLOAD
     flat = messages.flatten(messages.parse_payload(landed, schema), parse_update)
     if table:
         by_year = "year" if parse_update else None
-        sinks.append_table(flat, table, by_year, rebalance=True, path=path)
+        sinks.append_table(flat, table, by_year, rebalance, path)
     return flat
 
 

@@ -100,8 +100,10 @@ def stream_kpis(
     """Keep both KPI tables up to date with a growing validations table.
 
     Incremental: a streaming aggregation keeps one state row per category, stop
-    and weekday, so a batch costs as much as its new rows. Otherwise each batch
-    only signals new data and the whole table is aggregated again.
+    and weekday, so a batch costs as much as its new rows. The session's shuffle
+    partitions at the first start fix the number of state stores; for this small
+    state a few do. Otherwise each batch only signals new data and the whole table
+    is aggregated again.
     """
     rows = stream_sources.stream_table(spark, table, **limits)
     if incremental:

@@ -4,13 +4,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_json(spark: SparkSession, path, schema: StructType | None = None, multiline: bool = False) -> DataFrame:
+def read_json(
+    spark: SparkSession, path, schema: StructType | None = None, multiline: bool = False
+) -> DataFrame:
     """JSON lines; a malformed line gives NULL fields. `multiline` reads one value per file."""
     reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", multiline)
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_parquet(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path, schema: StructType | None = None
+) -> DataFrame:
     """Parquet files, by the given schema or the files' own."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
