@@ -8,10 +8,8 @@ from tramline import fixed_values as fv
 
 def severity(cause: Column) -> Column:
     """Severity 1 to 4 of an exact cause name; unknown and NULL causes get the default."""
-    level = F
-    for name, value in fv.SEVERITY.items():
-        level = level.when(cause == name, value)
-    return level.otherwise(fv.DEFAULT_SEVERITY)
+    levels = [F.when(cause == name, value) for name, value in fv.SEVERITY.items()]
+    return F.coalesce(*levels, F.lit(fv.DEFAULT_SEVERITY))
 
 
 def is_urgent(severity_level: Column, hours: Column) -> Column:

@@ -54,10 +54,8 @@ def word_count(text: Column) -> Column:
 def length_band(words: Column) -> Column:
     """`short`, `medium` or `long` by number of words; NULL counts as 0."""
     count = F.coalesce(words, F.lit(0))
-    band = F
-    for name, bound in fv.LENGTH_BANDS:
-        band = band.when(count < bound, name)
-    return band.otherwise(fv.LONGEST_BAND)
+    bands = [F.when(count < bound, name) for name, bound in fv.LENGTH_BANDS]
+    return F.coalesce(*bands, F.lit(fv.LONGEST_BAND))
 
 
 def matches(text: Column, pattern: str, lowered: bool = False) -> Column:
