@@ -2,7 +2,12 @@
 
 import __spark_entry__ as entry
 import check
+import pyspark
 import pytest
+from pyspark.ml.feature import StopWordsRemover
+
+from tramline import catalogue
+from tramline import fixed_values as fv
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"split_random", "sample_rows", "ml_rf_score", "ml_lr_score", "ml_gbt_ovr_score"}
@@ -15,12 +20,26 @@ def sample_tables():
 
 @pytest.fixture(scope="module")
 def oracles():
-    return entry.oracle_sql()
+    return catalogue.oracles()
 
 
 def test_only_inexpressible_queries_lack_sql(oracles):
-    assert set(entry.queries()) - set(oracles) == ROWS_ONLY
-    assert set(oracles) <= set(entry.queries())
+    assert set(catalogue.QUERIES) - set(oracles) == ROWS_ONLY
+    assert set(oracles) <= set(catalogue.QUERIES)
+
+
+def test_entry_registers_the_catalogue(oracles):
+    assert set(catalogue.QUERIES) <= set(entry.queries())
+    assert oracles.items() <= entry.oracle_sql().items()
+
+
+def test_check_sql_needs_no_spark_files(monkeypatch, folder, oracles):
+    monkeypatch.setattr(pyspark, "__file__", f"{folder}/__init__.py")
+    assert entry.oracle_sql().items() >= oracles.items()
+
+
+def test_stop_words_are_sparks(spark):
+    assert fv.STOP_WORDS == StopWordsRemover.loadDefaultStopWords(fv.STOP_WORD_LANGUAGE)
 
 
 def test_entry(spark):
@@ -28,7 +47,7 @@ def test_entry(spark):
     assert rows and rows == sorted(rows, key=lambda r: -r["TOTAL_VALIDATION"])
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalogue.QUERIES)
 def test_query(spark, sample_tables, oracles, name):
-    ok, rows, note = check.compare(spark, sample_tables, SF_DIR, entry.queries()[name], oracles.get(name))
+    ok, rows, note = check.compare(spark, sample_tables, SF_DIR, catalogue.QUERIES[name], oracles.get(name))
     assert ok, note

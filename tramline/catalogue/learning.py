@@ -1,9 +1,5 @@
 """Text model, indexers, classifiers and their checks."""
 
-import zipfile
-from pathlib import Path
-
-import pyspark
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
@@ -198,17 +194,9 @@ QUERIES = {
 }
 
 
-def stop_word_list() -> list[str]:
-    """Spark's own list, from its jar, so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    entry = f"org/apache/spark/ml/feature/stopwords/{fv.STOP_WORD_LANGUAGE}.txt"
-    with zipfile.ZipFile(jar) as archive:
-        return archive.read(entry).decode("utf-8").split()
-
-
 def _terms_sql(fitted_on="TRUE"):
     """Words without stop words, and the vocabulary of the rows that `fitted_on` holds for."""
-    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_word_list())
+    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in fv.STOP_WORDS)
     return f"""{views.CLEAN_SQL},
 filtered AS (
   SELECT *, list_filter(words, lambda w: w NOT IN ({stops})) AS kept, {fitted_on} AS fitted FROM worded),
