@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe
-from tramline.llm.common import table
+from tramline.llm import byte_bpe, toxicity
+from tramline.llm.common import fold, table
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,8 +25,29 @@ def op2_byte_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
+
+
+def toxicity_model(docs, labels):
+    """Learnt from the labelled documents outside the held-out fold."""
+    learnt = labels.filter(fold("doc_id", TOXIC_FOLDS) != TOXIC_HELD_OUT)
+    return toxicity.train(toxicity.labelled_sample(docs, learnt, "toxic"))
+
+
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", TOXIC_FOLDS) == TOXIC_HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 
 
