@@ -45,16 +45,18 @@ def test_units():
 
 @pytest.fixture(scope="module")
 def model():
-    clean = [f"the {w} thing is over and done." for w in ("red", "blue", "small", "wooden", "idea") * 12]
+    clean = [f"the red thing. what a {w} you are, {w}" for w in ("red", "blue", "small", "wooden", "idea") * 12]
     toxic = [f"the red thing. what a {w} you are, {w}" for w in ("fatuous", "wretched", "lumpkin") * 12]
     return toxicity.train([(t, 0) for t in clean] + [(t, 1) for t in toxic])
 
 
 def test_gaps_and_inserted_characters(model):
     scores = toxicity.Scorer(model).scores(
-        ["a fatuous one", "a f a t u o u s one", "a fat-uous, one", "a fatxuous one", "FATUOUS!!!", "small and red", "", " . "]
+        ["a fatuous one", "a f a t u o u s one", "a fat-uous, one", "FATUOUS!!!", "small and red", "", " . "]
     )
-    assert min(scores[:5]) > 0.5 > max(scores[5:])
+    assert min(scores[:4]) > 0.5 > max(scores[4:])
+    stretched = toxicity.Scorer(model).scores(["a " + "fatuous"[:i] + "x" + "fatuous"[i:] for i in range(8)])
+    assert min(stretched) > 5 * max(scores[4:]) and sum(s > 0.5 for s in stretched) >= 4
 
 
 def test_batches_do_not_matter(model):

@@ -38,7 +38,7 @@ FRAME = 3
 POWER = 2
 FLOOR = 0.1
 LANDMARKS = 96
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS = 1_500
 ROUNDS = 4
 SEED = 9
 RIDGE = 1.0
@@ -170,47 +170,71 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * decision + self.offset, -30, 30))))
 
 
-def choose_landmarks(docs: list[tuple[list[list[str]], int]], most: int) -> list[str]:
+@dataclass(frozen=True)
+class Sample:
+    """Labelled documents as sentences of unit numbers, flat."""
+
+    units: list[str]
+    at: np.ndarray  # unit numbers of all sentences
+    start: np.ndarray  # of each sentence in `at`
+    owner: np.ndarray  # document of each sentence
+    label: np.ndarray  # of each document
+
+    @classmethod
+    def of(cls, rows) -> "Sample":
+        number: dict[str, int] = {}
+        at, start, owner, label = [], [], [], []
+        for text, y in rows:
+            parts = sentences(text or "")
+            for sentence in parts:
+                start.append(start[-1] + len(at[-1]) if start else 0)
+                at.append(np.array([number.setdefault(u, len(number)) for u in sentence], np.int32))
+                owner.append(len(label))
+            if parts:
+                label.append(y)
+        flat = np.concatenate(at) if at else np.zeros(0, np.int32)
+        return cls(list(number), flat, np.array(start, int), np.array(owner, int), np.array(label, int))
+
+
+def choose_landmarks(sample: Sample, most: int) -> list[str]:
     """Units most over-represented in toxic documents, ties by alphabet."""
-    seen: list[dict[str, int]] = [{}, {}]
-    sizes = [1, 1]
-    for parts, label in docs:
-        sizes[label] += 1
-        for unit in {u for s in parts for u in s if 2 < len(u) <= LANDMARK_CHARS}:
-            seen[label][unit] = seen[label].get(unit, 0) + 1
-    gain = {
-        u: n * np.log((n / sizes[1]) / ((seen[0].get(u, 0) + 0.5) / sizes[0]))
-        for u, n in seen[1].items()
-        if n > 1
-    }
-    return sorted((u for u in gain if gain[u] > 0), key=lambda u: (-gain[u], u))[:most]
-
-
-def _pool(landmarks: Landmarks, docs, pick) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pooled kernels of all sentences, the same with a character put into the unit
-    nearest to a landmark, and the document each belongs to."""
-    units = sorted({u for parts, _ in docs for s in parts for u in s})
-    values = landmarks.kernels(units)
+    sizes = np.bincount(sample.label, minlength=2) + 1
+    document = np.repeat(sample.owner, np.diff(np.r_[sample.start, len(sample.at)]))
+    seen = np.unique(sample.at.astype(np.int64) * len(sample.label) + document)
+    unit, toxic = seen // len(sample.label), sample.label[seen % len(sample.label)] == 1
+    counts = [np.bincount(unit[m], minlength=len(sample.units)) for m in (~toxic, toxic)]
+    gain = counts[1] * np.log(np.maximum(counts[1], 0.5) / sizes[1] * sizes[0] / (counts[0] + 0.5))
+    fits = [i for i in np.flatnonzero((counts[1] > 1) & (gain > 0)) if 2 < len(sample.units[i]) <= LANDMARK_CHARS]
+    fits.sort(key=lambda i: (-gain[i], sample.units[i]))
+    return [sample.units[i] for i in fits[:most]]
+
+
+def _pool(landmarks: Landmarks, sample: Sample, pick) -> tuple[np.ndarray, np.ndarray]:
+    """Pooled kernels of all sentences, and the same with a character put into the unit
+    nearest to a landmark."""
+    values = landmarks.kernels(sample.units)
     near = values.max(axis=1)
-    at = {u: i for i, u in enumerate(units)}
-    rows = [[at[u] for u in s] for parts, _ in docs for s in parts]
-    best = [max(r, key=near.__getitem__) for r in rows]
-    places = [int(pick.integers(1, len(units[i]) + 1)) for i in best]
-    letters = pick.integers(97, 123, len(best)).tolist()
-    changed = landmarks.kernels(
-        [units[i][:p] + chr(c) + units[i][p:] for i, p, c in zip(best, places, letters, strict=True)]
-    )
-    rest = [[i for i in r if i != b] for r, b in zip(rows, best, strict=True)]
-    pooled = np.array([values[r].max(axis=0) for r in rows])
-    for row, r in zip(changed, rest, strict=True):
-        if r:
-            np.maximum(row, values[r].max(axis=0), out=row)
-    return pooled, changed, np.array([d for d, (parts, _) in enumerate(docs) for _ in parts])
+    ends = np.r_[sample.start[1:], len(sample.at)]
+    pooled = np.zeros((len(ends), values.shape[1]), np.float32)
+    changed = np.zeros_like(pooled)
+    stretched = []
+    for row, (a, b) in enumerate(zip(sample.start, ends, strict=True)):
+        at = sample.at[a:b]
+        best = at[near[at].argmax()]
+        values[at].max(axis=0, out=pooled[row])
+        if (rest := at[at != best]).size:
+            values[rest].max(axis=0, out=changed[row])
+        unit, place = sample.units[best], int(pick.integers(1, len(sample.units[best]) + 1))
+        stretched.append(unit[:place] + chr(pick.integers(97, 123)) + unit[place:])
+    for begin in range(0, len(stretched), 10_000):
+        part = slice(begin, begin + 10_000)
+        np.maximum(changed[part], landmarks.kernels(stretched[part]), out=changed[part])
+    return pooled, changed
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by Newton steps, each over the margin's violators."""
-    full = np.c_[x, np.ones(len(x))]
+    full = np.c_[x, np.ones(len(x), np.float32)]
     ridge = np.r_[np.full(x.shape[1], RIDGE), 1e-6]
     w = np.zeros(full.shape[1])
 
@@ -219,8 +243,9 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray,
 
     for _ in range(40):
         short = y * (full @ w) < 1
-        part = full[short] * weight[short, None]
-        best = np.linalg.solve(part.T @ full[short] + np.diag(ridge), part.T @ y[short])
+        part = full[short]
+        heavy = part * weight[short, None].astype(np.float32)
+        best = np.linalg.solve(heavy.T @ part + np.diag(ridge), heavy.T @ y[short])
         step, now = 1.0, loss(w)
         while step > 1e-4 and loss(w + step * (best - w)) > now:
             step /= 2
@@ -244,17 +269,16 @@ def _logistic(decision: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def train(rows: list[tuple[str, int]]) -> Model | None:
     """Fits on (text, 0 or 1); None if a class is missing or no unit tells them apart."""
-    docs = [(sentences(text or ""), label) for text, label in rows]
-    docs = [(parts, label) for parts, label in docs if parts]
-    labels = np.array([label for _, label in docs])
-    landmarks = choose_landmarks(docs, LANDMARKS)
-    if len(set(labels)) < 2 or not landmarks:
+    sample = Sample.of(rows)
+    labels, owner = sample.label, sample.owner
+    landmarks = choose_landmarks(sample, LANDMARKS) if len(set(labels)) == 2 else []
+    if not landmarks:
         return None
     near = Landmarks.of(landmarks)
-    pooled, changed, owner = _pool(near, docs, np.random.default_rng(SEED))
+    pooled, changed = _pool(near, sample, np.random.default_rng(SEED))
     own = near.kernels(landmarks).astype(float)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
-    white = vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))
+    white = (vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))).astype(np.float32)
     x, stretched = pooled @ white, changed @ white
     decision = pooled.max(axis=1)  # before the first model: nearness to any landmark
     bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
