@@ -3,8 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, toxicity
+from tramline.llm import byte_bpe, token_blocks, toxicity
 from tramline.llm.common import fold, table
+from tramline.session import work_folder
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +26,16 @@ def op2_byte_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op4_token_blocks(spark, sf_dir):
+    folder = work_folder(spark, "token-blocks")
+    token_blocks.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(BYTE_BPE), end_id=0)
+    read = token_blocks.read(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
 
 
@@ -47,6 +58,7 @@ def op9_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_token_blocks": op4_token_blocks,
     "op9_toxicity": op9_toxicity,
 }
 

@@ -6,51 +6,65 @@ PERCENTILE smallest share of its values needs; the values that need more are
 exceptions, stored as a list of places and high bits. The index gives the start of
 every block, so any document is read by unpacking the blocks it lies in.
 
-Files come from contiguous ranges of document ids: file k continues where k - 1 ends.
-Every file is one row (`part`, its first position in the whole, the bytes), written by
-Spark, so a lost task just writes its rows again. A manifest row per document tells
-its file and position.
-
-File format, all little-endian: magic "PFB1", u32 block size, u64 first position,
-u64 number of ids, u32 number of blocks, then per block a u64 offset (from the file's
-start), then the blocks: u32 minimum, u16 count - 1, u8 width, u8 high width, u16
-exceptions, the packed low bits, u16 exception places, the packed high bits.
-
-Defined results: a null text counts as empty and gives the end id alone; documents with
-equal ids are ordered by their text; a null id sorts first; other columns are dropped.
+Documents are dealt out by ranges of their ids and sorted; each task encodes its range
+and packs it into files of about FILE_IDS ids, whole documents each. A file is one row
+of a Parquet table: range, number within the range, bytes, and its documents with
+their counts. Positions in the whole follow from the counts: one number per range is
+summed on the driver, the files of a range by a window, documents within their file.
+
+File format, all little-endian: magic "PFB1", u32 block size, u64 number of ids, u32
+number of blocks, then per block a u64 offset from the file's start, then the blocks:
+u32 minimum, u16 count - 1, u8 width, u8 width of the high bits, u16 exceptions, the
+packed low bits, u16 exception places, the packed high bits.
+
+Defined results: a null text counts as empty and gives the end id alone; rows with equal
+ids follow each other, ordered by a hash of their text; null ids come first; other
+columns are dropped; an empty table gives no files.
 """
 
 import functools
+import re
 import struct
-from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.llm import common
 
 MAGIC = b"PFB1"
-BLOCK_IDS = 1024
+BLOCK_IDS = 4096
 PERCENTILE = 90
 FILE_IDS = 1 << 20
-_HEAD = struct.Struct("<4sIQQI")
+# Distinct words whose ids a task keeps.
+KEPT_WORDS = 500_000
+# A space beside other white space, and where to cut a text that has one.
+_IRREGULAR = re.compile(r" \s|\s ")
+_CUT = re.compile(r"(?<=\S)(?= \S)")
+_HEAD = struct.Struct("<4sIQI")
 _BLOCK = struct.Struct("<IHBBH")
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
+    """The low `width` bits of 32-bit values, one value after another."""
     if not width:
         return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    kind = "<u2" if width <= 16 else "<u4"
+    bits = np.unpackbits(values.astype(kind).view(np.uint8), bitorder="little").reshape(len(values), -1)
+    return np.packbits(bits[:, :width], bitorder="little").tobytes()
 
 
 def _unpack(data: memoryview, count: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(count, np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little")
-    return bits.reshape(count, width).astype(np.uint32) @ (1 << np.arange(width, dtype=np.uint32))
+    kind = np.dtype("<u2" if width <= 16 else "<u4")
+    bits = np.zeros((count, kind.itemsize * 8), np.uint8)
+    packed = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little")
+    bits[:, :width] = packed.reshape(count, width)
+    return np.packbits(bits, bitorder="little").view(kind).astype(np.uint32)
 
 
 def _packed_bytes(count: int, width: int) -> int:
@@ -61,7 +75,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     """One block of at most 65,536 ids below 2**32."""
     base = int(ids.min())
     rest = (ids - np.uint32(base)).astype(np.uint32)
-    width = int(np.sort(rest)[max(0, -(-len(rest) * PERCENTILE // 100) - 1)]).bit_length()
+    within = max(0, -(-len(rest) * PERCENTILE // 100) - 1)
+    width = int(np.partition(rest, within)[within]).bit_length()
     high = (rest.astype(np.uint64) >> np.uint64(width)).astype(np.uint32)
     places = np.flatnonzero(high)
     high_width = int(high.max()).bit_length()
@@ -83,19 +98,19 @@ def unpack_block(data: memoryview) -> np.ndarray:
     return out + np.uint32(base)
 
 
-def pack_file(ids: np.ndarray, first: int) -> bytes:
+def pack_file(ids: np.ndarray) -> bytes:
     blocks = [pack_block(ids[i : i + BLOCK_IDS]) for i in range(0, len(ids), BLOCK_IDS)]
     start = _HEAD.size + 8 * len(blocks)
     offsets = start + np.cumsum([0, *map(len, blocks)])[: len(blocks)]
-    head = _HEAD.pack(MAGIC, BLOCK_IDS, first, len(ids), len(blocks))
+    head = _HEAD.pack(MAGIC, BLOCK_IDS, len(ids), len(blocks))
     return b"".join([head, offsets.astype("<u8").tobytes(), *blocks])
 
 
 class Reader:
-    """Ids of a file by their position in the whole; unpacks the blocks that are asked for."""
+    """Ids of a file by their position in it; unpacks only the blocks that are asked for."""
 
     def __init__(self, data: bytes):
-        magic, self.block, self.first, self.count, blocks = _HEAD.unpack_from(data)
+        magic, self.block, self.count, blocks = _HEAD.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a file of token blocks")
         self.data = memoryview(data)
@@ -106,13 +121,12 @@ class Reader:
         return unpack_block(self.data[int(self.offsets[k]) :])
 
     def ids(self, start: int, count: int) -> np.ndarray:
-        a = start - self.first
-        if a < 0 or a + count > self.count:
+        if start < 0 or start + count > self.count:
             raise IndexError("outside this file")
-        blocks = [self._unpacked(k) for k in range(a // self.block, -(-(a + count) // self.block))]
-        if not blocks:
+        if not count:
             return np.zeros(0, np.uint32)
-        skip = a % self.block
+        blocks = [self._unpacked(k) for k in range(start // self.block, -(-(start + count) // self.block))]
+        skip = start % self.block
         return np.concatenate(blocks)[skip : skip + count]
 
 
@@ -127,45 +141,122 @@ def _tokenizer(content: bytes):
     return out
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, ids, n): each text's ids and the end id, as little-endian unsigned 32-bit integers."""
+class WordEncoder:
+    """Ids of whole texts, each distinct word encoded once.
+
+    A byte-level tokenizer always cuts before a space that stands between two other
+    characters than white space, so the stretches between such cuts are encoded on
+    their own and give the ids of the whole text.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
+
+    def _learn(self, words: set[str]) -> None:
+        new = words - self.known.keys()
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known, new = {}, words
+        listed = list(new)
+        for begin in range(0, len(listed), 10_000):
+            part = listed[begin : begin + 10_000]
+            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.known.update((w, tuple(c.ids)) for w, c in zip(part, coded, strict=True))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        cut = [_words(t) for t in texts]
+        self._learn(set(chain.from_iterable(cut)))
+        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
+
+
+def _words(text: str) -> list[str]:
+    if _IRREGULAR.search(text):
+        return _CUT.split(text)
+    first, *rest = text.split(" ")
+    return [first, *[" " + word for word in rest]]
+
+
+def write(
+    docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text"
+) -> None:
+    """Writes the table of files to `folder`: part, file, n, ids (of documents), counts, data."""
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(common.file_bytes(tokenizer_path))
     id_type = dict(docs.dtypes)[id_column]
-    end = np.array([end_id], "<u4").tobytes()
 
-    def run(stream):
-        tokenizer = _tokenizer(content.value)
+    def rows(stream):
+        """(document id, its ids with the end id)"""
+        encoder = WordEncoder(_tokenizer(content.value))
         for batch in stream:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                ids = [np.array(c.ids, "<u4").tobytes() + end for c in coded]
-                n = pa.array([len(i) // 4 for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.large_binary()), n], ["id", "ids", "n"])
+                coded = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                for document, ids in zip(part.column("id").to_pylist(), coded, strict=True):
+                    yield document, np.array([*ids, end_id], np.uint32)
 
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(run, f"id {id_type}, ids binary, n long")
-
-
-def write(
-    docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text"
-) -> None:
-    """Writes `folder`/files and `folder`/manifest.
+    def run(stream):
+        part, file, held = TaskContext.get().partitionId(), 0, []
+        size = 0
+        for row in rows(stream):
+            held.append(row)
+            size += len(row[1])
+            if size >= FILE_IDS:
+                yield _file_row(part, file, held)
+                file, held, size = file + 1, [], 0
+        if held:
+            yield _file_row(part, file, held)
 
-    The ids go to Parquet once, in ranges of document ids; the counts of the ranges (one
-    number each) give every range its first position.
-    """
-    spark = docs.sparkSession
-    coded = tokenized(docs, tokenizer_path, end_id, id_column, text_column)
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = coded.repartitionByRange(parts, "id", "ids").sortWithinPartitions("id", "ids")
-    ranged.withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/ids")
-    stored = spark.read.parquet(f"{folder}/ids")
-    sizes = {r.part: r.n for r in stored.groupBy("part").agg(F.sum("n").alias("n")).collect()}
-    first, starts = 0, {}
-    for part in sorted(sizes):
-        starts[part] = first
-        first += sizes[part]
-    _packed(stored, starts).write.parquet(f"{folder}/files")
+    keyed = texts.withColumn("tie", F.xxhash64("text"))
+    ranged = keyed.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie").drop("tie")
+    packed = ranged.mapInArrow(run, f"part int, file int, n long, ids array<{id_type}>, counts array<long>, data binary")
+    packed.write.parquet(folder)
+
+
+def _file_row(part: int, file: int, held: list) -> pa.RecordBatch:
+    ids = np.concatenate([i for _, i in held])
+    columns = {
+        "part": pa.array([part], pa.int32()),
+        "file": pa.array([file], pa.int32()),
+        "n": pa.array([len(ids)], pa.int64()),
+        "ids": pa.array([[d for d, _ in held]]),
+        "counts": pa.array([[len(i) for _, i in held]], pa.list_(pa.int64())),
+        "data": pa.array([pack_file(ids)], pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def read(spark: SparkSession, folder: str, id_column: str = "doc_id") -> DataFrame:
+    """(id_column, start, n_tokens, ids) of every document; ids as little-endian unsigned 32-bit integers."""
+    files = spark.read.parquet(folder)
+    id_type = files.schema["ids"].dataType.elementType.simpleString()
+    sums = files.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one number per range
+    before, total = {}, 0
+    for r in sorted(sums, key=lambda r: r.part):
+        before[r.part] = total
+        total += r.n
+    earlier = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("part", "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+
+    def run(stream):
+        for batch in stream:
+            for row in range(batch.num_rows):
+                one = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
+                reader, at, ids, starts = Reader(one["data"]), 0, [], []
+                for count in one["counts"]:
+                    ids.append(reader.ids(at, count).astype("<u4").tobytes())
+                    starts.append(before[one["part"]] + one["before"] + at)
+                    at += count
+                columns = [
+                    batch.column("ids")[row].values,
+                    pa.array(starts, pa.int64()),
+                    pa.array(one["counts"], pa.int64()),
+                    pa.array(ids, pa.large_binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "ids"])
+
+    placed = files.join(starts, ["part", "file"])
+    out = placed.select("part", "before", "ids", "counts", "data").mapInArrow(
+        run, f"id {id_type}, start long, n_tokens long, ids binary"
+    )
+    return out.withColumnRenamed("id", id_column)
