@@ -80,7 +80,10 @@ def test_training_needs_both_classes(spark):
     assert toxicity.train([("only clean", 0), (None, 1)]) is None
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (1, 1)], "doc_id long, toxic int")
-    assert toxicity.labelled_sample(docs, labels, "toxic") == [("a", 1), ("", 0)]
+    sample = toxicity.labelled_sample(docs, labels, "toxic")
+    assert sorted(map(tuple, sample.collect())) == [(1, "a", 1), (2, "", 0)]
+    assert toxicity.fit(sample) is None
+    assert toxicity.fit(sample.limit(0)) is None
 
 
 def test_query_held_out(spark):

@@ -42,7 +42,7 @@ TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
 def toxicity_model(docs, labels):
     """Learnt from the labelled documents outside the held-out fold."""
     learnt = labels.filter(fold("doc_id", TOXIC_FOLDS) != TOXIC_HELD_OUT)
-    return toxicity.train(toxicity.labelled_sample(docs, learnt, "toxic"))
+    return toxicity.fit(toxicity.labelled_sample(docs, learnt, "toxic"))
 
 
 def op9_toxicity(spark, sf_dir):

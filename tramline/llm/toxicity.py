@@ -14,13 +14,14 @@ learnt with a character put into its likeliest unit. A document scores as
 its worst sentence, mapped to 0..1 by a logistic curve fitted on the training rows.
 
 Training reads a bounded sample of the labelled rows: at most SAMPLE_ROWS of each
-class, those of the smallest hashed ids. Scoring reads every whole text.
+class, those of the smallest hashed ids, in one task. Scoring reads every whole text.
 
 Defined results: a null or empty text scores as a sentence without units; rows with a
 null label are not learnt from; equal rows score equally; other columns are dropped.
 Without labels of both classes every score is 0.
 """
 
+import pickle
 import re
 from dataclasses import dataclass
 from itertools import combinations
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm import common
+
 LENGTH = 4
 DECAY = 0.8
 SPAN = 7
@@ -372,17 +375,29 @@ class Scorer:
         return [self.model.score(w) for w in worst]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_column: str = "doc_id", text_column: str = "text"):
-    """At most SAMPLE_ROWS (text, label) of each class, by hashed id; they go to the driver."""
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(id, text, y) of at most SAMPLE_ROWS labelled documents of each class, by hashed id."""
     known = labels.filter(F.col(label).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
     rank = F.xxhash64("id", F.lit(SEED))
     picked = [
         known.filter(F.col("y") == y).dropDuplicates(["id"]).orderBy(rank, "id").limit(SAMPLE_ROWS) for y in (0, 1)
     ]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * SAMPLE_ROWS rows
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    found = texts.join(ids, "id").select("id", "text", "y").collect()
-    return [(r.text or "", r.y) for r in sorted(found, key=lambda r: (r.id, r.text or ""))]
+    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
+    return texts.join(ids, "id").select("id", "text", "y")
+
+
+def fit(sample: DataFrame) -> Model | None:
+    """Trains on all rows of a bounded sample, in one task; only the model is returned."""
+
+    def run(stream):
+        rows = sorted(common.records(stream, "id", "text", "y"))
+        model = train([(text, y) for _, text, y in rows])
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").head().model)
 
 
 def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
