@@ -397,7 +397,8 @@ def fit(sample: DataFrame) -> Model | None:
         model = train([(text, y) for _, text, y in rows])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").head().model)
+    found = sample.repartition(1).mapInArrow(run, "model binary").head()
+    return pickle.loads(found.model) if found else None
 
 
 def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
