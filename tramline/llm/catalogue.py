@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, token_blocks, toxicity
+from tramline.llm import byte_bpe, chat_format, token_blocks, toxicity
 from tramline.llm.common import fold, table
 from tramline.session import work_folder
 
@@ -22,6 +22,13 @@ def token_digests(docs):
     )
 
 
+def op1_chat_format(spark, sf_dir):
+    probe = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(probe, turns.schema))
+    return chat_format.read_back(chat_format.format_examples(turns))
+
+
 def op2_byte_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -57,6 +64,7 @@ def op9_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_blocks": op4_token_blocks,
     "op9_toxicity": op9_toxicity,
