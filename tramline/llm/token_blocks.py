@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tramline.llm import common
 
@@ -39,8 +40,8 @@ MAGIC = b"PFB1"
 BLOCK_IDS = 4096
 PERCENTILE = 90
 FILE_IDS = 1 << 20
-# Distinct words whose ids a task keeps.
-KEPT_WORDS = 500_000
+# Distinct words whose ids a Python worker keeps, from task to task.
+KEPT_WORDS = 1_000_000
 # A space beside other white space, and where to cut a text that has one.
 _IRREGULAR = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -130,10 +131,7 @@ class Reader:
         return np.concatenate(blocks)[skip : skip + count]
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(content: bytes):
-    from tokenizers import Tokenizer
-
+def _tokenizer(content: bytes) -> Tokenizer:
     out = Tokenizer.from_str(content.decode())
     out.encode_special_tokens = True
     out.no_padding()
@@ -160,12 +158,17 @@ class WordEncoder:
         for begin in range(0, len(listed), 10_000):
             part = listed[begin : begin + 10_000]
             coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((w, tuple(c.ids)) for w, c in zip(part, coded, strict=True))
+            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded, strict=True))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [_words(t) for t in texts]
         self._learn(set(chain.from_iterable(cut)))
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in cut]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(content: bytes) -> WordEncoder:
+    return WordEncoder(_tokenizer(content))
 
 
 def _words(text: str) -> list[str]:
@@ -185,13 +188,13 @@ def write(
 
     def rows(stream):
         """(document id, its ids with the end id)"""
-        encoder = WordEncoder(_tokenizer(content.value))
+        encoder = _encoder(content.value)
         for batch in stream:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 coded = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 for document, ids in zip(part.column("id").to_pylist(), coded, strict=True):
-                    yield document, np.array([*ids, end_id], np.uint32)
+                    yield document, np.append(ids, np.uint32(end_id))
 
     def run(stream):
         part, file, held = TaskContext.get().partitionId(), 0, []
