@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 from tramline.llm import catalogue, token_blocks
 
 PATH = public_tokenizers.path(catalogue.BYTE_BPE)
+LIBRARY = token_blocks._tokenizer(token_blocks.common.file_bytes(PATH))
 
 
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(50, 90), min_size=1, max_size=300))
@@ -43,7 +44,7 @@ def test_reader_finds_any_stretch():
 @given(st.lists(st.sampled_from(["a", "é", "'s", " ", "  ", "\n", "\x1c", "\xa0", "12", "!", "word"]), max_size=30))
 def test_word_by_word_is_the_library(parts):
     text = "".join(parts)
-    tokenizer = token_blocks._tokenizer(open(PATH, "rb").read())
+    tokenizer = LIBRARY
     whole = tokenizer.encode(text, add_special_tokens=False).ids
     assert token_blocks.WordEncoder(tokenizer).encode([text])[0].tolist() == whole
 
