@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from brute import parts_of
 
 from tramline.llm import graph, line_dedup
 
@@ -17,20 +18,6 @@ def near(x, y):
     return len(a & b) >= line_dedup.SIMILARITY * len(a | b)
 
 
-def parts_of(nodes, links):
-    root = {n: n for n in nodes}
-
-    def find(n):
-        while root[n] != n:
-            n = root[n]
-        return n
-
-    for a, b in links:
-        x, y = sorted((find(a), find(b)))
-        root[y] = x
-    return {n: find(n) for n in nodes}
-
-
 def brute(rows):
     """(id, place) of removed lines."""
     where = {}
