@@ -39,8 +39,8 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _signature() -> F.Column:
     shingles = F.regexp_extract_all("line", F.lit(rf"(?<!\S)(?=(\S.{{0,{SHINGLE - 1}}}))"), F.lit(1))
-    hashes = F.array_sort(F.array_distinct(F.transform(shingles, lambda s: F.xxhash64(s))))
-    return F.slice(hashes, 1, SIGNATURE)
+    hashes = F.sort_array(F.transform(shingles, lambda s: F.xxhash64(s)))
+    return F.slice(F.array_distinct(hashes), 1, SIGNATURE)
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
@@ -64,11 +64,13 @@ def _shingles(line: str) -> F.Column:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Adds `near` to pairs (a, other)."""
-    left = texts.select("a", F.col("node").alias("u"), F.col("shingles").alias("x"))
-    right = texts.select(F.col("a").alias("other"), F.col("node").alias("v"), F.col("shingles").alias("y"))
+    left = texts.select("a", F.col("node").alias("u"), F.col("line").alias("x"))
+    right = texts.select(F.col("a").alias("other"), F.col("node").alias("v"), F.col("line").alias("y"))
     both = pairs.join(left, "a").join(right, "other")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.withColumn("near", shared >= SIMILARITY * (F.size("x") + F.size("y") - shared)).drop("x", "y")
+    cut = both.select("a", "other", "u", "v", _shingles("x").alias("x"), _shingles("y").alias("y"))
+    sized = cut.withColumn("shared", F.size(F.array_intersect("x", "y")))
+    near = F.col("shared") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("shared"))
+    return sized.select("a", "other", "u", "v", near.alias("near"))
 
 
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -81,11 +83,11 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
         lines.join(wanted, "a", "left_semi")
         .groupBy("a", "b", "line")
         .agg(F.min(node).alias("node"))
-        .select("a", "b", "node", _shingles("line").alias("shingles")),
+        .select("a", "line", "node"),
         "line-texts",
     )
     by_first = members.filter("a <> first").select("a", F.col("first").alias("other")).distinct()
-    first_round = materialise(_verified(by_first, texts).select("a", "other", "u", "v", "near"), "line-links")
+    first_round = materialise(_verified(by_first, texts), "line-links")
     failed = first_round.filter("NOT near").select("a", F.col("other").alias("first")).distinct()
     rest = members.join(failed, ["a", "first"]).select("band", "a")
     others = members.filter("a <> first").select("band", F.col("a").alias("other"))
