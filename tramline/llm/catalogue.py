@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, chat_format, line_dedup, simhash, token_blocks, toxicity
+from tramline.llm import byte_bpe, chat_format, lattice_dedup, line_dedup, simhash, token_blocks, toxicity
 from tramline.llm.common import fold, table
 from tramline.session import work_folder
 
@@ -63,6 +63,10 @@ def op9_toxicity(spark, sf_dir):
     )
 
 
+def op6_lattice_dedup(spark, sf_dir):
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_blocks": op4_token_blocks,
+    "op6_lattice_dedup": op6_lattice_dedup,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
