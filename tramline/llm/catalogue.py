@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, chat_format, lattice_dedup, line_dedup, simhash, token_blocks, toxicity
+from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, simhash, token_blocks, toxicity
 from tramline.llm.common import fold, table
 from tramline.session import work_folder
 
@@ -63,6 +63,16 @@ def op9_toxicity(spark, sf_dir):
     )
 
 
+def op5_decontaminate(spark, sf_dir):
+    found = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        F.col("item").alias("item_id"),
+        F.col("shared").cast("long").alias("n_shared"),
+        F.col("shingles").cast("long").alias("n_shingles"),
+    )
+
+
 def op6_lattice_dedup(spark, sf_dir):
     return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +90,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_blocks": op4_token_blocks,
+    "op5_decontaminate": op5_decontaminate,
     "op6_lattice_dedup": op6_lattice_dedup,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
@@ -87,5 +98,23 @@ QUERIES = {
 }
 
 
+def _shingled_sql(name: str, id_column: str, size: int) -> str:
+    """Distinct shingles of words, as CTEs."""
+    return f"""
+{name}_words AS (
+  SELECT {id_column}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {name} WHERE text IS NOT NULL),
+{name}_shingles AS (
+  SELECT DISTINCT {id_column}, array_to_string(w[i : i + {size - 1}], ' ') AS s
+  FROM (SELECT {id_column}, w, unnest(range(1, len(w) - {size - 2})) AS i FROM {name}_words))"""
+
+
+LEAKS_SQL = f"""WITH {_shingled_sql("documents", "doc_id", decontaminate.SHINGLE)},
+{_shingled_sql("benchmark", "item_id", decontaminate.SHINGLE)},
+sizes AS (SELECT item_id, count(*) AS n FROM benchmark_shingles GROUP BY 1)
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n) AS n_shingles
+FROM benchmark_shingles JOIN documents_shingles USING (s) JOIN sizes USING (item_id)
+GROUP BY 1, 2 HAVING count(*) >= {decontaminate.LEAST_CONTAINMENT} * any_value(n)"""
+
+
 def oracles():
-    return {}
+    return {"op5_decontaminate": LEAKS_SQL}
