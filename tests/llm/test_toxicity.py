@@ -5,7 +5,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from tramline.llm import catalogue, toxicity
+from tramline.llm import catalogue, common, toxicity
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -80,7 +80,7 @@ def test_training_needs_both_classes(spark):
     assert toxicity.train([("only clean", 0), (None, 1)]) is None
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (1, 1)], "doc_id long, toxic int")
-    sample = toxicity.labelled_sample(docs, labels, "toxic")
+    sample = common.labelled_sample(docs, labels, "toxic", 10, 1)
     assert sorted(map(tuple, sample.collect())) == [(1, "a", 1), (2, "", 0)]
     assert toxicity.fit(sample) is None
     assert toxicity.fit(sample.limit(0)) is None

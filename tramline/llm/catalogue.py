@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, simhash, token_blocks, toxicity
-from tramline.llm.common import fold, table
+from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, quality, simhash, token_blocks, toxicity
+from tramline.llm.common import fold, labelled_sample, table
 from tramline.session import work_folder
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -49,7 +49,7 @@ TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
 def toxicity_model(docs, labels):
     """Learnt from the labelled documents outside the held-out fold."""
     learnt = labels.filter(fold("doc_id", TOXIC_FOLDS) != TOXIC_HELD_OUT)
-    return toxicity.fit(toxicity.labelled_sample(docs, learnt, "toxic"))
+    return toxicity.fit(labelled_sample(docs, learnt, "toxic", toxicity.SAMPLE_ROWS, toxicity.SEED))
 
 
 def op9_toxicity(spark, sf_dir):
@@ -77,6 +77,21 @@ def op6_lattice_dedup(spark, sf_dir):
     return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+QUALITY_FOLDS, QUALITY_HELD_OUT = 3, 1
+
+
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = table(spark, sf_dir, "labels").filter(fold("doc_id", QUALITY_FOLDS) != QUALITY_HELD_OUT)
+    model = quality.fit(labelled_sample(docs, learnt, "quality", quality.SAMPLE_ROWS, quality.SEED))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (fold("doc_id", QUALITY_FOLDS) == QUALITY_HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -92,6 +107,7 @@ QUERIES = {
     "op4_token_blocks": op4_token_blocks,
     "op5_decontaminate": op5_decontaminate,
     "op6_lattice_dedup": op6_lattice_dedup,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,

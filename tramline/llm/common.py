@@ -1,7 +1,5 @@
 """Helpers shared by the corpus operators."""
 
-import hashlib
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,14 +51,40 @@ def file_bytes(path: str) -> bytes:
         return file.read()
 
 
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
 def fold(column: str, folds: int) -> F.Column:
     """crc32 of the id as text, modulo `folds`: the split the labels are learned under."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    rows: int,
+    seed: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """(id, text, y) of at most `rows` labelled documents of each class, by hashed id."""
+    known = labels.filter(F.col(label).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
+    rank = F.xxhash64("id", F.lit(seed))
+    picked = [known.filter(F.col("y") == y).dropDuplicates(["id"]).orderBy(rank, "id").limit(rows) for y in (0, 1)]
+    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * rows rows
+    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
+    return texts.join(ids, "id").select("id", "text", "y")
+
+
+def scored(docs: DataFrame, one_task, id_column: str, text_column: str) -> DataFrame:
+    """(id_column, score); `one_task()` gives each task its function from texts to scores."""
+    id_type = dict(docs.dtypes)[id_column]
+
+    def run(stream):
+        scores = one_task()
+        for batch in stream:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                values = scores([t or "" for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.float64())], ["id", "score"])
+
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    return texts.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_column)

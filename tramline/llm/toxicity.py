@@ -29,7 +29,6 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tramline.llm import common
 
@@ -375,20 +374,6 @@ class Scorer:
         return [self.model.score(w) for w in worst]
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(id, text, y) of at most SAMPLE_ROWS labelled documents of each class, by hashed id."""
-    known = labels.filter(F.col(label).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
-    rank = F.xxhash64("id", F.lit(SEED))
-    picked = [
-        known.filter(F.col("y") == y).dropDuplicates(["id"]).orderBy(rank, "id").limit(SAMPLE_ROWS) for y in (0, 1)
-    ]
-    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * SAMPLE_ROWS rows
-    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    return texts.join(ids, "id").select("id", "text", "y")
-
-
 def fit(sample: DataFrame) -> Model | None:
     """Trains on all rows of a bounded sample, in one task; only the model is returned."""
 
@@ -404,16 +389,9 @@ def fit(sample: DataFrame) -> Model | None:
 def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id_column, score) for every row."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    id_type = dict(docs.dtypes)[id_column]
 
-    def run(stream):
+    def one_task():
         scorer = Scorer(held.value) if held.value else None
-        for batch in stream:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                values = scorer.scores(texts) if scorer else [0.0] * len(texts)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.float64())], ["id", "score"])
-
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_column)
+        return lambda texts: scorer.scores(texts) if scorer else [0.0] * len(texts)
+
+    return common.scored(docs, one_task, id_column, text_column)
