@@ -73,6 +73,8 @@ def test_edge_rows(spark, model):
     empty = spark.createDataFrame([], docs.schema)
     assert toxicity.score(empty, model).count() == 0
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
+    kept = toxicity.reject(docs, model, 0.5)
+    assert kept.columns == docs.columns and sorted(r.score for r in kept.collect()) == ["a", "b", "d", "e", "e"]
 
 
 def test_training_needs_both_classes(spark):

@@ -1,5 +1,6 @@
 """One query per corpus operator, over its whole table, and the corpus pipeline."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -111,6 +112,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 
@@ -133,4 +135,5 @@ GROUP BY 1, 2 HAVING count(*) >= {decontaminate.LEAST_CONTAINMENT} * any_value(n
 
 
 def oracles():
-    return {"op5_decontaminate": LEAKS_SQL}
+    known = {"op5_decontaminate": LEAKS_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in known.items() if sql}

@@ -74,17 +74,18 @@ def labelled_sample(
     return texts.join(ids, "id").select("id", "text", "y")
 
 
-def scored(docs: DataFrame, one_task, id_column: str, text_column: str) -> DataFrame:
-    """(id_column, score); `one_task()` gives each task its function from texts to scores."""
-    id_type = dict(docs.dtypes)[id_column]
+def scored(docs: DataFrame, one_task, text_column: str, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns `keep` and a score; `one_task()` gives each task its function from texts to scores."""
+    types = dict(docs.dtypes)
 
     def run(stream):
         scores = one_task()
         for batch in stream:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                values = scores([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(values, pa.float64())], ["id", "score"])
+                texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
+                values = pa.array(scores(texts), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], values], [*keep, name])
 
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_column)
+    texts = docs.select(*keep, F.col(text_column).alias("_text"))
+    return texts.mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in keep) + f", `{name}` double")

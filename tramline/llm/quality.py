@@ -181,4 +181,4 @@ def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_
         scorer = Scorer(held.value) if held.value else None
         return lambda texts: scorer.scores(texts) if scorer else [0.5] * len(texts)
 
-    return common.scored(docs, one_task, id_column, text_column)
+    return common.scored(docs, one_task, text_column, [id_column])

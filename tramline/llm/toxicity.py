@@ -386,12 +386,22 @@ def fit(sample: DataFrame) -> Model | None:
     return pickle.loads(found.model) if found else None
 
 
-def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id_column, score) for every row."""
+def _one_task(docs: DataFrame, model: Model | None):
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def one_task():
+    def start():
         scorer = Scorer(held.value) if held.value else None
         return lambda texts: scorer.scores(texts) if scorer else [0.0] * len(texts)
 
-    return common.scored(docs, one_task, id_column, text_column)
+    return start
+
+
+def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id_column, score) of every row."""
+    return common.scored(docs, _one_task(docs, model), text_column, [id_column])
+
+
+def reject(docs: DataFrame, model: Model | None, from_score: float, text_column: str = "text") -> DataFrame:
+    """The documents that score below `from_score`."""
+    known = common.scored(docs, _one_task(docs, model), text_column, docs.columns, "_toxicity")
+    return known.filter(f"_toxicity < {from_score}").drop("_toxicity")
