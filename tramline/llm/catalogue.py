@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, quality, simhash, token_blocks, toxicity
+from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, quality, simhash, substring_dedup, token_blocks, toxicity
 from tramline.llm.common import fold, labelled_sample, table
 from tramline.session import work_folder
 
@@ -34,6 +34,11 @@ def op2_byte_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 BYTE_BPE = "byte_bpe_50k.json"
 
 
@@ -105,6 +110,7 @@ def op10_line_dedup(spark, sf_dir):
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_blocks": op4_token_blocks,
     "op5_decontaminate": op5_decontaminate,
     "op6_lattice_dedup": op6_lattice_dedup,
