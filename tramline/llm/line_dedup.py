@@ -1,13 +1,13 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
 A line's signature is the SIGNATURE smallest hashes of its character shingles that
-begin at a word (SHINGLE characters, fewer at the end). Bands are pairs of signature
-values that are neighbours or next but one, so two lines need two shingles in common at
-about the same rank. In a band's bucket every line is compared with the bucket's first;
-lines that fail there are compared with the bucket's other lines, so no pair of a bucket
-goes unseen. A pair links if the Jaccard similarity of all its character shingles of
-EXACT characters is at least SIMILARITY. Of each component of links the first line, by
-document id and place, stays; every other occurrence goes.
+begin at a word: SHINGLE characters, in short lines SHORT_SHINGLE. Bands are pairs of
+signature values that are neighbours or next but one, so two lines need two shingles in
+common at about the same rank. In a band's bucket every line is compared with the
+bucket's first; lines that fail there are compared with the bucket's other lines, so no
+pair of a bucket goes unseen. A pair links if the Jaccard similarity of all its
+character shingles of EXACT characters is at least SIMILARITY. Of each component of
+links the first line, by document id and place, stays; every other occurrence goes.
 
 All steps are DataFrame operations. Only hashes travel until candidates are known.
 
@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 from tramline.llm.graph import components
 from tramline.session import materialise
 
-SHINGLE = 8
-SIGNATURE = 4
+SHINGLE = 16
+# Lines below SHORT_CHARS have shorter shingles; those that may match longer lines have both.
+SHORT_CHARS = 32
+SHORT_SHINGLE = 6
+SIGNATURE = 5
 EXACT = 5
 SIMILARITY = 0.8
 
@@ -37,20 +40,29 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _signature() -> F.Column:
-    shingles = F.regexp_extract_all("line", F.lit(rf"(?<!\S)(?=(\S.{{0,{SHINGLE - 1}}}))"), F.lit(1))
-    hashes = F.sort_array(F.transform(shingles, lambda s: F.xxhash64(s)))
+def _signature(pattern: str) -> F.Column:
+    hashes = F.sort_array(F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s)))
     return F.slice(F.array_distinct(hashes), 1, SIGNATURE)
 
 
+def _bands(values: list[str]) -> list[F.Column]:
+    """Hashes of pairs of signature values that are neighbours or next but one."""
+    pairs = [(i, j) for i in range(SIGNATURE) for j in (i + 1, i + 2) if j < SIGNATURE]
+    return [F.expr(f"IF({values[j]} IS NULL, NULL, xxhash64({values[i]}, {values[j]}))") for i, j in pairs]
+
+
 def _buckets(lines: DataFrame) -> DataFrame:
     """(band, a, first): members of buckets with more than one distinct line."""
-    signed = lines.select("a", _signature().alias("s"))
-    distinct = signed.groupBy("a").agg(*[F.first(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(SIGNATURE)])
-    pairs = [(i, j) for i in range(SIGNATURE) for j in (i + 1, i + 2) if j < SIGNATURE]
-    bands = [F.expr(f"IF(s{j} IS NULL, NULL, xxhash64(s{i}, s{j}))") for i, j in pairs]
-    alone = F.expr("IF(s1 IS NULL, xxhash64(s0), NULL)")
-    banded = distinct.select("a", F.explode(F.array(*bands, alone)).alias("band")).filter("band IS NOT NULL")
+    length = F.length("line")
+    long = F.when(length >= SHORT_CHARS, _signature(rf"(?<!\S)(?=(\S.{{{SHINGLE - 1}}}))"))
+    short = F.when(length < SHORT_CHARS / SIMILARITY, _signature(rf"(?<!\S)(?=(\S.{{0,{SHORT_SHINGLE - 1}}}))"))
+    signed = lines.select("a", long.alias("s"), short.alias("t"))
+    values = {k: [f"{k}{i}" for i in range(SIGNATURE)] for k in "st"}
+    first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
+    distinct = signed.groupBy("a").agg(*first)
+    alone = [F.expr(f"IF({k}0 IS NOT NULL AND {k}1 IS NULL, xxhash64({k}0), NULL)") for k in "st"]
+    bands = F.array(*_bands(values["s"]), *_bands(values["t"]), *alone)
+    banded = distinct.select("a", F.explode(F.array_compact(bands)).alias("band"))
     spans = banded.selectExpr(
         "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
     )
