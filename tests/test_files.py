@@ -1,6 +1,7 @@
 import json
 from datetime import date, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 import samples
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline import schemas, sinks, sources
 from tramline.plans import messages as plans
-from tramline.session import materialise, spread, work_folder
+from tramline.session import materialise, work_folder
 from tramline.streaming import sources as stream_sources
 
 
@@ -55,15 +56,9 @@ def test_export_formats_and_texts_survive(spark, folder):
     assert sources.read_csv(spark, f"{folder}/out", multiline=True).collect() == rows.collect()
 
 
-def test_single_file_only_below_the_bound(spark, folder, monkeypatch):
-    rows = spark.range(0, 100, numPartitions=4)
-    sinks.export_csv(rows, f"{folder}/one", single_file=True)
-    assert len(list(Path(folder, "one").glob("*.csv"))) == 1
-    sinks.export_csv(rows, f"{folder}/many")
+def test_csv_goes_out_in_parts(spark, folder):
+    sinks.export_csv(spark.range(0, 100, numPartitions=4), f"{folder}/many")
     assert len(list(Path(folder, "many").glob("*.csv"))) == 4
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 99)
-    with pytest.raises(ValueError, match="single file"):
-        sinks.export_csv(rows, f"{folder}/two", single_file=True)
 
 
 def test_tables(spark, folder, plan_of):
@@ -121,6 +116,10 @@ class Recorder:
         self.write = self
         self.calls = []
 
+    def repartition(self, tasks):
+        self.tasks = tasks
+        return self
+
     def jdbc(self, **call):
         self.calls.append(call)
 
@@ -129,6 +128,7 @@ def test_jdbc_write_bounds_connections():
     rows = Recorder()
     sinks.write_jdbc(rows, "jdbc:x", "arret", "overwrite", {"user": "u", "driver": "d"}, connections=3)
     (call,) = rows.calls
+    assert rows.tasks == 3
     assert (call["url"], call["table"], call["mode"]) == ("jdbc:x", "arret", "overwrite")
     assert call["properties"] == {"numPartitions": "3", "batchsize": "10000", "user": "u", "driver": "d"}
 
@@ -177,6 +177,12 @@ def test_materialise_cuts_lineage(spark, plan_of):
     assert kept.collect() == kept.collect() and "rand" not in plan_of(kept)
 
 
-def test_spread_leaves_wide_inputs_alone(spark, plan_of):
-    assert "Exchange" in plan_of(spread(spark.range(0, 10, numPartitions=1), "id"))
-    assert "Exchange" not in plan_of(spread(spark.range(0, 10, numPartitions=64), "id"))
+def test_only_plain_local_mode_may_lack_a_shared_folder():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert work_folder(session("local[4]"), "x") != work_folder(session("local"), "x")
+    for master in ("local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            work_folder(session(master), "x")

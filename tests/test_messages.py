@@ -1,6 +1,8 @@
 import json
 from datetime import datetime
 
+import pytest
+
 from tramline import schemas
 from tramline.operators import messages
 
@@ -81,7 +83,7 @@ def test_inferred_schema(spark):
         "score": "double",
         "tags": "array<string>",
     }
-    parsed = messages.flatten(messages.parse_payload(texts, schema))
+    parsed = messages.flatten(messages.parse_payload(texts, messages.with_payload_types(schema)))
     fixed = messages.flatten(messages.parse_payload(texts))
     assert parsed.collect() == fixed.collect()
 
@@ -90,7 +92,7 @@ def test_mixed_types_are_inferred_as_strings(spark):
     texts = landed(spark, {"id": 5, "tags": [1, "x"]}, {"id": "a", "tags": [None]}, {"id": None})
     schema = messages.infer_payload_schema(texts)
     assert schema.simpleString() == "struct<id:string,tags:array<string>>"
-    parsed = messages.flatten(messages.parse_payload(texts, schema))
+    parsed = messages.flatten(messages.parse_payload(texts, messages.with_payload_types(schema)))
     assert [r["id"] for r in parsed.collect()] == ["5", "a", None]
 
 
@@ -99,11 +101,23 @@ def test_inference_of_nothing(spark):
     assert not messages.infer_payload_schema(landed(spark, "{bad")).fields
 
 
-def test_flatten_fills_fields_that_no_payload_has(spark):
-    texts = landed(spark, {"id": "b"})
-    rows = messages.flatten(messages.parse_payload(texts, messages.infer_payload_schema(texts)))
+ODD_BATCHES = {
+    "few fields": [{"id": "b"}],
+    "no periods": [{"id": "a", "applicationPeriods": []}, {"id": "b", "applicationPeriods": []}],
+    "no end": [{"id": "a", "applicationPeriods": [{"begin": "20240131T080000"}]}],
+    "other types": [{"id": 7, "cause": 3, "title": True, "message": {"x": 1}, "applicationPeriods": "none"}],
+    "all malformed": ["{bad1", "{bad2"],
+}
+
+
+@pytest.mark.parametrize("name", ODD_BATCHES)
+def test_inference_never_changes_rows_or_types(spark, name):
+    texts = landed(spark, *ODD_BATCHES[name])
+    schema = messages.with_payload_types(messages.infer_payload_schema(texts))
+    rows = messages.flatten(messages.parse_payload(texts, schema))
     assert rows.schema == schemas.MESSAGES
-    assert rows.first()["id"] == "b"
+    assert rows.collect() == messages.flatten(messages.parse_payload(texts)).collect()
+    assert rows.count() == len(ODD_BATCHES[name])
 
 
 def test_bulk_documents_split_without_loss(spark):

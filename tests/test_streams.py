@@ -145,6 +145,18 @@ def test_messages_from_records_to_table_and_out(spark, folder, infer):
     assert spark.read.parquet(target).count() == total
 
 
+@pytest.mark.parametrize("infer", [False, True])
+def test_batches_of_malformed_messages_stay(spark, folder, infer):
+    table = f"malformed_{infer}"
+    for lot in (['{"id":"a"}', "{bad"], ["{bad1", "{bad2"]):
+        spark.createDataFrame([(t,) for t in lot], schemas.LANDED).coalesce(1).write.mode("append").json(f"{folder}/landing")
+        message_plans.load_messages(
+            spark, f"{folder}/landing", table, f"{folder}/load", NOW, infer=infer, path=f"{folder}/table"
+        ).awaitTermination()
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 4
+
+
 def test_publishing_a_retried_batch_repeats_nothing(spark, folder):
     sinks.append_table(samples.messages(spark, 5).repartition(3), "to_publish", path=f"{folder}/table")
     target, failures = f"{folder}/target", []

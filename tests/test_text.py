@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.ml.feature import RegexTokenizer
@@ -35,13 +36,44 @@ def py_clean(t):
     return re.sub("[ \t\n\x0b\f\r]+", " ", t)
 
 
-def py_lines(t, number=r"\d+"):
-    found = re.findall(rf"\b({'|'.join(fv.TRANSPORT_MODES)})\b\s*({number})", t.lower())
-    return [f"{mode} {line}" for mode, line in found]
-
-
-def py_stations(t):
-    return [name.strip() for name in re.findall(r"gare de ([^,.:;<>]+)", t.lower())]
+def is_word(c):
+    return c == "_" or c.isalnum() or unicodedata.category(c) in ("Mn", "Mc", "Me")
+
+
+def scan_lines(t):
+    """Walks a text: a whole-word mode, any blanks, then digits."""
+    t, at, out = t.lower(), 0, []
+    while at < len(t):
+        modes = [m for m in fv.TRANSPORT_MODES if t.startswith(m, at) and not (at and is_word(t[at - 1]))]
+        for mode in modes:
+            end = at + len(mode)
+            if end < len(t) and is_word(t[end]):
+                continue
+            start = end
+            while start < len(t) and t[start].isspace():
+                start += 1
+            stop = start
+            while stop < len(t) and t[stop].isdecimal():
+                stop += 1
+            if stop > start:
+                out.append(f"{mode} {t[start:stop]}")
+                at = stop - 1
+                break
+        at += 1
+    return out
+
+
+def scan_stations(t):
+    """Cuts a text at each prefix and each name at the first stopper."""
+    t, out = t.lower(), []
+    while fv.STATION_PREFIX in t:
+        t = t[t.index(fv.STATION_PREFIX) + len(fv.STATION_PREFIX) :]
+        ends = [t.index(c) for c in fv.STATION_STOPPERS if c in t]
+        end = min(ends, default=len(t))
+        if end:
+            out.append(t[:end].strip())
+            t = t[end:]
+    return out
 
 
 def test_strip_html(spark):
@@ -66,10 +98,24 @@ def test_tokens_equal_spark_tokenizer(spark):
 def test_transport_lines(spark):
     texts = random_texts()
     rows = evaluate(spark, texts, lines=text.transport_lines)
-    assert [r["lines"] for r in rows] == [[] if t is None else py_lines(t) for t in texts]
+    assert [r["lines"] for r in rows] == [[] if t is None else scan_lines(t) for t in texts]
     assert any(r["lines"] for r in rows)
 
 
+@pytest.mark.parametrize(
+    "message,found",
+    [
+        ("Le bus 12 et le bus  7a", ["bus 12", "bus 7"]),
+        ("Tramway 3 / Métro\t4", ["tramway 3", "métro 4"]),
+        ("autobus 5, busx 6, bus six, ligne13", []),
+        ("RER 1 RER A train", ["rer 1"]),
+        ("", []),
+    ],
+)
+def test_transport_line_cases(spark, message, found):
+    assert evaluate(spark, [message], lines=text.transport_lines)[0]["lines"] == found
+
+
 def test_letter_lines_are_off_by_default(spark):
     rows = evaluate(
         spark,
@@ -85,7 +131,7 @@ def test_letter_lines_are_off_by_default(spark):
 def test_stations(spark):
     texts = random_texts()
     rows = evaluate(spark, texts, names=text.stations)
-    assert [r["names"] for r in rows] == [[] if t is None else py_stations(t) for t in texts]
+    assert [r["names"] for r in rows] == [[] if t is None else scan_stations(t) for t in texts]
     assert any(r["names"] for r in rows)
 
 

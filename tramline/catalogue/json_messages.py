@@ -80,7 +80,7 @@ def json_infer_schema(spark, sf):
     """Flattening by the schema inferred from all payloads."""
     texts = landed(spark, sf)
     return printable(
-        messages.flatten(messages.parse_payload(texts, messages.infer_payload_schema(texts)))
+        messages.flatten(messages.parse_payload(texts, messages.with_payload_types(messages.infer_payload_schema(texts))))
     )
 
 

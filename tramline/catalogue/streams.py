@@ -22,7 +22,7 @@ def _halves(spark, sf, table):
 
 
 def _drop_csv(spark, sf, path, sep=validation_plans.RAW_SEP):
-    views.validations(spark, sf, wide=True).write.csv(path, header=True, sep=sep)
+    views.validations(spark, sf).write.csv(path, header=True, sep=sep)
 
 
 def _staged(spark, sf):
@@ -31,7 +31,7 @@ def _staged(spark, sf):
     _drop_csv(spark, sf, f"{root}/drop/csv")
     fields = schemas.VALIDATIONS.fieldNames()
     line = F.array_join(F.array(*[F.col(c).cast("string") for c in fields]), ";", "")
-    lines = views.validations(spark, sf, wide=True).select(line.alias("value"))
+    lines = views.validations(spark, sf).select(line.alias("value"))
     lines.write.text(f"{root}/drop/txt")
     limits = _halves(spark, sf, "events")
     queries = validation_plans.ingest_validations(
@@ -67,7 +67,7 @@ def _kpi_stream(incremental, kpi_table):
     def run(spark, sf):
         root = work_folder(spark, "kpi")
         name, path = files.new_table(spark, "validations")
-        sinks.append_table(views.validations(spark, sf, wide=True), name, path=path)
+        sinks.append_table(views.validations(spark, sf), name, path=path)
         limits = _halves(spark, sf, "events")
 
         def write(rows, table):

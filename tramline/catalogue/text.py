@@ -6,7 +6,6 @@ from tramline import fixed_values as fv
 from tramline.catalogue import views
 from tramline.functions import causes, moments, text
 from tramline.operators import features
-from tramline.session import spread
 
 _PHRASE_PREFIX = "the "
 
@@ -54,7 +53,7 @@ def _mentions(array, joined, count):
 
 def extract_phrases(spark, sf):
     """Station extraction with a prefix that the raw documents are full of."""
-    documents = spread(views.table(spark, sf, "documents"), "doc_id")
+    documents = views.table(spark, sf, "documents")
     found = documents.select(
         "doc_id", text.place_mentions(F.col("text"), _PHRASE_PREFIX).alias("found")
     )

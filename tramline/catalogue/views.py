@@ -6,10 +6,10 @@ Validations come from `events`, messages from `documents`, HTML from `pages`.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.session import spread
-
 # Cue words, one per message in turn: each of the seven flags, then none.
 CUES = ("Itinéraire", "FERMÉE", "Retard", "Jusqu'au", "Matinée", "SOIRÉE", "Week-end", "Rien")
+# Begin times repeat after so many hours, so that years stay few however many messages.
+HOURS = 2 * 366 * 24
 CAUSES = ("INFORMATION", "PERTURBATION", "TRAVAUX", "ACCIDENT", None)
 
 
@@ -17,16 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def validations(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    """Validation rows; `wide` gives every core a part even of a small table."""
-    events = table(spark, sf_dir, "events")
-    return (spread(events, "event_id") if wide else events).selectExpr(
+def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
         "CAST(ts AS DATE) AS JOUR",
         "CAST(user_id % 4 AS INT) AS CODE_STIF_TRNS",
         "CAST(IF(user_id % 50 = 0, NULL, user_id % 10) AS INT) AS CODE_STIF_RES",
         "CAST(user_id % 100 AS INT) AS CODE_STIF_ARRET",
         "concat('STOP_', user_id) AS LIBELLE_ARRET",
-        "CAST(user_id AS INT) AS ID_ZDC",
+        "CAST(user_id % 1000000 AS INT) AS ID_ZDC",
         "event_type AS CATEGORIE_TITRE",
         "CAST(round(value * 100) AS INT) AS NB_VALD",
     )
@@ -39,7 +37,7 @@ validations AS (
          CAST(CASE WHEN user_id % 50 = 0 THEN NULL ELSE user_id % 10 END AS INTEGER) AS CODE_STIF_RES,
          CAST(user_id % 100 AS INTEGER) AS CODE_STIF_ARRET,
          'STOP_' || user_id AS LIBELLE_ARRET,
-         CAST(user_id AS INTEGER) AS ID_ZDC,
+         CAST(user_id % 1000000 AS INTEGER) AS ID_ZDC,
          event_type AS CATEGORIE_TITRE,
          CAST(round(value * 100) AS INTEGER) AS NB_VALD
   FROM events
@@ -55,8 +53,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every fiftieth has no end. Times are wall-clock times, whatever the session zone.
     """
-    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
-    begin = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, CAST(doc_id AS INT))"
+    documents = table(spark, sf_dir, "documents")
+    begin = f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, CAST(doc_id % {HOURS} AS INT))"
     shown = "make_dt_interval(0, CAST(doc_id * 7 % 97 AS INT))"
     return documents.select(
         F.col("doc_id").cast("string").alias("id"),
@@ -88,11 +86,11 @@ def _sql_list(values) -> str:
 MESSAGES_SQL = f"""
 messages AS (
   SELECT doc_id, CAST(doc_id AS VARCHAR) AS id,
-         TIMESTAMP '2024-01-01' + to_hours(doc_id) AS "begin",
+         TIMESTAMP '2024-01-01' + to_hours(doc_id % {HOURS}) AS "begin",
          CASE WHEN doc_id % 50 = 49 THEN NULL
-              ELSE TIMESTAMP '2024-01-01' + to_hours(doc_id) + to_hours(doc_id * 7 % 97) END AS "end",
+              ELSE TIMESTAMP '2024-01-01' + to_hours(doc_id % {HOURS}) + to_hours(doc_id * 7 % 97) END AS "end",
          ({_sql_list(CAUSES)})[doc_id % 5 + 1] AS cause,
-         TIMESTAMP '2024-01-01' + to_hours(doc_id) AS update_date,
+         TIMESTAMP '2024-01-01' + to_hours(doc_id % {HOURS}) AS update_date,
          '<p>' || text || '</p>&nbsp;<b>' || ({_sql_list(CUES)})[doc_id % 8 + 1]
            || '</b> Bus  ' || (doc_id % 20) || ' puis RER B, Gare de ' || source || ' .' AS message,
          lang AS pattern,
@@ -103,7 +101,7 @@ messages AS (
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw web pages as messages, with an entity at the end."""
-    raw = spread(table(spark, sf_dir, "pages"), "page_id")
+    raw = table(spark, sf_dir, "pages")
     return raw.select("page_id", F.concat("html", F.lit("&nbsp;&nbsp;end")).alias("message"))
 
 

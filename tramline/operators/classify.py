@@ -240,6 +240,14 @@ def parameter_grid(name: str, estimator, grids=fv.TUNING_GRIDS) -> list:
     return builder.build()
 
 
+FOLD = "fold"
+
+
+def with_fold(rows: DataFrame, key: str, folds: int = fv.FOLDS) -> DataFrame:
+    """Each row's fold by a hash of its key, whatever the order of the rows."""
+    return rows.withColumn(FOLD, F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(fv.SEED)), F.lit(folds)).cast("int"))
+
+
 def tune(
     name: str,
     prepared: DataFrame,
@@ -249,7 +257,10 @@ def tune(
     folds: int = fv.FOLDS,
     **overrides,
 ) -> CrossValidatorModel:
-    """Cross-validated search over the classifier's grid, by accuracy."""
+    """Cross-validated search over the classifier's grid, by accuracy.
+
+    Rows with a fold of their own (see `with_fold`) give the same search in any order.
+    """
     stages = model_stages(name, include_leaky, **overrides)
     search = CrossValidator(
         estimator=stages,
@@ -260,6 +271,7 @@ def tune(
         numFolds=folds,
         seed=fv.SEED,
         parallelism=parallelism,
+        foldCol=FOLD if FOLD in prepared.columns else "",
     )
     return search.fit(prepared)
 

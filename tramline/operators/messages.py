@@ -37,20 +37,20 @@ def infer_payload_schema(landed: DataFrame) -> StructType:
     return StructType.fromDDL(f"payload {text}")["payload"].dataType
 
 
+def with_payload_types(inferred: StructType) -> StructType:
+    """The payload's own fields in their fixed types, then the other inferred ones.
+
+    Rows flatten alike whatever a batch happens to hold.
+    """
+    known = {f.name for f in schemas.PAYLOAD}
+    return StructType([*schemas.PAYLOAD, *(f for f in inferred if f.name not in known)])
+
+
 def parse_payload(landed: DataFrame, schema: StructType = schemas.PAYLOAD) -> DataFrame:
     """The payload's fields as columns; a malformed text gives a row of NULLs."""
     return landed.select(F.from_json("value", schema).alias("payload")).select("payload.*")
 
 
-def _with_all_fields(payload: DataFrame) -> DataFrame:
-    missing = {
-        field.name: F.lit(None).cast(field.dataType)
-        for field in schemas.PAYLOAD
-        if field.name not in payload.columns
-    }
-    return payload.withColumns(missing) if missing else payload
-
-
 def flatten(payload: DataFrame, parse_update: bool = True) -> DataFrame:
     """Flat message rows: first display period, cause, texts.
 
@@ -63,7 +63,7 @@ def flatten(payload: DataFrame, parse_update: bool = True) -> DataFrame:
         update = compact_timestamp(F.col("lastUpdate")).alias("update_date")
     else:
         update = F.col("lastUpdate")
-    flat = _with_all_fields(payload).select(
+    flat = payload.select(
         "id",
         begin.alias("begin"),
         compact_timestamp(period["end"]).alias("end"),

@@ -69,7 +69,11 @@ def train_classifier(
     train, test = classify.split(built, key)
     stages = classify.feature_stages(min_df, vocabulary_size).fit(train)
     columns = [classify.LABEL_INDEX, *classify.feature_columns(include_leaky)]
-    train_ready = materialise(stages.transform(train).select(*columns), "train")
+    kept = [c for c in (key,) if c]
+    train_ready = stages.transform(train).select(*kept, *columns)
+    if key:
+        train_ready = classify.with_fold(train_ready, key, folds)
+    train_ready = materialise(train_ready, "train")
     shown = [c for c in (key, fv.LABEL, "text_content") if c]
     test_ready = materialise(stages.transform(test).select(*shown, *columns), "test")
 

@@ -34,8 +34,9 @@ def load_messages(
     """Flatten landed messages into a table partitioned by year.
 
     With the fixed payload schema this is one stateless projection into an
-    exactly-once sink. `infer` takes each micro-batch's schema from its own
-    payloads instead, at the price of one more pass and at-least-once appends.
+    exactly-once sink. `infer` also takes further fields from each micro-batch's own
+    payloads, at the price of one more pass and at-least-once appends; rows and their
+    types are the same.
     """
     landed = stream_sources.stream_json(spark, landing, schemas.LANDED, multiline, **limits)
     if not infer:
@@ -43,10 +44,11 @@ def load_messages(
         return stream_sinks.stream_table(flat, table, checkpoint, trigger, "year", path)
 
     def append(batch: DataFrame, _: int) -> None:
-        schema = messages.infer_payload_schema(batch)
-        if schema.fields:
-            flat = messages.flatten(messages.parse_payload(batch, schema))
-            sinks.append_table(flat, table, "year", path=path)
+        if batch.isEmpty():
+            return
+        schema = messages.with_payload_types(messages.infer_payload_schema(batch))
+        flat = messages.flatten(messages.parse_payload(batch, schema))
+        sinks.append_table(flat, table, "year", rebalance=True, path=path)
 
     return stream_sinks.foreach_batch(landed, append, checkpoint, trigger)
 
@@ -66,7 +68,9 @@ def load_messages_batch(
     small file per task and year.
     """
     landed = sources.read_json(spark, landing, schemas.LANDED)
-    schema = messages.infer_payload_schema(landed) if infer else schemas.PAYLOAD
+    schema = schemas.PAYLOAD
+    if infer:
+        schema = messages.with_payload_types(messages.infer_payload_schema(landed))
     flat = messages.flatten(messages.parse_payload(landed, schema), parse_update)
     if table:
         by_year = "year" if parse_update else None
@@ -106,6 +110,7 @@ def publish_messages_jdbc(
     checkpoint: str,
     trigger: dict | None = None,
     tag_batches: bool = False,
+    connections: int = sinks.JDBC_CONNECTIONS,
     **limits,
 ) -> StreamingQuery:
     """`publish_messages` from a catalog table to a database table over JDBC.
@@ -114,7 +119,7 @@ def publish_messages_jdbc(
     """
     return publish_messages(
         stream_sources.stream_table(spark, source_table, **limits),
-        lambda rows: sinks.write_jdbc(rows, url, target, "append", properties),
+        lambda rows: sinks.write_jdbc(rows, url, target, "append", properties, connections),
         checkpoint,
         trigger,
         lambda batch_id: sinks.read_jdbc_batch(spark, url, target, properties, batch_id),
@@ -122,6 +127,6 @@ def publish_messages_jdbc(
     )
 
 
-def export_messages(spark: SparkSession, table: str, path: str, single_file: bool = False) -> None:
-    """The messages table as CSV."""
-    sinks.export_csv(sources.read_table(spark, table), path, single_file)
+def export_messages(spark: SparkSession, table: str, path: str) -> None:
+    """The messages table as CSV, in parts."""
+    sinks.export_csv(sources.read_table(spark, table), path)

@@ -63,11 +63,13 @@ def load_validations(
     return stream_sinks.stream_table(rows, table, checkpoint, trigger, path=path)
 
 
-def jdbc_kpi_writer(url: str, properties: dict[str, str]) -> WriteKpi:
+def jdbc_kpi_writer(
+    url: str, properties: dict[str, str], connections: int = sinks.JDBC_CONNECTIONS
+) -> WriteKpi:
     """Overwrites a database table with a KPI."""
 
     def write(kpi: DataFrame, table: str) -> None:
-        sinks.write_jdbc(kpi, url, table, "overwrite", properties)
+        sinks.write_jdbc(kpi, url, table, "overwrite", properties, connections)
 
     return write
 

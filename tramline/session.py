@@ -28,12 +28,13 @@ def get_session(app_name: str, hive: bool = False, **conf: str) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder path under the shared folder the cluster names.
 
-    The root is `spark.checkpoint.dir`. Only a local session without that
-    setting falls back to a temporary folder of this machine.
+    The root is `spark.checkpoint.dir`, whatever the master. Only plain local mode, where
+    one machine does all the work, may go without it and then uses a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tramline-")
     return f"{root.rstrip('/')}/tramline/{purpose}-{uuid.uuid4().hex}"
@@ -49,15 +50,3 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = work_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a scan by `key` only if it has fewer tasks than there are cores.
-
-    Meant for CPU-bound work over few, small files; a large input passes through
-    unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
 
-# Largest table written as one file; beyond it, a single writer task is refused.
-SINGLE_FILE_ROWS = 1_000_000
-# Texts may span lines, so one task reads a whole exported file back; this bounds it.
-ROWS_PER_CSV_FILE = 1_000_000
 # Connections one JDBC write opens at a time, whatever the cluster's size.
 JDBC_CONNECTIONS = 16
 JDBC_BATCH_ROWS = 10_000
@@ -54,19 +50,14 @@ def append_table(
     writer.saveAsTable(table)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header and fixed date formats; quotes are doubled, so that texts
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV parts with a header and fixed date formats; quotes are doubled, so that texts
     with quotes and line breaks read back whole."""
-    if single_file:
-        if df.count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
-        df = df.coalesce(1)
     df.write.mode("overwrite").options(
         header=True,
         escape='"',
         dateFormat=fv.CSV_DATE,
         timestampFormat=fv.CSV_TIMESTAMP,
-        maxRecordsPerFile=ROWS_PER_CSV_FILE,
     ).csv(path)
 
 
@@ -78,9 +69,13 @@ def write_jdbc(
     properties: dict[str, str],
     connections: int = JDBC_CONNECTIONS,
 ) -> None:
-    """Write to a database table over at most `connections` connections."""
+    """Write to a database table over `connections` connections.
+
+    The rows are dealt out to them by a shuffle: without one, the writer would draw the
+    scan and all steps before it together into as many tasks.
+    """
     options = {"numPartitions": str(connections), "batchsize": str(JDBC_BATCH_ROWS), **properties}
-    df.write.jdbc(url=url, table=table, mode=mode, properties=options)
+    df.repartition(connections).write.jdbc(url=url, table=table, mode=mode, properties=options)
 
 
 def read_jdbc_batch(
