@@ -10,7 +10,15 @@ from tramline import catalogue
 from tramline import fixed_values as fv
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"split_random", "sample_rows", "ml_rf_score", "ml_lr_score", "ml_gbt_ovr_score"}
+ROWS_ONLY = {
+    "split_random",
+    "sample_rows",
+    "ml_rf_score",
+    "ml_lr_score",
+    "ml_gbt_ovr_score",
+    "ml_train_best",
+    "ml_save_load_score",
+}
 
 
 @pytest.fixture(scope="module")

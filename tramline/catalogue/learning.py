@@ -4,11 +4,13 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
+from tramline import sources
 from tramline.catalogue import text as text_queries
 from tramline.catalogue import views
 from tramline.functions import text
 from tramline.operators import classify, features, vocabulary
-from tramline.session import materialise
+from tramline.plans import learning
+from tramline.session import materialise, work_folder
 
 
 def _worded(spark, sf):
@@ -169,6 +171,49 @@ def ml_sample_predictions(spark, sf):
     return classify.sample_predictions(_trained(spark, sf, "naive_bayes"), "id")
 
 
+def ml_build_features_job(spark, sf):
+    """Features and text model by the job; the saved model applied to the written words."""
+    root = work_folder(spark, "features-job")
+    learning.build_features(views.messages(spark, sf), f"{root}/features", model_out=f"{root}/models/text")
+    written = sources.read_parquet(spark, f"{root}/features").drop("filtered_words", "tf_features", "text_features")
+    weights = _vector("text_features")["values"]
+    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
+    model = classify.load_named(f"{root}/models", "text")
+    return model.transform(written).select("id", F.size(weights).alias("terms"), F.round(total, 4).alias("weight"))
+
+
+def _training(spark, sf, out):
+    return learning.train_classifier(
+        _built(spark, sf),
+        out,
+        include_leaky=False,
+        candidates=("naive_bayes", "logistic_regression"),
+        grids={"naive_bayes": {"smoothing": [0.5, 1.0]}, "logistic_regression": {"regParam": [0.01, 0.1]}},
+    )
+
+
+def ml_train_best(spark, sf):
+    """Accuracy of each candidate and of the tuned best one, from two settings each."""
+    done = _training(spark, sf, None)
+    rows = [(name, "base", m["accuracy"]) for name, m in done.base.items()]
+    rows.append((done.best, "tuned", done.tuned["accuracy"]))
+    return spark.createDataFrame(rows, "model string, stage string, accuracy double")
+
+
+def ml_save_load_score(spark, sf):
+    """All messages scored by the tuned model, saved and loaded by its name."""
+    out = work_folder(spark, "models")
+    done = _training(spark, sf, out)
+    model = classify.load_named(out, done.best)
+    scored = learning.score_messages(model, views.messages(spark, sf))
+    return scored.select("id", "predicted_cause", F.round("confidence", 4).alias("confidence"))
+
+
+def ml_preview(spark, sf):
+    """The ten predictions of the smallest ids: a report's first rows."""
+    return classify.preview(_trained(spark, sf, "naive_bayes"), "id")
+
+
 QUERIES = {
     "ml_stopwords": ml_stopwords,
     "ml_vocabulary": ml_vocabulary,
@@ -191,6 +236,10 @@ QUERIES = {
     "ml_model_metrics": ml_model_metrics,
     "ml_score_confidence": ml_score_confidence,
     "ml_sample_predictions": ml_sample_predictions,
+    "ml_build_features_job": ml_build_features_job,
+    "ml_train_best": ml_train_best,
+    "ml_save_load_score": ml_save_load_score,
+    "ml_preview": ml_preview,
 }
 
 
@@ -308,6 +357,10 @@ FROM rates"""
 def oracles():
     terms = _terms_sql()
     bayes = _bayes_sql()
+    tfidf = f"""WITH {terms}
+SELECT id, CAST(count(vocabulary.term) AS INTEGER) AS terms,
+       round(coalesce(sum(n * ln(((SELECT count(*) FROM filtered) + 1.0) / (df + 1.0))), 0), 4)::DOUBLE AS weight
+FROM filtered LEFT JOIN counts USING (id) LEFT JOIN vocabulary USING (term) GROUP BY id"""
     numeric = len(fv.NUMERIC_FEATURES)
     side = f"CASE WHEN {_in_share_sql('doc_id', fv.TRAIN_SHARE, 'split')} THEN 'train' ELSE 'test' END AS side"
     return {
@@ -317,10 +370,8 @@ def oracles():
 SELECT id, CAST(count(vocabulary.term) AS INTEGER) AS terms,
        coalesce(sum(CASE WHEN vocabulary.term IS NOT NULL THEN n END), 0)::DOUBLE AS occurrences
 FROM filtered LEFT JOIN counts USING (id) LEFT JOIN vocabulary USING (term) GROUP BY id""",
-        "ml_tfidf": f"""WITH {terms}
-SELECT id, CAST(count(vocabulary.term) AS INTEGER) AS terms,
-       round(coalesce(sum(n * ln(((SELECT count(*) FROM filtered) + 1.0) / (df + 1.0))), 0), 4)::DOUBLE AS weight
-FROM filtered LEFT JOIN counts USING (id) LEFT JOIN vocabulary USING (term) GROUP BY id""",
+        "ml_build_features_job": tfidf,
+        "ml_tfidf": tfidf,
         "ml_string_index": f"""WITH {_INDEXED_SQL}
 SELECT id, CAST(cause_position AS DOUBLE) AS cause_index, CAST(pattern_position AS DOUBLE) AS pattern_index,
        CAST(band_position AS DOUBLE) AS message_length_index
@@ -349,6 +400,9 @@ SELECT id, predicted_cause, round(confidence, 4) AS confidence FROM answers""",
         "ml_sample_predictions": f"""{bayes}
 SELECT cause, CAST(answers.class AS DOUBLE) AS prediction, text_content
 FROM answers JOIN rows USING (id) WHERE {_in_share_sql('id', fv.SAMPLE_SHARE, 'sample')}""",
+        "ml_preview": f"""{bayes}
+SELECT id, cause, CAST(answers.class AS DOUBLE) AS prediction
+FROM answers JOIN rows USING (id) ORDER BY id LIMIT 10""",
         "sample_by_key": f"""
 SELECT o_orderkey, o_totalprice FROM orders WHERE {_in_share_sql('o_orderkey', fv.SAMPLE_SHARE, 'sample')}""",
         "ml_metrics": f"""WITH predicted AS (

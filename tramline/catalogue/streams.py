@@ -125,10 +125,35 @@ def stream_publish_messages(spark, sf):
     return json_messages.printable(sources.read_parquet(spark, target).drop(sinks.BATCH_ID))
 
 
+def stream_csv_and_text_to_table(spark, sf):
+    """Staged CSV and staged text in one table: every validation twice."""
+    root = _staged(spark, sf)
+    name, path = files.new_table(spark, "validations")
+    validation_plans.load_validations(
+        spark, f"{root}/staging/csv", name, f"{root}/load", NOW, f"{root}/staging/txt", path
+    ).awaitTermination()
+    return files.printable(sources.read_table(spark, name))
+
+
+def stream_restart(spark, sf):
+    """Two lots of files, two runs, one checkpoint: the second run reads only the new lot."""
+    root = work_folder(spark, "restart")
+    name, path = files.new_table(spark, "validations")
+    rows = views.validations(spark, sf)
+    first = F.col("CODE_STIF_ARRET") < 50
+    for lot in (rows.filter(first), rows.filter(~first)):
+        lot.write.mode("append").csv(f"{root}/staging", header=True)
+        validation_plans.load_validations(spark, f"{root}/staging", name, f"{root}/load", NOW, path=path).awaitTermination()
+    spark.catalog.refreshTable(name)
+    return files.printable(sources.read_table(spark, name))
+
+
 QUERIES = {
     "stream_csv_roundtrip": stream_csv_roundtrip,
     "stream_text_roundtrip": stream_text_roundtrip,
     "stream_csv_to_table": stream_csv_to_table,
+    "stream_csv_and_text_to_table": stream_csv_and_text_to_table,
+    "stream_restart": stream_restart,
     "stream_kpi_ticket_weekday": _kpi_stream(True, "titre_transport"),
     "stream_kpi_stop_weekday": _kpi_stream(True, "arret"),
     "stream_kpi_full_refresh": _kpi_stream(False, "titre_transport"),
@@ -144,6 +169,8 @@ def oracles():
         "stream_csv_roundtrip": files.VALIDATION_ROWS_SQL,
         "stream_text_roundtrip": files.VALIDATION_ROWS_SQL,
         "stream_csv_to_table": files.VALIDATION_ROWS_SQL,
+        "stream_csv_and_text_to_table": f"SELECT a.* FROM ({files.VALIDATION_ROWS_SQL}) AS a, range(2)",
+        "stream_restart": files.VALIDATION_ROWS_SQL,
         "stream_kpi_ticket_weekday": ticket,
         "stream_kpi_stop_weekday": f"WITH {views.VALIDATIONS_SQL} {kpi.kpi_sql(kpis.STOP_KEY)}",
         "stream_kpi_full_refresh": ticket,

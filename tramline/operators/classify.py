@@ -316,6 +316,11 @@ def sample_predictions(predictions: DataFrame, key: str | None = None) -> DataFr
     return sample(predictions, key).select(fv.LABEL, "prediction", "text_content")
 
 
+def preview(predictions: DataFrame, key: str, rows: int = 10) -> DataFrame:
+    """The first predictions in the order of their key."""
+    return predictions.select(key, fv.LABEL, "prediction").orderBy(key).limit(rows)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
