@@ -26,7 +26,7 @@ SHINGLE = 16
 # Lines below SHORT_CHARS have shorter shingles; those that may match longer lines have both.
 SHORT_CHARS = 32
 SHORT_SHINGLE = 6
-SIGNATURE = 5
+SIGNATURE = 6
 EXACT = 5
 SIMILARITY = 0.8
 
