@@ -50,6 +50,7 @@ def _minimal_vectors() -> np.ndarray:
 
 
 _NEAR = _minimal_vectors()
+_NEAR_SQUARED = (_NEAR**2).sum(axis=1)
 _MIX = np.random.default_rng(SEED).integers(1 << 20, 1 << 62, 9, dtype=np.int64) | 1
 
 
@@ -84,13 +85,15 @@ def cells(units: np.ndarray) -> np.ndarray:
     width = WIDTH * np.sqrt(8 / max(8, units.shape[1]))
     for t, projection in enumerate(_projections(units.shape[1])):
         for begin in range(0, len(units), 4096):
-            # The rounding makes a row's cells independent of the rows it is computed with.
+            # Rounding makes a row's cells independent of the rows it is computed with.
             y = np.round(units[begin : begin + 4096] @ projection / width, 9)
-            around = decode(y)[:, None, :] + _NEAR
-            far = ((y[:, None, :] - around) ** 2).sum(axis=2)
-            order = np.argsort(far, axis=1, kind="stable")[:, :PROBES]
-            points = (2 * np.take_along_axis(around, order[:, :, None], axis=1)).astype(np.int64)
-            out[begin : begin + 4096, t] = points @ _MIX[:8] + (t + 1) * _MIX[8]
+            point = decode(y)
+            far = np.round(_NEAR_SQUARED - 2 * (y - point) @ _NEAR.T, 9)
+            nearest = np.argpartition(far, PROBES, axis=1)[:, : PROBES + 1]
+            order = np.lexsort((nearest, np.take_along_axis(far, nearest, axis=1)), axis=1)[:, :PROBES]
+            chosen = _NEAR[np.take_along_axis(nearest, order, axis=1)]
+            points = (2 * (point[:, None, :] + chosen)).astype(np.int64)
+            out[begin : begin + 4096, t] = points @ _MIX[:8] + _MIX[8:] * (t + 1)
     return out
 
 
