@@ -135,7 +135,7 @@ class Scorer:
         self.sums, self.at = np.zeros((1024, 3)), {}
 
     def _learn(self, words: set[str]) -> None:
-        new = words - self.at.keys()
+        new = words.difference(self.at)
         if len(self.at) + len(new) > _CACHE:
             self._forget()
             new = words

@@ -44,7 +44,7 @@ def words_of(text: str | None) -> list[bytes]:
 def _hashes(words: list[bytes]) -> np.ndarray:
     if len(_known) > _KNOWN_WORDS:
         _known.clear()
-    for w in set(words) - _known.keys():
+    for w in set(words).difference(_known):
         _known[w] = xxhash.xxh64_intdigest(w)
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 

@@ -151,7 +151,7 @@ class WordEncoder:
         self.tokenizer, self.known = tokenizer, {}
 
     def _learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+        new = words.difference(self.known)
         if len(self.known) + len(new) > KEPT_WORDS:
             self.known, new = {}, words
         listed = list(new)

@@ -311,7 +311,7 @@ class Scorer:
         self.at: dict[str, int] = {}
 
     def _learn(self, tokens: set[str]) -> None:
-        new = tokens - self.at.keys()
+        new = tokens.difference(self.at)
         if len(self.at) + len(new) > _CACHE:
             self._forget()
             new = tokens
