@@ -195,6 +195,7 @@ def encode(
 ) -> DataFrame:
     """(id_column, ids, n_tokens) per row; ids are little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
+    common.ship(spark)
     id_type = dict(docs.dtypes)[id_column]
     vocabulary = spark.sparkContext.broadcast(common.file_bytes(vocabulary_path))
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
@@ -237,6 +238,7 @@ def decode(encoded: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     """Adds `decoded`, the raw bytes of `ids` (as made by `encode`) one after another."""
     import numpy as np
 
+    common.ship(encoded.sparkSession)
     vocabulary = encoded.sparkSession.sparkContext.broadcast(common.file_bytes(vocabulary_path))
     columns = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
 

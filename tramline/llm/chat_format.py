@@ -91,6 +91,7 @@ def format_examples(conversations: DataFrame, id_column: str = "conv_id") -> Dat
     Ids that are not whole numbers come out as text.
     A conversation's examples come one after another in one partition, in order.
     """
+    common.ship(conversations.sparkSession)
     whole = dict(conversations.dtypes)[id_column] in ("tinyint", "smallint", "int", "bigint")
     kind = "long" if whole else "string"
     schema = pa.schema([("id", pa.int64() if whole else pa.string()), *_EXAMPLE])

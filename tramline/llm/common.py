@@ -1,11 +1,16 @@
 """Helpers shared by the corpus operators."""
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tramline
+
 # Arrow batches made here are closed at about this many bytes.
 BATCH_BYTES = 8 << 20
 
@@ -14,6 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application.
+
+    Their Python workers then find it wherever the driver was started from.
+    """
+    context, package = spark.sparkContext, Path(tramline.__file__).parent
+    if getattr(context, "_tramline_shipped", False) or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tramline-")) / "tramline_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tramline_shipped = True
+
+
 def row_key(*columns: str) -> F.Column:
     """A key equal for equal rows only; recomputed rows keep it."""
     return F.md5(F.to_json(F.struct(*columns)).cast("binary"))
@@ -76,6 +97,7 @@ def labelled_sample(
 
 def scored(docs: DataFrame, one_task, text_column: str, keep: list[str], name: str = "score") -> DataFrame:
     """The columns `keep` and a score; `one_task()` gives each task its function from texts to scores."""
+    ship(docs.sparkSession)
     types = dict(docs.dtypes)
 
     def run(stream):

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm import common
 from tramline.llm.graph import components
 from tramline.session import materialise
 
@@ -220,6 +221,7 @@ def near_duplicates(
     label_column: str = "label",
 ) -> DataFrame:
     """(id_column, n_links, component_id, kept) of every row."""
+    common.ship(embeddings.sparkSession)
     names = {id_column: "id", vector_column: "vector", label_column: "label"}
     rows = embeddings.select(*[F.col(c).alias(n) for c, n in names.items()])
     distinct = materialise(_distinct(rows), "distinct-vectors")

@@ -164,6 +164,8 @@ class Scorer:
 def fit(sample: DataFrame) -> Model | None:
     """Trains on all rows (id, text, y) of a bounded sample, in one task."""
 
+    common.ship(sample.sparkSession)
+
     def run(stream):
         rows = sorted(common.records(stream, "id", "text", "y"))
         model = train([(text, y) for _, text, y in rows])

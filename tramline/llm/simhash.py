@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm import common
 from tramline.llm.graph import components
 from tramline.session import materialise
 
@@ -52,6 +53,7 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, fp): the fingerprint as a signed 64-bit number."""
+    common.ship(docs.sparkSession)
     id_type = dict(docs.dtypes)[id_column]
 
     def run(stream):
@@ -134,6 +136,7 @@ def near_pairs(left: np.ndarray, right: np.ndarray | None, depth: int, most: int
 
 def links(prints: DataFrame, most: int = MOST_BITS, prefix_bits: int = PREFIX_BITS) -> DataFrame:
     """(x, y) of distinct fingerprints (column fp) at most `most` bits apart, each pair once."""
+    common.ship(prints.sparkSession)
     width = 1 << prefix_bits
     near = [[q for q in range(width) if (p ^ q).bit_count() <= most] for p in range(width)]
     table = F.array(*[F.array(*[F.lit(q) for q in qs]) for qs in near])

@@ -303,6 +303,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     `key` is xxhash64 of the text, which tells documents of one id apart.
     """
+    common.ship(docs.sparkSession)
     columns = [F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")]
     texts = docs.select(*columns).withColumn("key", F.xxhash64("text")).filter("id IS NOT NULL AND text IS NOT NULL")
     anchors = texts.mapInArrow(_anchor_rows, "bucket int, docs array<long>, anchors binary, rows binary")

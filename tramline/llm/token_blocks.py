@@ -183,6 +183,7 @@ def write(
 ) -> None:
     """Writes the table of files to `folder`: part, file, n, ids (of documents), counts, data."""
     spark = docs.sparkSession
+    common.ship(spark)
     content = spark.sparkContext.broadcast(common.file_bytes(tokenizer_path))
     id_type = dict(docs.dtypes)[id_column]
 
@@ -231,6 +232,7 @@ def _file_row(part: int, file: int, held: list) -> pa.RecordBatch:
 
 def read(spark: SparkSession, folder: str, id_column: str = "doc_id") -> DataFrame:
     """(id_column, start, n_tokens, ids) of every document; ids as little-endian unsigned 32-bit integers."""
+    common.ship(spark)
     files = spark.read.parquet(folder)
     id_type = files.schema["ids"].dataType.elementType.simpleString()
     sums = files.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one number per range
