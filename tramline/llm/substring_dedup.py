@@ -23,6 +23,7 @@ columns are dropped.
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,26 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def _packed(texts: DataFrame, id_type: str) -> DataFrame:
+    """(id, key, text) with the texts compressed: whole texts are most of what is shuffled."""
+
+    def run(stream):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in stream:
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                packed = [None if t is None else pack(t.encode()) for t in part.column("text").to_pylist()]
+                arrays = [part.column("id"), part.column("key"), pa.array(packed, pa.large_binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "key", "text"])
+
+    return texts.select("id", "key", "text").mapInArrow(run, f"id {id_type}, key long, text binary")
+
+
+def _unpacked(packed: bytes | None) -> list[bytes]:
+    """The words of a compressed text."""
+    return zstandard.decompress(packed).split() if packed else []
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     if len(_known) > _KNOWN_WORDS:
         _known.clear()
@@ -137,11 +158,11 @@ _ANCHORS = pa.schema(
 )
 
 
-def _blocks(stream, *columns):
-    """Lists of (id, words, ...) of about BLOCK_WORDS words."""
+def _blocks(stream, cut, *columns):
+    """Lists of (id, words, ...) of about BLOCK_WORDS words; `cut` gives a text's words."""
     held, size = [], 0
     for doc, text, *rest in common.records(stream, *columns):
-        words = words_of(text)
+        words = cut(text)
         if len(words) < WINDOW:
             continue
         held.append((doc, words, *rest))
@@ -155,7 +176,7 @@ def _blocks(stream, *columns):
 
 def _anchor_rows(stream):
     """Per block and bucket its anchors with their documents; and anchors shared in the block."""
-    for block in _blocks(stream, "id", "text"):
+    for block in _blocks(stream, words_of, "id", "text"):
         ids = [doc for doc, _ in block]
         found = [np.unique(segments(words)[0]) for _, words in block]
         anchor = np.concatenate(found)
@@ -232,7 +253,7 @@ _SEGMENTS = pa.schema(
 
 def _segment_rows(stream):
     """Segments with a shared anchor, one document's per block and text; and the spans of the others."""
-    for block in _blocks(stream, "id", "text", "key", "shared"):
+    for block in _blocks(stream, _unpacked, "id", "text", "key", "shared"):
         where: dict[tuple[int, bytes], dict[tuple[int, int], list[int]]] = {}
         for doc, words, key, shared in block:
             anchor, first, windows = segments(words)
@@ -249,7 +270,7 @@ def _segment_rows(stream):
                 if doc == earliest:
                     out.append((a, doc, key, starts, text, None))
                 else:
-                    out.append((key, doc, key, starts, None, length))
+                    out.append((key ^ doc, doc, key, starts, None, length))
         yield from common.batches(out, _SEGMENTS, lambda r: 60 + len(r[4] or b""))
 
 
@@ -309,7 +330,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     anchors = texts.mapInArrow(_anchor_rows, "bucket int, docs array<long>, anchors binary, rows binary")
     shared = anchors.repartition("bucket").mapInArrow(_shared_anchors, "id long, anchors binary")
     wanted = shared.groupBy("id").agg(F.collect_list("anchors").alias("shared"))
-    found = texts.join(wanted, "id").mapInArrow(
+    found = _packed(texts, "long").join(wanted, "id").mapInArrow(
         _segment_rows, "anchor long, id long, key long, starts array<int>, text binary, end int"
     )
     dealt = found.repartition("anchor").sortWithinPartitions("anchor", "id")
@@ -330,7 +351,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 part = batch.slice(begin, 500)
                 kept, counts, removed = [], [], []
                 for text, spans in common.records([part], "text", "spans"):
-                    words = words_of(text)
+                    words = _unpacked(text)
                     flags = np.zeros(len(words) + 1, np.int64)
                     for span in spans or ():
                         flags[span["start"]] += 1
@@ -343,5 +364,6 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 arrays += [pa.array(c, pa.int64()) for c in (counts, removed)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    joined = texts.withColumn("key", F.xxhash64("text")).join(spans, ["id", "key"], "left")
+    packed = _packed(texts.withColumn("key", F.xxhash64("text")), id_type)
+    joined = packed.join(spans, ["id", "key"], "left")
     return joined.mapInArrow(run, f"id {id_type}, text string, n_words long, n_removed long").withColumnRenamed("id", id_column)
