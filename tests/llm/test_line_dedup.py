@@ -65,6 +65,43 @@ def test_recall_and_precision(spark, corpus):
     assert len(found) >= 0.97 * len(wanted)
 
 
+def missed_share(spark, lines):
+    """Of the pairs of lines that are similar, the share that has no band in common."""
+    rows = spark.createDataFrame(list(enumerate(sorted(set(lines)))), "doc_id long, text string")
+    hashed = line_dedup.lines_of(rows, "doc_id", "text").select("a", "line")
+    text = {r.a: r.line for r in hashed.collect()}
+    held = {}
+    for r in line_dedup._buckets(line_dedup.lines_of(rows, "doc_id", "text")).collect():
+        held.setdefault(text[r.a], set()).add(r.band)
+    known = sorted(text.values())
+    pairs = [(x, y) for k, x in enumerate(known) for y in known[k + 1 :] if near(x, y)]
+    assert len(pairs) > 20
+    return sum(not held.get(x, set()) & held.get(y, set()) for x, y in pairs) / len(pairs)
+
+
+def variants(pick, line, alphabet, edits=1):
+    """The line with a character put in, changed or lost at each end and inside."""
+    out = [line]
+    for at in (0, len(line), pick.randrange(len(line)), pick.randrange(len(line))):
+        for drop, put in ((0, 1), (1, 1), (1, 0)):
+            now = line[:at] + pick.choice(alphabet) * put + line[at + drop :]
+            for _ in range(edits - 1):
+                at = pick.randrange(len(now))
+                now = now[:at] + pick.choice(alphabet) + now[at + 1 :]
+            out.append(now)
+    return [x for x in out if x == x.strip()]
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 4, 5])
+def test_short_lines(spark, words):
+    pick = random.Random(words)
+    lines = ["Read more", "Read more.", "Subscribe now", "Subscribe now!", "Advertisement below", "Advertisement below:"]
+    for _ in range(40):
+        line = " ".join("".join(pick.choice("abcdefgh") for _ in range(pick.randint(3, 14))) for _ in range(words))
+        lines += variants(pick, line[:36].strip(), "xyz.:!")
+    assert missed_share(spark, lines) == 0
+
+
 def test_texts(spark):
     long = "some words that make a line long enough to be compared with others here"
     rows = [(1, f"{long}\nfirst", "x"), (2, f"{long[:-1]}\n\n second \n{long}", "y"), (3, None, "z"), (4, "third\n", None), (None, "third", "n")]

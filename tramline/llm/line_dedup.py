@@ -1,13 +1,15 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
 A line's signature is the SIGNATURE smallest hashes of its character shingles that
-begin at a word: SHINGLE characters, in short lines SHORT_SHINGLE. Bands are pairs of
-signature values that are neighbours or next but one, so two lines need two shingles in
-common at about the same rank. In a band's bucket every line is compared with the
-bucket's first; lines that fail there are compared with the bucket's other lines, so no
-pair of a bucket goes unseen. A pair links if the Jaccard similarity of all its
-character shingles of EXACT characters is at least SIMILARITY. Of each component of
-links the first line, by document id and place, stays; every other occurrence goes.
+begin at a word, SHINGLE characters each. Bands are pairs of signature values that are
+neighbours or next but one, so two lines need two shingles in common at about the same
+rank. Short lines are banded by all pairs of a prefix of their shingles of EXACT
+characters, at every position: no two of them that are similar are passed over.
+In a band's bucket every line is compared with the bucket's first; lines that fail
+there are compared with the bucket's other lines, so no pair of a bucket goes unseen. A
+pair links if the Jaccard similarity of all its character shingles of EXACT characters
+is at least SIMILARITY. Of each component of links the first line, by document id and
+place, stays; every other occurrence goes.
 
 All steps are DataFrame operations. Only hashes travel until candidates are known.
 
@@ -23,12 +25,15 @@ from tramline.llm.graph import components
 from tramline.session import materialise
 
 SHINGLE = 16
-# Lines below SHORT_CHARS have shorter shingles; those that may match longer lines have both.
-SHORT_CHARS = 32
-SHORT_SHINGLE = 6
 SIGNATURE = 6
 EXACT = 5
 SIMILARITY = 0.8
+# Lines below SHORT_CHARS have prefixes; those that may match longer lines, below BOTH_CHARS,
+# have both.
+SHORT_CHARS = 32
+BOTH_CHARS = 40
+# Values in the longest prefix.
+PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -45,9 +50,20 @@ def _signature(pattern: str) -> F.Column:
     return F.slice(F.array_distinct(hashes), 1, SIGNATURE)
 
 
-def _bands(values: list[str]) -> list[F.Column]:
-    """Hashes of pairs of signature values that are neighbours or next but one."""
-    pairs = [(i, j) for i in range(SIGNATURE) for j in (i + 1, i + 2) if j < SIGNATURE]
+def _prefix() -> F.Column:
+    """The smallest hashes of a short line's shingles, two more than a similar line may lack.
+
+    Lines of n and at most n shingles with similarity SIMILARITY have at least
+    SIMILARITY * n in common, so the prefixes of both share two values, or all they have.
+    """
+    hashes = F.sort_array(F.transform(_shingles("line"), lambda s: F.xxhash64(s)))
+    lacking = F.floor(F.size(hashes) * (1 - SIMILARITY) + 1e-6).cast("int")
+    return F.slice(hashes, F.lit(1), lacking + 2)
+
+
+def _pairs(values: list[str], apart: int) -> list[F.Column]:
+    """Hashes of pairs of values at most `apart` places from each other."""
+    pairs = [(i, j) for i in range(len(values)) for j in range(i + 1, min(i + apart + 1, len(values)))]
     return [F.expr(f"IF({values[j]} IS NULL, NULL, xxhash64({values[i]}, {values[j]}))") for i, j in pairs]
 
 
@@ -55,13 +71,12 @@ def _buckets(lines: DataFrame) -> DataFrame:
     """(band, a, first): members of buckets with more than one distinct line."""
     length = F.length("line")
     long = F.when(length >= SHORT_CHARS, _signature(rf"(?<!\S)(?=(\S.{{{SHINGLE - 1}}}))"))
-    short = F.when(length < SHORT_CHARS / SIMILARITY, _signature(rf"(?<!\S)(?=(\S.{{0,{SHORT_SHINGLE - 1}}}))"))
-    signed = lines.select("a", long.alias("s"), short.alias("t"))
-    values = {k: [f"{k}{i}" for i in range(SIGNATURE)] for k in "st"}
+    signed = lines.select("a", long.alias("s"), F.when(length < BOTH_CHARS, _prefix()).alias("t"))
+    values = {"s": [f"s{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
     first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
     distinct = signed.groupBy("a").agg(*first)
     alone = [F.expr(f"IF({k}0 IS NOT NULL AND {k}1 IS NULL, xxhash64({k}0), NULL)") for k in "st"]
-    bands = F.array(*_bands(values["s"]), *_bands(values["t"]), *alone)
+    bands = F.array(*_pairs(values["s"], 2), *_pairs(values["t"], PREFIX), *alone)
     banded = distinct.select("a", F.explode(F.array_compact(bands)).alias("band"))
     spans = banded.selectExpr(
         "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
