@@ -102,6 +102,26 @@ def test_short_lines(spark, words):
     assert missed_share(spark, lines) == 0
 
 
+def long_words(pick):
+    return "".join(pick.choice("abcdefghij0123456789") for _ in range(pick.randint(40, 60)))
+
+
+def unspaced(pick):
+    return "".join(chr(pick.randrange(0x4E00, 0x5800)) for _ in range(pick.choice((50, 100))))
+
+
+@pytest.mark.parametrize("make", [long_words, lambda pick: "See https://" + long_words(pick), unspaced])
+def test_lines_of_few_words(spark, make):
+    pick = random.Random(2)
+    lines = [x for _ in range(25) for x in variants(pick, make(pick), "XYZ ")]
+    assert missed_share(spark, lines) < 0.01
+
+
+def test_rulers(spark):
+    lines = [c * n for c in ("-", "=-", "ab ") for n in (20, 30, 31, 32, 39, 40, 41, 70, 200)]
+    assert missed_share(spark, [x.strip() for x in lines]) == 0
+
+
 def test_texts(spark):
     long = "some words that make a line long enough to be compared with others here"
     rows = [(1, f"{long}\nfirst", "x"), (2, f"{long[:-1]}\n\n second \n{long}", "y"), (3, None, "z"), (4, "third\n", None), (None, "third", "n")]

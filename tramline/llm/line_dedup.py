@@ -1,10 +1,10 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
-A line's signature is the SIGNATURE smallest hashes of its character shingles that
-begin at a word, SHINGLE characters each. Bands are pairs of signature values that are
-neighbours or next but one, so two lines need two shingles in common at about the same
-rank. Short lines are banded by all pairs of a prefix of their shingles of EXACT
-characters, at every position: no two of them that are similar are passed over.
+A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE
+characters, taken at every position, so that no class of lines has few. Bands are all
+pairs of signature values: two lines need two of them in common. Short lines are banded by
+all pairs of a prefix of their shingles of EXACT characters: no two of them that are
+similar are passed over.
 In a band's bucket every line is compared with the bucket's first; lines that fail
 there are compared with the bucket's other lines, so no pair of a bucket goes unseen. A
 pair links if the Jaccard similarity of all its character shingles of EXACT characters
@@ -18,20 +18,23 @@ them; blank lines always stay; a null text stays null; rows with one document id
 document, whose equal lines at one place are one line; other columns stay.
 """
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.graph import components
 from tramline.session import materialise
 
-SHINGLE = 16
-SIGNATURE = 6
+SHINGLE = 12
+SIGNATURE = 8
 EXACT = 5
 SIMILARITY = 0.8
 # Lines below SHORT_CHARS have prefixes; those that may match longer lines, below BOTH_CHARS,
-# have both.
+# have both. Long lines of fewer than FEW shingles, such as rulers, have prefixes as well.
 SHORT_CHARS = 32
 BOTH_CHARS = 40
+FEW = 24
 # Values in the longest prefix.
 PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
 
@@ -45,9 +48,10 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _signature(pattern: str) -> F.Column:
-    hashes = F.sort_array(F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s)))
-    return F.slice(F.array_distinct(hashes), 1, SIGNATURE)
+def _hashes() -> F.Column:
+    """The hashes of a line's shingles of SHINGLE characters at every position, smallest first."""
+    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.array_distinct(F.sort_array(F.transform(every, lambda s: F.xxhash64(s))))
 
 
 def _prefix() -> F.Column:
@@ -61,22 +65,22 @@ def _prefix() -> F.Column:
     return F.slice(hashes, F.lit(1), lacking + 2)
 
 
-def _pairs(values: list[str], apart: int) -> list[F.Column]:
-    """Hashes of pairs of values at most `apart` places from each other."""
-    pairs = [(i, j) for i in range(len(values)) for j in range(i + 1, min(i + apart + 1, len(values)))]
-    return [F.expr(f"IF({values[j]} IS NULL, NULL, xxhash64({values[i]}, {values[j]}))") for i, j in pairs]
+def _pairs(values: list[str]) -> list[F.Column]:
+    """Hashes of all pairs of values; a single value's own if there is but one."""
+    pairs = [f"IF({y} IS NULL, NULL, xxhash64({x}, {y}))" for x, y in combinations(values, 2)]
+    return list(map(F.expr, [*pairs, f"IF({values[0]} IS NOT NULL AND {values[1]} IS NULL, xxhash64({values[0]}), NULL)"]))
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
     """(band, a, first): members of buckets with more than one distinct line."""
     length = F.length("line")
-    long = F.when(length >= SHORT_CHARS, _signature(rf"(?<!\S)(?=(\S.{{{SHINGLE - 1}}}))"))
-    signed = lines.select("a", long.alias("s"), F.when(length < BOTH_CHARS, _prefix()).alias("t"))
+    hashed = lines.select("a", "line", F.when(length >= SHORT_CHARS, _hashes()).alias("hashes"))
+    short = (length < BOTH_CHARS) | (F.size("hashes") < FEW)
+    signed = hashed.select("a", F.slice("hashes", 1, SIGNATURE).alias("s"), F.when(short, _prefix()).alias("t"))
     values = {"s": [f"s{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
     first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
     distinct = signed.groupBy("a").agg(*first)
-    alone = [F.expr(f"IF({k}0 IS NOT NULL AND {k}1 IS NULL, xxhash64({k}0), NULL)") for k in "st"]
-    bands = F.array(*_pairs(values["s"], 2), *_pairs(values["t"], PREFIX), *alone)
+    bands = F.array(*_pairs(values["s"]), *_pairs(values["t"]))
     banded = distinct.select("a", F.explode(F.array_compact(bands)).alias("band"))
     spans = banded.selectExpr(
         "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
