@@ -19,6 +19,21 @@ def test_features():
     assert len(quality.features([])[0]) == 0
 
 
+def test_every_character_of_long_words_counts():
+    word = "".join(chr(0x4E00 + k) for k in range(1000))
+    assert len(quality.features([word])[1]) == 1 + sum(1002 - n + 1 for n in quality.NGRAMS)
+    grams = set(quality.features([word])[1])
+    for at in (30, 500, 970):
+        assert len(grams - set(quality.features([word[:at] + "!" + word[at + 1 :]])[1])) > 5
+
+
+def test_long_unseen_words_are_read_whole(model):
+    # Both ends are the same; only what stands between tells them apart.
+    texts = ["x" * 30 + part * 40 + "x" * 30 for part in ("weather", "CHEAP!!")]
+    good, bad = quality.Scorer(model).scores(texts)
+    assert good > bad + 0.1
+
+
 @pytest.fixture(scope="module")
 def model():
     good = [("some calm words about the weather and a walk " * (1 + k % 3), 1) for k in range(40)]

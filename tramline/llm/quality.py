@@ -16,6 +16,7 @@ Without labels of both classes every score is 0.5.
 
 import pickle
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,29 +29,26 @@ SAMPLE_ROWS = 1_500
 BUCKETS = 1 << 16
 DIMENSIONS = 12
 NGRAMS = (2, 3, 4)
-WORD_CHARS = 24
 EPOCHS = 20
 RATE = 0.3
 DECAY = 1e-5
 SEED = 7
 _CACHE = 500_000
+# Words are learnt in parts of about so many characters, which bounds the arrays of their n-grams.
+_PART_CHARS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _REPEATED = "\x02repeated"
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bucket) of each word's character n-grams and of itself, sorted by word.
-
-    Of long words only both ends count.
-    """
+    """(word, bucket) of each word's character n-grams and of itself, sorted by word."""
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    cut = [w if len(w) <= 2 * WORD_CHARS else w[:WORD_CHARS] + w[-WORD_CHARS:] for w in words]
-    sizes = np.array([len(w) + 1 for w in cut])
-    points = np.frombuffer(("\x01" + "\x01".join(cut) + "\x01").encode("utf-32-le"), "<u4").astype(np.uint64)
-    word = np.repeat(np.arange(len(cut)), sizes)
+    sizes = np.array([len(w) + 1 for w in words])
+    points = np.frombuffer(("\x01" + "\x01".join(words) + "\x01").encode("utf-32-le"), "<u4").astype(np.uint64)
+    word = np.repeat(np.arange(len(words)), sizes)
     last = np.cumsum(sizes)[word]  # place of the mark after the word
-    owners, buckets = [np.arange(len(cut))], [np.array([zlib.crc32(w.encode()) for w in words], np.uint64)]
+    owners, buckets = [np.arange(len(words))], [np.array([zlib.crc32(w.encode()) for w in words], np.uint64)]
     for n in NGRAMS:
         at = np.flatnonzero(np.arange(len(word)) + n - 1 <= last)
         code = np.full(len(at), n, np.uint64)
@@ -122,6 +120,18 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     return Model(vectors, layer, bias)
 
 
+def _parts(words: set[str]) -> Iterator[list[str]]:
+    part, size = [], 0
+    for word in words:
+        if part and size + len(word) > _PART_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(word)
+        size += len(word) + 1
+    if part:
+        yield part
+
+
 class Scorer:
     """Scores texts, with a bounded store of distinct words' summed vectors."""
 
@@ -139,9 +149,7 @@ class Scorer:
         if len(self.at) + len(new) > _CACHE:
             self._forget()
             new = words
-        listed = list(new)
-        for begin in range(0, len(listed), 20_000):
-            part = listed[begin : begin + 20_000]
+        for part in _parts(new):
             owner, bucket = features(part)
             starts = np.searchsorted(owner, np.arange(len(part)))
             used = len(self.at)
