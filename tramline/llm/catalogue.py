@@ -4,7 +4,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tramline.llm import byte_bpe, chat_format, decontaminate, lattice_dedup, line_dedup, quality, simhash, substring_dedup, token_blocks, toxicity
+from tramline.llm import byte_bpe, chat_format, collocations, decontaminate, lattice_dedup, line_dedup, quality, ranked_search
+from tramline.llm import oracles as sql
+from tramline.llm import repetition, simhash, substring_dedup, token_blocks, toxicity
 from tramline.llm.common import fold, labelled_sample, table
 from tramline.session import work_folder
 
@@ -107,6 +109,22 @@ def op10_line_dedup(spark, sf_dir):
     return gone.select(F.col("id").alias("doc_id"), F.size("places").alias("n_removed"), "places")
 
 
+def op11_ranked_search(spark, sf_dir):
+    found = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_repetition(spark, sf_dir):
+    measured = repetition.measure(table(spark, sf_dir, "documents"))
+    return measured.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
@@ -118,28 +136,19 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
+    "op13_repetition": op13_repetition,
     "pipeline": corpus_pipeline.run,
 }
 
 
-def _shingled_sql(name: str, id_column: str, size: int) -> str:
-    """Distinct shingles of words, as CTEs."""
-    return f"""
-{name}_words AS (
-  SELECT {id_column}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {name} WHERE text IS NOT NULL),
-{name}_shingles AS (
-  SELECT DISTINCT {id_column}, array_to_string(w[i : i + {size - 1}], ' ') AS s
-  FROM (SELECT {id_column}, w, unnest(range(1, len(w) - {size - 2})) AS i FROM {name}_words))"""
-
-
-LEAKS_SQL = f"""WITH {_shingled_sql("documents", "doc_id", decontaminate.SHINGLE)},
-{_shingled_sql("benchmark", "item_id", decontaminate.SHINGLE)},
-sizes AS (SELECT item_id, count(*) AS n FROM benchmark_shingles GROUP BY 1)
-SELECT doc_id, item_id, count(*) AS n_shared, any_value(n) AS n_shingles
-FROM benchmark_shingles JOIN documents_shingles USING (s) JOIN sizes USING (item_id)
-GROUP BY 1, 2 HAVING count(*) >= {decontaminate.LEAST_CONTAINMENT} * any_value(n)"""
-
-
 def oracles():
-    known = {"op5_decontaminate": LEAKS_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
-    return {name: sql for name, sql in known.items() if sql}
+    known = {
+        "op5_decontaminate": sql.LEAKS,
+        "op11_ranked_search": sql.SEARCH,
+        "op12_collocations": sql.PHRASES,
+        "op13_repetition": sql.REPETITION,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {name: text for name, text in known.items() if text}

@@ -35,6 +35,11 @@ def ship(spark: SparkSession) -> None:
     context._tramline_shipped = True
 
 
+def quoted(column: str) -> str:
+    """A column's name as SQL reads it, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def row_key(*columns: str) -> F.Column:
     """A key equal for equal rows only; recomputed rows keep it."""
     return F.md5(F.to_json(F.struct(*columns)).cast("binary"))
