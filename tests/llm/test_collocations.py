@@ -51,8 +51,11 @@ def corpus():
     return docs + [("en", None), (None, ""), ("fr", "x " * 400), ("fr", "a b c d e f g. " * 30), ("it", ".,;:!?")]
 
 
-@pytest.mark.parametrize("least, longest, top", [(5, 5, 2000), (3, 3, 7), (20, 2, 50), (1, 5, 2000)])
-def test_collocations(spark, corpus, monkeypatch, least, longest, top):
+@pytest.mark.parametrize("least, longest, top, known", [(5, 5, 2000, 10**6), (5, 5, 2000, 0), (3, 5, 7, 120), (20, 2, 50, 0), (1, 5, 2000, 10**6)])
+def test_collocations(spark, corpus, monkeypatch, least, longest, top, known):
+    monkeypatch.setattr(co, "KNOWN_WORDS", known)
+    monkeypatch.setattr(co, "KNOWN_PAIRS", known)
+    monkeypatch.setattr(co, "COUNT_WORDS", 1000)
     monkeypatch.setattr(co, "BLOCK_WORDS", 300)
     monkeypatch.setattr(co, "TEXT_BYTES", 200)
     monkeypatch.setattr(co, "TILE", 8)

@@ -7,8 +7,10 @@ more word, so phrases are counted as pairs (phrase id, word id), length by lengt
 * A block counts its pairs in tiles of TILE x TILE ids. Ids being ranks, few tiles hold
   most pairs: those are counted by a dense bincount, the others as sorted coordinates.
 * Blocks' counts are added up by Spark; the frequent pairs are ranked by frequency again,
-  and their ranks are the ids of the next length's phrases. Each block gets back the ids of
-  its own pairs by a join, so nothing that grows with the corpus is broadcast.
+  and their ranks are the ids of the next length's phrases.
+* Blocks learn the ids from a broadcast table if that was counted to have at most
+  KNOWN_WORDS words or KNOWN_PAIRS pairs; beyond that, each block gets back the ids of its
+  own words or pairs by a join.
 
 Every part of a frequent phrase is frequent, so all counts that a score needs are known,
 and a phrase lies inside a longer one as frequent only if one of one more word is so.
@@ -19,12 +21,12 @@ columns are not read.
 """
 
 import re
-import uuid
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,13 +40,18 @@ UNKNOWN = "und"
 TILE = 512
 # A tile with pairs for so large a share of its cells is counted densely.
 DENSE_SHARE = 1 / 16
-BLOCK_WORDS = 1 << 20
-TEXT_BYTES = 4 << 20
+BLOCK_WORDS = 1 << 18
+TEXT_BYTES = 1 << 20
+# Blocks of so many words together are counted at once.
+COUNT_WORDS = 1 << 20
+# What may be broadcast: some 20 and 50 MB.
+KNOWN_WORDS = 200_000
+KNOWN_PAIRS = 2_000_000
 
 _TOKEN = re.compile(rb"[.,;:!?\x0a-\x0d]|[^\x20\x09.,;:!?\x0a-\x0d]+")
 _CUT = re.compile(rb"[.,;:!?\x0a-\x0d]")
 _NONE = -1
-_BLOCK = "block string, lang string, words array<string>, counts array<long>, ids binary"
+_BLOCK = "block long, lang string, words array<string>, counts array<long>, ids binary"
 
 
 class _Block:
@@ -64,7 +71,7 @@ class _Block:
         ids = np.concatenate(self.parts)
         words = [w.decode() for w, i in self.number.items() if i != _NONE]
         counts = np.bincount(ids[ids != _NONE], minlength=len(words))
-        return uuid.uuid4().hex, lang, words, counts, ids.tobytes()
+        return lang, words, counts, ids.tobytes()
 
 
 def _slices(text: bytes):
@@ -96,12 +103,14 @@ def _block_rows(rows):
 
 def _blocks(docs: DataFrame, lang_column: str, text_column: str) -> DataFrame:
     schema = pa.schema(
-        [("block", pa.string()), ("lang", pa.string()), ("words", pa.list_(pa.string()))]
+        [("block", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string()))]
         + [("counts", pa.list_(pa.int64())), ("ids", pa.large_binary())]
     )
 
     def run(stream):
-        rows = _block_rows(common.records(stream, "lang", "text"))
+        # Unique in the one job that writes the blocks, whichever attempt of a task it is.
+        own = TaskContext.get().partitionId() << 32
+        rows = ((own + k, *row) for k, row in enumerate(_block_rows(common.records(stream, "lang", "text"))))
         yield from common.batches(rows, schema, lambda r: len(r[4]) + 24 * len(r[2]))
 
     lang, text = (F.col(common.quoted(c)) for c in (lang_column, text_column))
@@ -161,22 +170,68 @@ def _pairs(words: np.ndarray, phrases: np.ndarray, length: int) -> tuple[np.ndar
     return places, phrases[places].astype(np.int64), words[places + length].astype(np.int64)
 
 
-def _counted(blocks: DataFrame, length: int) -> DataFrame:
-    """(block, left, right, n) of the pairs in blocks whose phrases have a length."""
+class Table:
+    """Ids of the frequent pairs, for look-ups."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, ids: np.ndarray):
+        self.wide = int(right.max(initial=0)) + 1
+        codes = left.astype(np.int64) * self.wide + right
+        order = np.argsort(codes)
+        self.codes, self.ids = codes[order], ids[order].astype(np.int32)
+
+    def longer(self, words: np.ndarray, phrases: np.ndarray, length: int) -> np.ndarray:
+        """The phrases of one more word, from those of a length."""
+        out = np.full(len(words), _NONE, np.int32)
+        places, left, right = _pairs(words, phrases, length)
+        fits = right < self.wide
+        places, wanted = places[fits], left[fits] * self.wide + right[fits]
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+            found = self.codes[at] == wanted
+            out[places[found]] = self.ids[at[found]]
+        return out
+
+
+def _numbers(batch, column: str) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(column)]
+
+
+def _joint(stream, by_block: bool):
+    """(block, words, phrases) of single blocks, or of blocks with COUNT_WORDS words together."""
+    held, size = [], 0
+    for batch in stream:
+        for row in zip(batch.column("block").to_pylist(), _numbers(batch, "words"), _numbers(batch, "phrases")):
+            if by_block:
+                yield row
+                continue
+            held.append(row)
+            size += len(row[1])
+            if size >= COUNT_WORDS:
+                yield None, *(np.concatenate([x[c] for x in held]) for c in (1, 2))
+                held, size = [], 0
+    if held:
+        yield None, *(np.concatenate([x[c] for x in held]) for c in (1, 2))
+
+
+def _counted(blocks: DataFrame, length: int, tables: list, by_block: bool = False) -> DataFrame:
+    """(block, left, right, n) of pairs, where blocks have phrases of a length and `tables`
+    lead to longer ones. Without `by_block` a block is null and pairs come from several."""
 
     def run(stream):
-        for batch in stream:
-            for block, words, phrases in zip(*(batch.column(c) for c in ("block", "words", "phrases")), strict=True):
-                known = [np.frombuffer(x.as_buffer(), np.int32) for x in (words, phrases)]
-                _, left, right = _pairs(*known, length)
-                left, right, n = count_pairs(left, right)
-                for a in range(0, len(n), 100_000):
-                    part = slice(a, a + 100_000)
-                    name = pa.array([block.as_py()] * len(n[part]))
-                    arrays = [name, *(pa.array(x[part], pa.int64()) for x in (left, right, n))]
-                    yield pa.RecordBatch.from_arrays(arrays, ["block", "left", "right", "n"])
-
-    return blocks.mapInArrow(run, "block string, left long, right long, n long")
+        for block, words, phrases in _joint(stream, by_block):
+            now = length
+            for table in tables:
+                phrases = table.value.longer(words, phrases, now)
+                now += 1
+            _, left, right = _pairs(words, phrases, now)
+            left, right, n = count_pairs(left, right)
+            for a in range(0, len(n), 100_000):
+                part = slice(a, a + 100_000)
+                own = pa.array(np.full(len(n[part]), block)) if by_block else pa.nulls(len(n[part]), pa.int64())
+                arrays = [own, *(pa.array(x[part], pa.int64()) for x in (left, right, n))]
+                yield pa.RecordBatch.from_arrays(arrays, ["block", "left", "right", "n"])
+
+    return blocks.mapInArrow(run, "block long, left long, right long, n long")
 
 
 def _lookup(batch, row: int) -> list[np.ndarray]:
@@ -185,58 +240,73 @@ def _lookup(batch, row: int) -> list[np.ndarray]:
     return [values.field(i).to_numpy(zero_copy_only=False) for i in range(values.type.num_fields)]
 
 
-_SCHEMA = "block string, words binary, phrases binary"
+_SCHEMA = "block long, words binary, phrases binary"
 
 
 def _rows(name: str, words: np.ndarray, phrases: np.ndarray):
     data = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (words, phrases)]
-    return pa.RecordBatch.from_arrays([pa.array([name]), *data], ["block", "words", "phrases"])
+    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *data], ["block", "words", "phrases"])
 
 
 def _renumbered(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Blocks by word ids instead of their own numbers; rare words are _NONE."""
+    if vocabulary.count() <= KNOWN_WORDS:
+        known: dict[str, dict[str, int]] = defaultdict(dict)
+        for lang, word, i in vocabulary.collect():
+            known[lang][word] = i
+        held = blocks.sparkSession.sparkContext.broadcast(dict(known))
+
+        def run(stream):
+            for batch in stream:
+                for row, ids in enumerate(_numbers(batch, "ids")):
+                    ids_of = held.value.get(batch.column("lang")[row].as_py(), {})
+                    own = [ids_of.get(w, _NONE) for w in batch.column("words")[row].as_py()]
+                    words = np.array([*own, _NONE], np.int32)[ids]
+                    yield _rows(batch.column("block")[row].as_py(), words, words)
+
+        return blocks.select("block", "lang", "words", "ids").mapInArrow(run, _SCHEMA)
+
     own = blocks.select("block", "lang", F.posexplode("words").alias("number", "word"))
-    known = own.join(vocabulary, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("known"))
+    joined = own.join(vocabulary, ["lang", "word"]).groupBy("block")
+    known = joined.agg(F.collect_list(F.struct("number", "id")).alias("known"))
 
-    def run(stream):
+    def run_joined(stream):
         for batch in stream:
-            for row in range(batch.num_rows):
+            for row, ids in enumerate(_numbers(batch, "ids")):
                 number, word = _lookup(batch, row)
-                ids = np.frombuffer(batch.column("ids")[row].as_buffer(), np.int32)
                 # Numbers without an id, and _NONE as the last place, stay _NONE.
                 place = np.full(max(ids.max(initial=0), number.max(initial=0)) + 2, _NONE, np.int32)
                 place[number] = word
                 words = place[ids]
                 yield _rows(batch.column("block")[row].as_py(), words, words)
 
-    return blocks.select("block", "ids").join(known, "block").mapInArrow(run, _SCHEMA)
+    return blocks.select("block", "ids").join(known, "block").mapInArrow(run_joined, _SCHEMA)
 
 
-def _extended(blocks: DataFrame, counted: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
-    """Blocks with phrases of one more word."""
-    pairs = counted.join(frequent.select("left", "right", "id"), ["left", "right"])
+def _extended(blocks: DataFrame, length: int, tables: list, frequent: DataFrame) -> DataFrame:
+    """Blocks with phrases of the frequent pairs, by a join of each block's own pairs."""
+    pairs = _counted(blocks, length, tables, by_block=True).join(frequent.select("left", "right", "id"), ["left", "right"])
     known = pairs.groupBy("block").agg(F.collect_list(F.struct("left", "right", "id")).alias("known"))
 
     def run(stream):
         for batch in stream:
-            for row in range(batch.num_rows):
-                left, right, ids = _lookup(batch, row)
-                buffers = (batch.column(c)[row].as_buffer() for c in ("words", "phrases"))
-                words, phrases = (np.frombuffer(b, np.int32) for b in buffers)
-                places, own_left, own_right = _pairs(words, phrases, length)
-                wide = max(right.max(initial=0), own_right.max(initial=0)) + 1
-                codes = left * wide + right
-                order = np.argsort(codes)
-                wanted = own_left * wide + own_right
-                at = np.minimum(np.searchsorted(codes, wanted, sorter=order), len(codes) - 1)
-                found = codes[order[at]] == wanted
-                longer = np.full(len(words), _NONE, np.int32)
-                longer[places[found]] = ids[order[at]][found]
-                yield _rows(batch.column("block")[row].as_py(), words, longer)
+            numbers = zip(_numbers(batch, "words"), _numbers(batch, "phrases"))
+            for row, (words, phrases) in enumerate(numbers):
+                now = length
+                for table in [*(t.value for t in tables), Table(*_lookup(batch, row))]:
+                    phrases = table.longer(words, phrases, now)
+                    now += 1
+                yield _rows(batch.column("block")[row].as_py(), words, phrases)
 
     return blocks.join(known, "block").mapInArrow(run, _SCHEMA)
 
 
+def _broadcast(pairs: DataFrame):
+    found = pairs.select("left", "right", "id").toArrow()
+    table = Table(*(found.column(c).to_numpy() for c in ("left", "right", "id")))
+    return pairs.sparkSession.sparkContext.broadcast(table)
+
+
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang_column: str = "lang", text_column: str = "text"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -253,17 +323,21 @@ def frequent_phrases(
     level = vocabulary.select(F.array("id").alias("words"), "n", "id")
     phrases = [level]
     blocks = materialise(_renumbered(blocks, vocabulary.select("lang", "word", "id")), "phrase-blocks")
+    reached, tables = 1, []  # the length of the blocks' phrases, and what leads to longer ones
     for length in range(1, longest):
-        counted = materialise(_counted(blocks, length), "phrase-pairs")
-        sums = counted.groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        frequent = materialise(ranked(sums, "left", "right"), "phrase-frequent")
+        sums = _counted(blocks, reached, tables).groupBy("left", "right").agg(F.sum("n").alias("n"))
+        frequent = materialise(ranked(sums.filter(F.col("n") >= least), "left", "right"), "phrase-frequent")
         shorter = level.select(F.col("id").alias("left"), F.col("words").alias("start"))
-        longer = frequent.join(shorter, "left")
-        level = longer.select(F.concat("start", F.array("right")).alias("words"), "n", "id")
+        level = frequent.join(shorter, "left").select(F.concat("start", F.array("right")).alias("words"), "n", "id")
         level = materialise(level, "phrases")
         phrases.append(level)
-        if length + 1 < longest:
-            blocks = materialise(_extended(blocks, counted, frequent, length), "phrase-blocks")
+        if length + 1 == longest:
+            break
+        if frequent.count() <= KNOWN_PAIRS:
+            tables.append(_broadcast(frequent))
+        else:
+            blocks = materialise(_extended(blocks, reached, tables, frequent), "phrase-blocks")
+            reached, tables = length + 1, []
     every_length = phrases[0].select("words", "n")
     for level in phrases[1:]:
         every_length = every_length.unionByName(level.select("words", "n"))
