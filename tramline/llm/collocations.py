@@ -1,16 +1,16 @@
 """Phrases that stand together more often than their parts would by chance.
 
-Texts become blocks of word numbers, cut at punctuation. The words with at least `least`
-occurrences get ids by falling frequency; a frequent phrase is a frequent phrase with one
-more word, so phrases are counted as pairs (phrase id, word id), length by length:
+The words with at least `least` occurrences get ids by falling frequency; texts become
+blocks of word ids, cut at punctuation. A frequent phrase is a frequent phrase with one more
+word, so phrases are counted as pairs (phrase id, word id), length by length:
 
 * A block counts its pairs in tiles of TILE x TILE ids. Ids being ranks, few tiles hold
   most pairs: those are counted by a dense bincount, the others as sorted coordinates.
 * Blocks' counts are added up by Spark; the frequent pairs are ranked by frequency again,
   and their ranks are the ids of the next length's phrases.
-* Blocks learn the ids from a broadcast table if that was counted to have at most
-  KNOWN_WORDS words or KNOWN_PAIRS pairs; beyond that, each block gets back the ids of its
-  own words or pairs by a join.
+* Blocks learn ids from a broadcast table if that was counted to have at most KNOWN_WORDS
+  words or KNOWN_PAIRS pairs; beyond that, blocks carry their own numbers, and each gets
+  back the ids of its own words or pairs by a join.
 
 Every part of a frequent phrase is frequent, so all counts that a score needs are known,
 and a phrase lies inside a longer one as frequent only if one of one more word is so.
@@ -21,7 +21,7 @@ columns are not read.
 """
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import count
 
 import numpy as np
@@ -43,35 +43,40 @@ DENSE_SHARE = 1 / 16
 BLOCK_WORDS = 1 << 18
 TEXT_BYTES = 1 << 20
 # Blocks of so many words together are counted at once.
-COUNT_WORDS = 1 << 20
+COUNT_WORDS = 1 << 19
 # What may be broadcast: some 20 and 50 MB.
 KNOWN_WORDS = 200_000
 KNOWN_PAIRS = 2_000_000
+# Distinct words a task counts before it passes the counts on.
+COUNTED_WORDS = 50_000
 
 _TOKEN = re.compile(rb"[.,;:!?\x0a-\x0d]|[^\x20\x09.,;:!?\x0a-\x0d]+")
 _CUT = re.compile(rb"[.,;:!?\x0a-\x0d]")
 _NONE = -1
-_BLOCK = "block long, lang string, words array<string>, counts array<long>, ids binary"
 
 
-class _Block:
-    """Words of one language: numbers in order, _NONE where a phrase cannot go on."""
+_PUNCTUATION = {bytes([c]): _NONE for c in b".,;:!?\n\x0b\x0c\r"}
+
 
-    def __init__(self):
-        self.number = defaultdict(count().__next__, {bytes([c]): _NONE for c in b".,;:!?\n\x0b\x0c\r"})
+class _Block:
+    """Words of one language as numbers in order, _NONE where a phrase cannot go on."""
+
+    def __init__(self, known: dict[bytes, int] | None = None):
+        """With the words' ids, or to number the words itself."""
+        self.own = known is None
+        if known is None:
+            known = defaultdict(count().__next__, _PUNCTUATION)
+        self.number = known
         self.parts, self.size = [], 0
 
-    def add(self, text: bytes) -> None:
-        tokens = _TOKEN.findall(text)
-        ids = np.fromiter(map(self.number.__getitem__, tokens), np.int32, len(tokens))
-        self.parts += [ids, np.array([_NONE], np.int32)]
-        self.size += len(ids) + 1
+    def add(self, tokens: list[bytes]) -> None:
+        numbers = map(self.number.__getitem__, tokens) if self.own else (self.number.get(t, _NONE) for t in tokens)
+        self.parts += [np.fromiter(numbers, np.int32, len(tokens)), np.array([_NONE], np.int32)]
+        self.size += len(tokens) + 1
 
     def row(self, lang: str) -> tuple:
-        ids = np.concatenate(self.parts)
-        words = [w.decode() for w, i in self.number.items() if i != _NONE]
-        counts = np.bincount(ids[ids != _NONE], minlength=len(words))
-        return lang, words, counts, ids.tobytes()
+        words = [w.decode() for w, i in self.number.items() if i != _NONE] if self.own else None
+        return lang, words, np.concatenate(self.parts).tobytes()
 
 
 def _slices(text: bytes):
@@ -83,39 +88,76 @@ def _slices(text: bytes):
     yield text[begin:]
 
 
-def _block_rows(rows):
-    blocks: dict[str, _Block] = defaultdict(_Block)
-    size = 0
+def _tokens(rows):
+    """(lang, words and punctuation) of parts of texts."""
     for lang, text in rows:
         for part in _slices((text or "").encode().lower()):  # bytes fold A-Z only
-            block = blocks[lang]
-            size -= block.size
-            block.add(part)
-            size += block.size
-            if block.size >= BLOCK_WORDS or size >= 4 * BLOCK_WORDS:
-                largest = max(blocks, key=lambda k: blocks[k].size)
-                size -= blocks[largest].size
-                yield blocks[largest].row(largest)
-                del blocks[largest]
+            yield lang, _TOKEN.findall(part)
+
+
+def _block_rows(rows, known: dict[str, dict[bytes, int]] | None = None):
+    blocks: dict[str, _Block] = {}
+    size = 0
+    for lang, tokens in _tokens(rows):
+        if lang not in blocks:
+            blocks[lang] = _Block(known and known.get(lang, {}))
+        before = blocks[lang].size
+        blocks[lang].add(tokens)
+        size += blocks[lang].size - before
+        if blocks[lang].size >= BLOCK_WORDS or size >= 4 * BLOCK_WORDS:
+            largest = max(blocks, key=lambda k: blocks[k].size)
+            size -= blocks[largest].size
+            yield blocks.pop(largest).row(largest)
     for lang, block in blocks.items():
         yield block.row(lang)
 
 
-def _blocks(docs: DataFrame, lang_column: str, text_column: str) -> DataFrame:
+def _texts(docs: DataFrame, lang_column: str, text_column: str) -> DataFrame:
+    lang, text = (F.col(common.quoted(c)) for c in (lang_column, text_column))
+    return docs.select(F.coalesce(lang.cast("string"), F.lit(UNKNOWN)).alias("lang"), text.alias("text"))
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """(lang, word, n), some words several times; a null word has the number of all words."""
+    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+
+    def counted(rows):
+        counts: dict[str, Counter] = defaultdict(Counter)
+        for lang, tokens in _tokens(rows):
+            counts[lang].update(tokens)
+            if sum(map(len, counts.values())) > COUNTED_WORDS:
+                yield from counts.items()
+                counts.clear()
+        yield from counts.items()
+
+    def words(rows):
+        for lang, found in counted(rows):
+            for c in _PUNCTUATION:
+                found.pop(c, None)
+            yield lang, None, found.total()
+            for word, n in found.items():
+                yield lang, word.decode(), n
+
+    def run(stream):
+        yield from common.batches(words(common.records(stream, "lang", "text")), schema, lambda r: 64)
+
+    return texts.mapInArrow(run, "lang string, word string, n long")
+
+
+def _blocks(texts: DataFrame, known=None) -> DataFrame:
+    """(block, lang, words, ids); `known` is a broadcast of words' ids, else blocks number their own."""
     schema = pa.schema(
-        [("block", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string()))]
-        + [("counts", pa.list_(pa.int64())), ("ids", pa.large_binary())]
+        [("block", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("ids", pa.large_binary())]
     )
 
     def run(stream):
         # Unique in the one job that writes the blocks, whichever attempt of a task it is.
         own = TaskContext.get().partitionId() << 32
-        rows = ((own + k, *row) for k, row in enumerate(_block_rows(common.records(stream, "lang", "text"))))
-        yield from common.batches(rows, schema, lambda r: len(r[4]) + 24 * len(r[2]))
+        rows = _block_rows(common.records(stream, "lang", "text"), known and known.value)
+        rows = ((own + k, *row) for k, row in enumerate(rows))
+        yield from common.batches(rows, schema, lambda r: 4 * len(r[3]) + 64 * len(r[2] or ()))
 
-    lang, text = (F.col(common.quoted(c)) for c in (lang_column, text_column))
-    texts = docs.select(F.coalesce(lang.cast("string"), F.lit(UNKNOWN)).alias("lang"), text.alias("text"))
-    return texts.mapInArrow(run, _BLOCK)
+    return texts.mapInArrow(run, "block long, lang string, words array<string>, ids binary")
 
 
 def ranked(counts: DataFrame, *keys: str) -> DataFrame:
@@ -196,11 +238,17 @@ def _numbers(batch, column: str) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(column)]
 
 
+def _phrases(batch) -> list[np.ndarray]:
+    """Each block's phrases; where there are none yet, its words."""
+    column = "words" if batch.column("phrases").null_count else "phrases"
+    return _numbers(batch, column)
+
+
 def _joint(stream, by_block: bool):
     """(block, words, phrases) of single blocks, or of blocks with COUNT_WORDS words together."""
     held, size = [], 0
     for batch in stream:
-        for row in zip(batch.column("block").to_pylist(), _numbers(batch, "words"), _numbers(batch, "phrases")):
+        for row in zip(batch.column("block").to_pylist(), _numbers(batch, "words"), _phrases(batch)):
             if by_block:
                 yield row
                 continue
@@ -243,44 +291,36 @@ def _lookup(batch, row: int) -> list[np.ndarray]:
 _SCHEMA = "block long, words binary, phrases binary"
 
 
-def _rows(name: str, words: np.ndarray, phrases: np.ndarray):
-    data = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (words, phrases)]
-    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *data], ["block", "words", "phrases"])
+def _row(name: int, *numbers: np.ndarray):
+    data = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in numbers]
+    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *data], ["block", "words", "phrases"][: 1 + len(data)])
 
 
-def _renumbered(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Blocks by word ids instead of their own numbers; rare words are _NONE."""
+def _numbered(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(block, words, phrases): blocks by word ids, rare words being _NONE; no phrases yet."""
     if vocabulary.count() <= KNOWN_WORDS:
-        known: dict[str, dict[str, int]] = defaultdict(dict)
+        known: dict[str, dict[bytes, int]] = defaultdict(dict)
         for lang, word, i in vocabulary.collect():
-            known[lang][word] = i
-        held = blocks.sparkSession.sparkContext.broadcast(dict(known))
-
-        def run(stream):
-            for batch in stream:
-                for row, ids in enumerate(_numbers(batch, "ids")):
-                    ids_of = held.value.get(batch.column("lang")[row].as_py(), {})
-                    own = [ids_of.get(w, _NONE) for w in batch.column("words")[row].as_py()]
-                    words = np.array([*own, _NONE], np.int32)[ids]
-                    yield _rows(batch.column("block")[row].as_py(), words, words)
-
-        return blocks.select("block", "lang", "words", "ids").mapInArrow(run, _SCHEMA)
+            known[lang][word.encode()] = i
+        held = texts.sparkSession.sparkContext.broadcast(dict(known))
+        return _blocks(texts, held).select("block", F.col("ids").alias("words"), F.lit(None).cast("binary").alias("phrases"))
 
+    blocks = materialise(_blocks(texts), "phrase-texts")
     own = blocks.select("block", "lang", F.posexplode("words").alias("number", "word"))
     joined = own.join(vocabulary, ["lang", "word"]).groupBy("block")
     known = joined.agg(F.collect_list(F.struct("number", "id")).alias("known"))
 
-    def run_joined(stream):
+    def run(stream):
         for batch in stream:
             for row, ids in enumerate(_numbers(batch, "ids")):
                 number, word = _lookup(batch, row)
                 # Numbers without an id, and _NONE as the last place, stay _NONE.
                 place = np.full(max(ids.max(initial=0), number.max(initial=0)) + 2, _NONE, np.int32)
                 place[number] = word
-                words = place[ids]
-                yield _rows(batch.column("block")[row].as_py(), words, words)
+                yield _row(batch.column("block")[row].as_py(), place[ids])
 
-    return blocks.select("block", "ids").join(known, "block").mapInArrow(run_joined, _SCHEMA)
+    found = blocks.select("block", "ids").join(known, "block").mapInArrow(run, "block long, words binary")
+    return found.withColumn("phrases", F.lit(None).cast("binary"))
 
 
 def _extended(blocks: DataFrame, length: int, tables: list, frequent: DataFrame) -> DataFrame:
@@ -290,13 +330,13 @@ def _extended(blocks: DataFrame, length: int, tables: list, frequent: DataFrame)
 
     def run(stream):
         for batch in stream:
-            numbers = zip(_numbers(batch, "words"), _numbers(batch, "phrases"))
+            numbers = zip(_numbers(batch, "words"), _phrases(batch))
             for row, (words, phrases) in enumerate(numbers):
                 now = length
                 for table in [*(t.value for t in tables), Table(*_lookup(batch, row))]:
                     phrases = table.longer(words, phrases, now)
                     now += 1
-                yield _rows(batch.column("block")[row].as_py(), words, phrases)
+                yield _row(batch.column("block")[row].as_py(), words, phrases)
 
     return blocks.join(known, "block").mapInArrow(run, _SCHEMA)
 
@@ -313,16 +353,15 @@ def frequent_phrases(
     """(vocabulary, phrases, totals): (lang, word, n, id) of the frequent words, (words, n)
     of the phrases of one word and more as arrays of word ids, (lang, n) of all words."""
     common.ship(docs.sparkSession)
-    blocks = materialise(_blocks(docs, lang_column, text_column), "phrase-blocks")
-    own = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    every = own.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"))
-    totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c).alias("n"))
-    totals = materialise(totals.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    vocabulary = materialise(ranked(every.filter(F.col("n") >= least), "lang", "word"), "phrase-words")
+    texts = _texts(docs, lang_column, text_column)
+    counts = _word_counts(texts).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = materialise(counts.filter((F.col("n") >= least) | F.col("word").isNull()), "phrase-counts")
+    totals = counts.filter("word IS NULL").select("lang", "n")
+    vocabulary = materialise(ranked(counts.filter("word IS NOT NULL"), "lang", "word"), "phrase-words")
 
     level = vocabulary.select(F.array("id").alias("words"), "n", "id")
     phrases = [level]
-    blocks = materialise(_renumbered(blocks, vocabulary.select("lang", "word", "id")), "phrase-blocks")
+    blocks = materialise(_numbered(texts, vocabulary.select("lang", "word", "id")), "phrase-blocks")
     reached, tables = 1, []  # the length of the blocks' phrases, and what leads to longer ones
     for length in range(1, longest):
         sums = _counted(blocks, reached, tables).groupBy("left", "right").agg(F.sum("n").alias("n"))
