@@ -8,6 +8,7 @@ from tramline.operators import kpis, messages
 from tramline.plans import messages as message_plans
 from tramline.plans import validations as validation_plans
 from tramline.session import work_folder
+from tramline.sinks.commits import VERSION, CommitLog
 from tramline.streaming import sinks as stream_sinks
 from tramline.streaming import sources as stream_sources
 
@@ -108,6 +109,61 @@ def _flatten_stream(infer):
     return run
 
 
+def forget_last_batch(spark, checkpoint):
+    """Takes the newest batch's commit out of a checkpoint, as if its query had died before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().isdigit()]
+    files.delete(max(done, key=lambda p: int(p.getName())), False)
+
+
+def stream_messages_replay(spark, sf):
+    """Messages with inferred fields, the last batch run twice: every message once."""
+    root = work_folder(spark, "replay")
+    landing, limits = _landed(spark, sf, root), _halves(spark, sf, "documents")
+    for again in (False, True):
+        if again:
+            forget_last_batch(spark, f"{root}/checkpoint")
+        message_plans.load_messages(
+            spark, landing, None, f"{root}/checkpoint", NOW, infer=True, commits=f"{root}/messages", **limits
+        ).awaitTermination()
+    return json_messages.printable(message_plans.committed_messages(spark, f"{root}/messages"))
+
+
+def messages_compaction(spark, sf):
+    """Twenty small appends by year, compacted, with a batch after the compaction."""
+    log = CommitLog(spark, work_folder(spark, "compaction"), "year")
+    rows = messages.flatten(messages.parse_payload(json_messages.landed(spark, sf)))
+    lot = F.pmod(F.xxhash64("id"), F.lit(21))
+    for number in range(21):
+        log.append(rows.filter(lot == number), number)
+        if number == 19:
+            log.compact(schemas.MESSAGES)
+            log.vacuum()
+    return json_messages.printable(log.read(schemas.MESSAGES).drop(VERSION))
+
+
+def _kpi_changes(kpi_table):
+    """Three lots of validations, each a batch; the second batch comes twice."""
+
+    def run(spark, sf):
+        root = work_folder(spark, "kpi-changes")
+        name, path = files.new_table(spark, "validations")
+        rows = views.validations(spark, sf)
+        lots = [F.col("CODE_STIF_ARRET") < 50, F.col("CODE_STIF_ARRET").between(50, 89), F.col("CODE_STIF_ARRET") > 89]
+        for number, lot in enumerate(lots):
+            sinks.append_table(rows.filter(lot), name, path=path)
+            for again in (False, number == 1):
+                if again:
+                    forget_last_batch(spark, f"{root}/checkpoint")
+                validation_plans.stream_kpi_changes(
+                    spark, name, f"{root}/totals", f"{root}/checkpoint", NOW, compact_after=2
+                ).awaitTermination()
+        return validation_plans.changed_kpi(spark, f"{root}/totals", kpi_table)
+
+    return run
+
+
 def stream_publish_messages(spark, sf):
     """Published batch by batch to a folder, each row tagged with its batch."""
     root = work_folder(spark, "publish")
@@ -160,6 +216,10 @@ QUERIES = {
     "stream_messages_flatten": _flatten_stream(False),
     "stream_messages_infer": _flatten_stream(True),
     "stream_publish_messages": stream_publish_messages,
+    "stream_messages_replay": stream_messages_replay,
+    "messages_compaction": messages_compaction,
+    "stream_kpi_ticket_changes": _kpi_changes("titre_transport"),
+    "stream_kpi_stop_changes": _kpi_changes("arret"),
 }
 
 
@@ -177,4 +237,8 @@ def oracles():
         "stream_messages_flatten": json_messages.FLAT_SQL,
         "stream_messages_infer": json_messages.FLAT_SQL,
         "stream_publish_messages": json_messages.FLAT_SQL,
+        "stream_messages_replay": json_messages.FLAT_SQL,
+        "messages_compaction": json_messages.FLAT_SQL,
+        "stream_kpi_ticket_changes": ticket,
+        "stream_kpi_stop_changes": f"WITH {views.VALIDATIONS_SQL} {kpi.kpi_sql(kpis.STOP_KEY)}",
     }

@@ -22,6 +22,26 @@ def daily_grain(validations: DataFrame) -> DataFrame:
     )
 
 
+def keyed_totals(validations: DataFrame) -> DataFrame:
+    """(kpi, label, day_number, total, counted): the sums behind every KPI row.
+
+    Each validation counts once for every KPI table; before the shuffle, rows are added
+    up by key. A row depends on its own key's validations only, so a stream of them can
+    emit the rows that changed.
+    """
+    keys = [F.struct(F.lit(kpi).alias("kpi"), F.col(key).cast("string").alias("label")) for kpi, key in KPI_TABLES.items()]
+    rows = validations.select(F.explode(F.array(*keys)).alias("k"), F.dayofweek("JOUR").alias("day_number"), "NB_VALD")
+    return rows.groupBy("k.kpi", "k.label", "day_number").agg(
+        F.sum("NB_VALD").alias("total"), F.count("NB_VALD").alias("counted")
+    )
+
+
+def from_totals(totals: DataFrame, kpi: str) -> DataFrame:
+    """One KPI table from `keyed_totals` rows."""
+    rows = totals.filter(F.col("kpi") == kpi)
+    return from_grain(rows.withColumnRenamed("label", KPI_TABLES[kpi]), KPI_TABLES[kpi])
+
+
 def from_grain(grain: DataFrame, key: str, ordered: bool = False) -> DataFrame:
     """One KPI table from `daily_grain` rows.
 

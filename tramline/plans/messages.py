@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tramline import schemas, sinks, sources
 from tramline.operators import messages
+from tramline.sinks.commits import VERSION, CommitLog
 from tramline.streaming import sinks as stream_sinks
 from tramline.streaming import sources as stream_sources
 
@@ -23,36 +24,48 @@ def land_messages(
 def load_messages(
     spark: SparkSession,
     landing: str,
-    table: str,
+    table: str | None,
     checkpoint: str,
     trigger: dict | None = None,
     infer: bool = False,
     multiline: bool = False,
     path: str | None = None,
+    commits: str | None = None,
     **limits,
 ) -> StreamingQuery:
     """Flatten landed messages into a table partitioned by year.
 
     With the fixed payload schema this is one stateless projection into an
     exactly-once sink. `infer` also takes further fields from each micro-batch's own
-    payloads, at the price of one more pass and at-least-once appends; rows and their
-    types are the same.
+    payloads, at the price of one more pass; rows and their types are the same. Its
+    appends to a catalog table may come twice after a failure; with `commits`, a folder
+    for a commit log, they go there instead, exactly once (read by `committed_messages`).
     """
     landed = stream_sources.stream_json(spark, landing, schemas.LANDED, multiline, **limits)
     if not infer:
         flat = messages.flatten(messages.parse_payload(landed))
         return stream_sinks.stream_table(flat, table, checkpoint, trigger, "year", path)
 
-    def append(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
+    log = CommitLog(spark, commits, "year") if commits else None
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        if log and log.committed(batch_id) or batch.isEmpty():
             return
         schema = messages.with_payload_types(messages.infer_payload_schema(batch))
         flat = messages.flatten(messages.parse_payload(batch, schema))
+        if log:
+            log.append(flat.hint("rebalance", "year"), batch_id)
+            return
         sinks.append_table(flat, table, "year", rebalance=True, path=path)
 
     return stream_sinks.foreach_batch(landed, append, checkpoint, trigger)
 
 
+def committed_messages(spark: SparkSession, commits: str) -> DataFrame:
+    """The messages that `load_messages` has committed to a folder."""
+    return CommitLog(spark, commits, "year").read(schemas.MESSAGES).drop(VERSION)
+
+
 def load_messages_batch(
     spark: SparkSession,
     landing: str,

@@ -8,11 +8,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tramline import schemas, sinks
 from tramline.operators import kpis
+from tramline.sinks.commits import CommitLog
 from tramline.streaming import sinks as stream_sinks
 from tramline.streaming import sources as stream_sources
 
 RAW_SEP = ";"
 
+TOTAL_KEYS = ["kpi", "label", "day_number"]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 WriteKpi = Callable[[DataFrame, str], None]
 
 
@@ -122,3 +127,51 @@ def stream_kpis(
         refresh_kpis(spark.table(table), write)
 
     return stream_sinks.foreach_batch(rows, recompute, checkpoint, trigger)
+
+
+def stream_kpi_changes(
+    spark: SparkSession,
+    table: str,
+    target: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    compact_after: int = 50,
+    **limits,
+) -> StreamingQuery:
+    """Keep KPIs in a folder behind a commit log, writing only the keys a batch changes.
+
+    The totals of each key are state in RocksDB, on disk. A batch emits the keys it
+    changed with their new totals, which are committed as a version of those keys; a batch
+    that comes again adds nothing. After `compact_after` batches only the newest
+    version of each key stays. Readers use `changed_kpi`.
+    """
+    log = CommitLog(spark, target)
+    schema = totals_schema(spark)
+
+    def merge(changed: DataFrame, batch_id: int) -> None:
+        if log.committed(batch_id):
+            changed.write.format("noop").mode("overwrite").save()  # the state moves on all the same
+            return
+        # A batch holds at most one row for a key; few files do for what changed.
+        log.append(changed.hint("rebalance"), batch_id)
+        if len(log.snapshot().folders) > compact_after:
+            log.compact(schema, TOTAL_KEYS)
+
+    totals = kpis.keyed_totals(stream_sources.stream_table(spark, table, **limits))
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)  # a query takes its settings when it starts
+    try:
+        return stream_sinks.foreach_batch(totals, merge, checkpoint, trigger, mode="update")
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
+def totals_schema(spark: SparkSession):
+    """The schema of `kpis.keyed_totals` rows."""
+    return kpis.keyed_totals(spark.createDataFrame([], schemas.VALIDATIONS)).schema
+
+
+def changed_kpi(spark: SparkSession, target: str, kpi: str) -> DataFrame:
+    """A KPI table from the folder that `stream_kpi_changes` keeps."""
+    newest = CommitLog(spark, target).latest(totals_schema(spark), TOTAL_KEYS)
+    return kpis.from_totals(newest, kpi)

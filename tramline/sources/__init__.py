@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tramline.sources import records
+
 
 def read_json(
     spark: SparkSession, path, schema: StructType | None = None, multiline: bool = False
@@ -28,10 +30,12 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, UTF-8. Without a schema, types are inferred by an extra pass.
 
-    `multiline` accepts texts that span lines; each file is then read by one task.
+    `multiline` accepts texts that span lines; large files are still read by many tasks.
     """
+    if multiline:
+        return records.read_multiline_csv(spark, path, schema, sep)
     reader = spark.read.options(
-        header=True, sep=sep, encoding="UTF-8", multiLine=multiline, escape='"'
+        header=True, sep=sep, encoding="UTF-8", escape='"'
     )
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
