@@ -1,21 +1,24 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
-A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE
-characters, taken at every position, so that no class of lines has few. Bands are all
-pairs of signature values: two lines need two of them in common. Short lines are banded by
-all pairs of a prefix of their shingles of EXACT characters: no two of them that are
-similar are passed over.
-In a band's bucket every line is compared with the bucket's first; lines that fail
-there are compared with the bucket's other lines, so no pair of a bucket goes unseen. A
-pair links if the Jaccard similarity of all its character shingles of EXACT characters
-is at least SIMILARITY. Of each component of links the first line, by document id and
-place, stays; every other occurrence goes.
+A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE characters,
+taken where a character of STARTS begins them, so that what the shingle says decides. Each
+value is a band: two lines need one in common. Short lines, and lines with few such
+shingles, are banded by all pairs of a prefix of their shingles of EXACT characters: no two
+short lines that are similar are passed over.
+In a band's bucket every line is compared with the bucket's first; lines that fail there
+are compared with the bucket's other lines. In a bucket of more than CROWD lines, such as
+those made from one template, these pairs come from a prefix filter: shingles in order from
+the rarest to the most frequent there, a line's first ones, so many that two similar lines
+have one in common. A pair links if the Jaccard similarity of all its character shingles of
+EXACT characters is at least SIMILARITY. Of each component of links the first line, by
+document id and place, stays; every other occurrence goes.
 
 All steps are DataFrame operations. Only hashes travel until candidates are known.
 
 Defined results: lines end at a line feed and are compared without white space around
 them; blank lines always stay; a null text stays null; rows with one document id are one
-document, whose equal lines at one place are one line; other columns stay.
+document, whose equal lines at one place are one line; other columns stay, whatever their
+names.
 """
 
 from itertools import combinations
@@ -23,34 +26,35 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.common import quoted
 from tramline.llm.graph import components
 from tramline.session import materialise
 
-SHINGLE = 12
+SHINGLE = 20
 SIGNATURE = 8
+# Characters that a shingle of the signature begins with: about a third of them all.
+STARTS = r"[ e0-3A-H/._=\-[^\x00-\x7F]]"
 EXACT = 5
 SIMILARITY = 0.8
-# Lines below SHORT_CHARS have prefixes; those that may match longer lines, below BOTH_CHARS,
-# have both. Long lines of fewer than FEW shingles, such as rulers, have prefixes as well.
-SHORT_CHARS = 32
-BOTH_CHARS = 40
-FEW = 24
+# Lines below BOTH_CHARS and those with fewer than FEW shingles have prefixes.
+BOTH_CHARS = 60
+FEW = 2 * SIGNATURE
 # Values in the longest prefix.
 PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
+CROWD = 16
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, place, line, a, b) of each line that is not blank; (a, b) is its 128-bit hash."""
-    split = docs.select(
-        F.col(id_column).alias("id"), F.posexplode(F.split(text_column, "\n")).alias("place", "raw")
-    )
+    lines = F.split(F.col(quoted(text_column)), "\n")
+    split = docs.select(F.col(quoted(id_column)).alias("id"), F.posexplode(lines).alias("place", "raw"))
     trimmed = split.select("id", "place", F.expr("trim(BOTH ' \t\r\f' FROM raw)").alias("line")).filter("line <> ''")
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
 def _hashes() -> F.Column:
-    """The hashes of a line's shingles of SHINGLE characters at every position, smallest first."""
-    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    """The hashes of a line's shingles that STARTS begins, smallest first."""
+    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=({STARTS}.{{{SHINGLE - 1}}}))"), F.lit(1))
     return F.array_distinct(F.sort_array(F.transform(every, lambda s: F.xxhash64(s))))
 
 
@@ -72,20 +76,23 @@ def _pairs(values: list[str]) -> list[F.Column]:
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(band, a, first): members of buckets with more than one distinct line."""
-    length = F.length("line")
-    hashed = lines.select("a", "line", F.when(length >= SHORT_CHARS, _hashes()).alias("hashes"))
-    short = (length < BOTH_CHARS) | (F.size("hashes") < FEW)
+    """(band, a, first, many): members of buckets with more than one distinct line."""
+    hashed = lines.select("a", "line", _hashes().alias("hashes"))
+    short = (F.length("line") < BOTH_CHARS) | (F.size("hashes") < FEW)
     signed = hashed.select("a", F.slice("hashes", 1, SIGNATURE).alias("s"), F.when(short, _prefix()).alias("t"))
     values = {"s": [f"s{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
     first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
     distinct = signed.groupBy("a").agg(*first)
-    bands = F.array(*_pairs(values["s"]), *_pairs(values["t"]))
-    banded = distinct.select("a", F.explode(F.array_compact(bands)).alias("band"))
-    spans = banded.selectExpr(
-        "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
-    )
-    return spans.filter("first <> last").select("band", "a", "first")
+    bands = F.array(*map(F.col, values["s"]), *_pairs(values["t"]))
+    banded = distinct.select("a", F.explode(F.array_distinct(F.array_compact(bands))).alias("band"))
+    own = "OVER (PARTITION BY band)"
+    spans = banded.selectExpr("band", "a", f"min(a) {own} AS first", f"max(a) {own} AS last", f"count(1) {own} AS many")
+    return spans.filter("first <> last").drop("last")
+
+
+def _alike(x: str, y: str) -> F.Column:
+    """Whether lines with so many distinct shingles can be similar at all."""
+    return F.least(x, y) >= SIMILARITY * F.greatest(x, y)
 
 
 def _shingles(line: str) -> F.Column:
@@ -104,6 +111,26 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.select("a", "other", "u", "v", near.alias("near"))
 
 
+def _crowded_pairs(rest: DataFrame, others: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, other) of lines with a rare shingle in common, of (band, a) members.
+
+    Similar lines of n and at most n shingles share SIMILARITY * n of them, so in any one
+    order the first n - ceil(SIMILARITY * n) + 1 of both have one in common.
+    """
+    lines = others.select("a").distinct().join(texts.select("a", "line"), "a")
+    hashes = F.transform(_shingles("line"), lambda s: F.xxhash64(s))
+    grams = materialise(lines.select("a", F.explode(hashes).alias("gram")), "line-grams")
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept = grams.join(counts, "gram").groupBy("a").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("g"))
+    sizes = grams.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
+    # Shingles of one line alone come first in the order and match nothing.
+    lacking = F.floor(F.col("size") * (1 - SIMILARITY) + 1e-6) + 1 - (F.col("size") - F.size("g"))
+    prefix = F.slice("g", F.lit(1), F.greatest(lacking, F.lit(0)).cast("int"))
+    rare = materialise(kept.join(sizes, "a").select("a", F.explode(prefix).alias("g")).select("a", "g.gram"), "line-rare")
+    left = rare.join(rest.select("a").distinct(), "a")
+    return left.join(rare.withColumnRenamed("a", "other"), "gram").filter("a <> other").select("a", "other")
+
+
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, places): sorted places of the lines to remove, for documents that have some."""
     lines = lines_of(docs, id_column, text_column)
@@ -114,21 +141,31 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
         lines.join(wanted, "a", "left_semi")
         .groupBy("a", "b", "line")
         .agg(F.min(node).alias("node"))
-        .select("a", "line", "node"),
+        .select("a", "line", "node", F.size(_shingles("line")).alias("size")),
         "line-texts",
     )
-    by_first = members.filter("a <> first").select("a", F.col("first").alias("other")).distinct()
-    first_round = materialise(_verified(by_first, texts), "line-links")
-    failed = first_round.filter("NOT near").select("a", F.col("other").alias("first")).distinct()
-    rest = members.join(failed, ["a", "first"]).select("band", "a")
-    others = members.filter("a <> first").select("band", F.col("a").alias("other"))
-    pairs = rest.join(others, "band").filter("a <> other").selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
-    second_round = _verified(pairs.distinct(), texts)
+    sizes = texts.groupBy("a").agg(F.min("size").alias("size"))
+    sized = materialise(members.join(sizes, "a"), "line-members")
+    heads = sizes.select(F.col("a").alias("first"), F.col("size").alias("head"))
+    seen = sized.filter("a <> first").join(heads, "first").withColumnRenamed("first", "other")
+    tried = seen.filter(_alike("size", "head")).select("a", "other").distinct()
+    first_round = materialise(_verified(tried, texts), "line-links")
+    passed = first_round.filter("near").select("a", "other").distinct()
+    rest = materialise(seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "size", "many"), "line-rest")
+    crowded = F.col("many") > CROWD
+    touched = rest.select("band").distinct()
+    others = sized.filter("a <> first").join(touched, "band", "left_semi")
+    others = others.select("band", F.col("a").alias("other"), F.col("size").alias("head"), "many")
+    few = rest.filter(~crowded).drop("many").join(others.filter(~crowded).drop("many"), "band")
+    few = few.filter((F.col("a") != F.col("other")) & _alike("size", "head")).select("a", "other")
+    many = _crowded_pairs(rest.filter(crowded), others.filter(crowded).withColumnRenamed("other", "a"), texts)
+    pairs = few.unionByName(many).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
+    second_round = materialise(_verified(pairs.distinct(), texts), "line-links")
     links = first_round.filter("near").select("u", "v").unionByName(second_round.filter("near").select("u", "v"))
     parts = components(links)
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
-    occurrences = lines.select("id", "place", "a", "b")
+    occurrences = materialise(lines.select("id", "place", "a", "b"), "line-places")
     firsts = occurrences.groupBy("a", "b").agg(
         F.min(F.struct("id", "place")).alias("kept"), F.count(F.lit(1)).alias("n")
     )
@@ -141,17 +178,17 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents, their texts without the removed lines; adds n_lines and n_removed."""
-    gone = removed_places(docs, id_column, text_column).withColumnsRenamed({"id": "_id", "places": "_places"})
-    lines = F.split(text_column, "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_places", i))
-    joined = docs.join(gone, docs[id_column].eqNullSafe(gone["_id"]), "left")
+    # Names of their own, since `docs` may have any.
+    columns = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    named = docs.toDF(*columns.values())
+    text, found = F.col(columns[text_column]), removed_places(docs, id_column, text_column)
+    gone = found.toDF("gone_id", "gone_places")
+    lines = F.split(text, "\n")
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone_places", i)), "\n")
+    joined = named.join(gone, F.col(columns[id_column]).eqNullSafe(F.col("gone_id")), "left")
+    texts = {columns[text_column]: F.when(F.col("gone_places").isNull(), text).otherwise(kept)}
     return joined.select(
-        *[
-            F.when(F.col("_places").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c)
-            if c == text_column
-            else docs[c]
-            for c in docs.columns
-        ],
+        *[texts.get(c, F.col(c)).alias(n) for n, c in columns.items()],
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("_places"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.size("gone_places"), F.lit(0)).alias("n_removed"),
     )
