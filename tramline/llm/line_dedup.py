@@ -1,12 +1,13 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
-A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE characters,
-taken where a character of STARTS begins them, so that what the shingle says decides. Each
-value is a band: two lines need one in common. Short lines, and lines with few such
-shingles, are banded by all pairs of a prefix of their shingles of EXACT characters: no two
-short lines that are similar are passed over.
+A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE characters
+that begin with a space; lines of few words have a second one, of the shingles at every
+position. Each value is a band: two lines need one in common. Short lines, and lines with few
+different shingles, are banded by all pairs of a prefix of their shingles of EXACT characters: no
+two short lines that are similar are passed over.
 In a band's bucket every line is compared with the bucket's first; lines that fail there
-are compared with the bucket's other lines. In a bucket of more than CROWD lines, such as
+are compared with the bucket's other lines. Lines are not compared if neither repeats itself
+and their lengths differ by more than LENGTHS allows. In a bucket of more than CROWD lines, such as
 those made from one template, these pairs come from a prefix filter: shingles in order from
 the rarest to the most frequent there, a line's first ones, so many that two similar lines
 have one in common. A pair links if the Jaccard similarity of all its character shingles of
@@ -32,8 +33,8 @@ from tramline.session import materialise
 
 SHINGLE = 20
 SIGNATURE = 8
-# Characters that a shingle of the signature begins with: about a third of them all.
-STARTS = r"[ e0-3A-H/._=\-[^\x00-\x7F]]"
+# Lines with fewer shingles after spaces have the second signature too.
+FEW_WORDS = 4 * SIGNATURE
 EXACT = 5
 SIMILARITY = 0.8
 # Lines below BOTH_CHARS and those with fewer than FEW shingles have prefixes.
@@ -41,7 +42,10 @@ BOTH_CHARS = 60
 FEW = 2 * SIGNATURE
 # Values in the longest prefix.
 PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
-CROWD = 16
+CROWD = 128
+# Lines that do not repeat themselves have about a shingle a character: similar ones are
+# of like length. (Least share of different shingles; least ratio of lengths.)
+VARIED, LENGTHS = 0.9, 0.7
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -52,10 +56,10 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _hashes() -> F.Column:
-    """The hashes of a line's shingles that STARTS begins, smallest first."""
-    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=({STARTS}.{{{SHINGLE - 1}}}))"), F.lit(1))
-    return F.array_distinct(F.sort_array(F.transform(every, lambda s: F.xxhash64(s))))
+def _hashes(start: str) -> F.Column:
+    """The hashes of a line's shingles that begin with a match of `start`, smallest first."""
+    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=({start}.{{{SHINGLE - 1}}}))"), F.lit(1))
+    return F.sort_array(F.transform(every, lambda s: F.xxhash64(s)))
 
 
 def _prefix() -> F.Column:
@@ -76,23 +80,36 @@ def _pairs(values: list[str]) -> list[F.Column]:
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(band, a, first, many): members of buckets with more than one distinct line."""
-    hashed = lines.select("a", "line", _hashes().alias("hashes"))
-    short = (F.length("line") < BOTH_CHARS) | (F.size("hashes") < FEW)
-    signed = hashed.select("a", F.slice("hashes", 1, SIGNATURE).alias("s"), F.when(short, _prefix()).alias("t"))
-    values = {"s": [f"s{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
+    """(band, a, chars, first, many): members of buckets with more than one distinct line.
+
+    `chars` is null for lines that repeat themselves.
+    """
+    found = lines.select("a", "line", F.length("line").alias("chars"), _hashes(" ").alias("w"))
+    every = F.when(F.size("w") < FEW_WORDS, _hashes(".")).alias("e")
+    found = found.select("a", "line", "chars", F.size("w").alias("n"), F.array_distinct("w").alias("w"), every)
+    few = F.size(F.array_distinct("e")) < FEW
+    varied = (F.size("w") >= VARIED * F.col("n")) & (F.size(F.array_distinct("e")) >= VARIED * F.size("e"))
+    short = (F.col("chars") < BOTH_CHARS) | few
+    signed = found.select(
+        "a",
+        F.when(F.col("e").isNull() & (F.size("w") >= VARIED * F.col("n")) | varied, F.col("chars")).alias("chars"),
+        F.slice("w", 1, SIGNATURE).alias("s"),
+        F.slice(F.array_distinct("e"), 1, SIGNATURE).alias("e"),
+        F.when(short, _prefix()).alias("t"),
+    )
+    values = {"s": [f"s{i}" for i in range(SIGNATURE)], "e": [f"e{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
     first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
-    distinct = signed.groupBy("a").agg(*first)
-    bands = F.array(*map(F.col, values["s"]), *_pairs(values["t"]))
-    banded = distinct.select("a", F.explode(F.array_distinct(F.array_compact(bands))).alias("band"))
+    distinct = signed.groupBy("a").agg(F.first("chars").alias("chars"), *first)
+    bands = F.array(*map(F.col, values["s"] + values["e"]), *_pairs(values["t"]))
+    banded = distinct.select("a", "chars", F.explode(F.array_distinct(F.array_compact(bands))).alias("band"))
     own = "OVER (PARTITION BY band)"
-    spans = banded.selectExpr("band", "a", f"min(a) {own} AS first", f"max(a) {own} AS last", f"count(1) {own} AS many")
-    return spans.filter("first <> last").drop("last")
+    spans = banded.selectExpr("band", "a", "chars", f"min(struct(a, chars)) {own} AS first", f"max(a) {own} AS last", f"count(1) {own} AS many")
+    return spans.filter("first.a <> last").select("band", "a", "chars", F.col("first.a").alias("first"), F.col("first.chars").alias("head"), "many")
 
 
 def _alike(x: str, y: str) -> F.Column:
-    """Whether lines with so many distinct shingles can be similar at all."""
-    return F.least(x, y) >= SIMILARITY * F.greatest(x, y)
+    """Whether lines of two lengths may be similar; a null length may be any."""
+    return F.coalesce(F.least(x, y) >= LENGTHS * F.greatest(x, y), F.lit(True)) | F.isnull(x) | F.isnull(y)
 
 
 def _shingles(line: str) -> F.Column:
@@ -141,23 +158,20 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
         lines.join(wanted, "a", "left_semi")
         .groupBy("a", "b", "line")
         .agg(F.min(node).alias("node"))
-        .select("a", "line", "node", F.size(_shingles("line")).alias("size")),
+        .select("a", "line", "node"),
         "line-texts",
     )
-    sizes = texts.groupBy("a").agg(F.min("size").alias("size"))
-    sized = materialise(members.join(sizes, "a"), "line-members")
-    heads = sizes.select(F.col("a").alias("first"), F.col("size").alias("head"))
-    seen = sized.filter("a <> first").join(heads, "first").withColumnRenamed("first", "other")
-    tried = seen.filter(_alike("size", "head")).select("a", "other").distinct()
+    seen = members.filter("a <> first").withColumnRenamed("first", "other")
+    tried = seen.filter(_alike("chars", "head")).select("a", "other").distinct()
     first_round = materialise(_verified(tried, texts), "line-links")
     passed = first_round.filter("near").select("a", "other").distinct()
-    rest = materialise(seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "size", "many"), "line-rest")
+    rest = materialise(seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "chars", "many"), "line-rest")
     crowded = F.col("many") > CROWD
     touched = rest.select("band").distinct()
-    others = sized.filter("a <> first").join(touched, "band", "left_semi")
-    others = others.select("band", F.col("a").alias("other"), F.col("size").alias("head"), "many")
+    others = members.filter("a <> first").join(touched, "band", "left_semi")
+    others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"), "many")
     few = rest.filter(~crowded).drop("many").join(others.filter(~crowded).drop("many"), "band")
-    few = few.filter((F.col("a") != F.col("other")) & _alike("size", "head")).select("a", "other")
+    few = few.filter((F.col("a") != F.col("other")) & _alike("chars", "head")).select("a", "other")
     many = _crowded_pairs(rest.filter(crowded), others.filter(crowded).withColumnRenamed("other", "a"), texts)
     pairs = few.unionByName(many).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
     second_round = materialise(_verified(pairs.distinct(), texts), "line-links")
