@@ -36,11 +36,14 @@ SPACE_RUN = 5_000
 _PIECES = pa.schema([("key", pa.string()), ("piece", pa.int64()), ("text", pa.large_string())])
 
 
-@functools.lru_cache(maxsize=4)
 def tokenizer(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
-    """The tokenizer of a rank file's content; one per Python worker."""
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    """The tokenizer of a rank file's content; kept by the Python worker."""
+
+    def make():
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return common.held("ranks", (vocabulary, pattern), make)
 
 
 @functools.lru_cache(maxsize=1)

@@ -35,6 +35,28 @@ def ship(spark: SparkSession) -> None:
     context._tramline_shipped = True
 
 
+_held: dict = {}
+
+
+def held(purpose: str, key, make):
+    """What `make()` gave for a key, kept by the Python worker until something else is.
+
+    Workers outlive tasks and serve one operator after another: only the latest large
+    object (a tokenizer, a store of scores) stays in memory.
+    """
+    if (purpose, key) not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[purpose, key] = make()
+    return _held[purpose, key]
+
+
+def release() -> None:
+    """Lets go of what `held` keeps; for tasks that need the memory otherwise."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def quoted(column: str) -> str:
     """A column's name as SQL reads it, whatever characters it has."""
     return "`" + column.replace("`", "``") + "`"
@@ -106,6 +128,7 @@ def scored(docs: DataFrame, one_task, text_column: str, keep: list[str], name: s
     types = dict(docs.dtypes)
 
     def run(stream):
+        release()
         scores = one_task()
         for batch in stream:
             for start in range(0, batch.num_rows, 200):

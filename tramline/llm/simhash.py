@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
     id_type = dict(docs.dtypes)[id_column]
 
     def run(stream):
+        common.release()
         for batch in stream:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)

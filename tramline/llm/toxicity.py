@@ -49,7 +49,9 @@ ALPHABET = 48
 # Units longer than this are cut into parts of it; no landmark comes near it.
 UNIT_CHARS = 64
 LANDMARK_CHARS = 24
-_CACHE = 500_000
+# Known tokens, and bytes of their kernels, that a scorer keeps.
+_CACHE = 150_000
+_CACHE_BYTES = 32 << 20
 _ODD = -1
 
 _ENDS = re.compile(r"(?<=[.!?])\s|[\n\r]")
@@ -312,7 +314,7 @@ class Scorer:
 
     def _learn(self, tokens: set[str]) -> None:
         new = tokens.difference(self.at)
-        if len(self.at) + len(new) > _CACHE:
+        if len(self.at) + len(new) > _CACHE or self.used * self.rows.itemsize * self.rows.shape[1] > _CACHE_BYTES:
             self._forget()
             new = tokens
         units: dict[str, list[str]] = {}
@@ -380,6 +382,7 @@ def fit(sample: DataFrame) -> Model | None:
     common.ship(sample.sparkSession)
 
     def run(stream):
+        common.release()
         rows = sorted(common.records(stream, "id", "text", "y"))
         model = train([(text, y) for _, text, y in rows])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
