@@ -6,11 +6,12 @@ position. Each value is a band: two lines need one in common. Short lines, and l
 different shingles, are banded by all pairs of a prefix of their shingles of EXACT characters: no
 two short lines that are similar are passed over.
 In a band's bucket every line is compared with the bucket's first; lines that fail there
-are compared with the bucket's other lines. Lines are not compared if neither repeats itself
-and their lengths differ by more than LENGTHS allows. In a bucket of more than CROWD lines, such as
-those made from one template, these pairs come from a prefix filter: shingles in order from
+are compared with the bucket's other lines. In a bucket of more than CROWD lines they are
+first compared with a first one of their own, ROUNDS times; what is left there, such as
+unlike lines made from one template, is paired by a prefix filter: shingles in order from
 the rarest to the most frequent there, a line's first ones, so many that two similar lines
-have one in common. A pair links if the Jaccard similarity of all its character shingles of
+have one in common. Lines are not compared if neither repeats itself
+and their lengths differ by more than LENGTHS allows. A pair links if the Jaccard similarity of all its character shingles of
 EXACT characters is at least SIMILARITY. Of each component of links the first line, by
 document id and place, stays; every other occurrence goes.
 
@@ -42,7 +43,8 @@ BOTH_CHARS = 60
 FEW = 2 * SIGNATURE
 # Values in the longest prefix.
 PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
-CROWD = 128
+CROWD = 32
+ROUNDS = 3
 # Lines that do not repeat themselves have about a shingle a character: similar ones are
 # of like length. (Least share of different shingles; least ratio of lengths.)
 VARIED, LENGTHS = 0.9, 0.7
@@ -128,13 +130,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.select("a", "other", "u", "v", near.alias("near"))
 
 
-def _crowded_pairs(rest: DataFrame, others: DataFrame, texts: DataFrame) -> DataFrame:
+def _crowded_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, other) of lines with a rare shingle in common, of (band, a) members.
 
     Similar lines of n and at most n shingles share SIMILARITY * n of them, so in any one
     order the first n - ceil(SIMILARITY * n) + 1 of both have one in common.
     """
-    lines = others.select("a").distinct().join(texts.select("a", "line"), "a")
+    lines = rest.select("a").distinct().join(texts.select("a", "line"), "a")
     hashes = F.transform(_shingles("line"), lambda s: F.xxhash64(s))
     grams = materialise(lines.select("a", F.explode(hashes).alias("gram")), "line-grams")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -144,8 +146,23 @@ def _crowded_pairs(rest: DataFrame, others: DataFrame, texts: DataFrame) -> Data
     lacking = F.floor(F.col("size") * (1 - SIMILARITY) + 1e-6) + 1 - (F.col("size") - F.size("g"))
     prefix = F.slice("g", F.lit(1), F.greatest(lacking, F.lit(0)).cast("int"))
     rare = materialise(kept.join(sizes, "a").select("a", F.explode(prefix).alias("g")).select("a", "g.gram"), "line-rare")
-    left = rare.join(rest.select("a").distinct(), "a")
-    return left.join(rare.withColumnRenamed("a", "other"), "gram").filter("a <> other").select("a", "other")
+    return rare.join(rare.withColumnRenamed("a", "other"), "gram").filter("a < other").select("a", "other")
+
+
+def _tried(seen: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, rest): members (band, a, other, ...) compared with their `other`."""
+    tried = seen.filter(_alike("chars", "head")).select("a", "other").distinct()
+    compared = materialise(_verified(tried, texts), "line-links")
+    passed = compared.filter("near").select("a", "other").distinct()
+    rest = seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "chars", "many")
+    return compared.filter("near").select("u", "v"), materialise(rest, "line-rest")
+
+
+def _led(rest: DataFrame) -> DataFrame:
+    """Each band's members with the band's first one as `other`."""
+    first = rest.groupBy("band").agg(F.min(F.struct("a", "chars")).alias("first"))
+    led = rest.join(first.select("band", F.col("first.a").alias("other"), F.col("first.chars").alias("head")), "band")
+    return led.filter("a <> other")
 
 
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -162,20 +179,20 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "line-texts",
     )
     seen = members.filter("a <> first").withColumnRenamed("first", "other")
-    tried = seen.filter(_alike("chars", "head")).select("a", "other").distinct()
-    first_round = materialise(_verified(tried, texts), "line-links")
-    passed = first_round.filter("near").select("a", "other").distinct()
-    rest = materialise(seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "chars", "many"), "line-rest")
+    links, rest = _tried(seen, texts)
     crowded = F.col("many") > CROWD
     touched = rest.select("band").distinct()
-    others = members.filter("a <> first").join(touched, "band", "left_semi")
-    others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"), "many")
-    few = rest.filter(~crowded).drop("many").join(others.filter(~crowded).drop("many"), "band")
+    others = members.filter("a <> first").filter(~crowded).join(touched, "band", "left_semi")
+    others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"))
+    few = rest.filter(~crowded).drop("many").join(others, "band")
     few = few.filter((F.col("a") != F.col("other")) & _alike("chars", "head")).select("a", "other")
-    many = _crowded_pairs(rest.filter(crowded), others.filter(crowded).withColumnRenamed("other", "a"), texts)
-    pairs = few.unionByName(many).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
-    second_round = materialise(_verified(pairs.distinct(), texts), "line-links")
-    links = first_round.filter("near").select("u", "v").unionByName(second_round.filter("near").select("u", "v"))
+    left = rest.filter(crowded)
+    for _ in range(ROUNDS):
+        more, left = _tried(_led(left), texts)
+        links = links.unionByName(more)
+    pairs = few.unionByName(_crowded_pairs(left, texts)).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
+    last = materialise(_verified(pairs.distinct(), texts), "line-links")
+    links = links.unionByName(last.filter("near").select("u", "v"))
     parts = components(links)
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
