@@ -155,7 +155,7 @@ def _tried(seen: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     compared = materialise(_verified(tried, texts), "line-links")
     passed = compared.filter("near").select("a", "other").distinct()
     rest = seen.join(passed, ["a", "other"], "left_anti").select("band", "a", "chars", "many")
-    return compared.filter("near").select("u", "v"), materialise(rest, "line-rest")
+    return compared.filter("near"), materialise(rest, "line-rest")
 
 
 def _led(rest: DataFrame) -> DataFrame:
@@ -181,18 +181,25 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
     seen = members.filter("a <> first").withColumnRenamed("first", "other")
     links, rest = _tried(seen, texts)
     crowded = F.col("many") > CROWD
-    touched = rest.select("band").distinct()
-    others = members.filter("a <> first").filter(~crowded).join(touched, "band", "left_semi")
-    others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"))
-    few = rest.filter(~crowded).drop("many").join(others, "band")
-    few = few.filter((F.col("a") != F.col("other")) & _alike("chars", "head")).select("a", "other")
     left = rest.filter(crowded)
     for _ in range(ROUNDS):
         more, left = _tried(_led(left), texts)
         links = links.unionByName(more)
+    # Lines that are linked already need not be compared.
+    part = materialise(components(links.select("a", "other")), "line-parts")
+
+    def parted(rows: DataFrame, line: str, name: str) -> DataFrame:
+        known = part.select(F.col("node").alias(line), F.col("component").alias("known"))
+        return rows.join(known, line, "left").withColumn(name, F.coalesce("known", line)).drop("known")
+
+    few = rest.filter(~crowded).drop("many")
+    others = members.filter("a <> first").filter(~crowded).join(few.select("band").distinct(), "band", "left_semi")
+    others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"))
+    few = parted(few, "a", "part").join(parted(others, "other", "other_part"), "band")
+    few = few.filter((F.col("part") != F.col("other_part")) & _alike("chars", "head")).select("a", "other")
     pairs = few.unionByName(_crowded_pairs(left, texts)).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
     last = materialise(_verified(pairs.distinct(), texts), "line-links")
-    links = links.unionByName(last.filter("near").select("u", "v"))
+    links = links.select("u", "v").unionByName(last.filter("near").select("u", "v"))
     parts = components(links)
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
