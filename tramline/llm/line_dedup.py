@@ -131,12 +131,15 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _crowded_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, other) of lines with a rare shingle in common, of (band, a) members.
+    """(a, other) of unlinked lines with a rare shingle in common, of (band, a, part) members.
 
     Similar lines of n and at most n shingles share SIMILARITY * n of them, so in any one
     order the first n - ceil(SIMILARITY * n) + 1 of both have one in common.
     """
-    lines = rest.select("a").distinct().join(texts.select("a", "line"), "a")
+    parts = rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed = parts.filter("low <> high").select("band")
+    own = rest.join(mixed, "band", "left_semi").select("a", "part").distinct()
+    lines = own.join(texts.select("a", "line"), "a")
     hashes = F.transform(_shingles("line"), lambda s: F.xxhash64(s))
     grams = materialise(lines.select("a", F.explode(hashes).alias("gram")), "line-grams")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -145,8 +148,12 @@ def _crowded_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     # Shingles of one line alone come first in the order and match nothing.
     lacking = F.floor(F.col("size") * (1 - SIMILARITY) + 1e-6) + 1 - (F.col("size") - F.size("g"))
     prefix = F.slice("g", F.lit(1), F.greatest(lacking, F.lit(0)).cast("int"))
-    rare = materialise(kept.join(sizes, "a").select("a", F.explode(prefix).alias("g")).select("a", "g.gram"), "line-rare")
-    return rare.join(rare.withColumnRenamed("a", "other"), "gram").filter("a < other").select("a", "other")
+    rare = materialise(kept.join(sizes, "a").select("a", "size", F.explode(prefix).alias("g")).select("a", "size", "g.gram"), "line-rare")
+    rare = rare.join(own, "a")
+    other = rare.toDF("other", "head", "gram", "other_part")
+    both = rare.join(other, "gram").filter((F.col("a") < F.col("other")) & (F.col("part") != F.col("other_part")))
+    near = F.least("size", "head") >= SIMILARITY * F.greatest("size", "head")
+    return both.filter(near).select("a", "other")
 
 
 def _tried(seen: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +204,7 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
     others = others.select("band", F.col("a").alias("other"), F.col("chars").alias("head"))
     few = parted(few, "a", "part").join(parted(others, "other", "other_part"), "band")
     few = few.filter((F.col("part") != F.col("other_part")) & _alike("chars", "head")).select("a", "other")
-    pairs = few.unionByName(_crowded_pairs(left, texts)).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
+    pairs = few.unionByName(_crowded_pairs(parted(left, "a", "part"), texts)).selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
     last = materialise(_verified(pairs.distinct(), texts), "line-links")
     links = links.select("u", "v").unionByName(last.filter("near").select("u", "v"))
     parts = components(links)
