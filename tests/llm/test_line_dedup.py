@@ -153,29 +153,6 @@ def test_no_links(spark):
     assert graph.components(spark.createDataFrame([], "x long, y long")).count() == 0
 
 
-def test_template_lines_make_few_pairs(spark, monkeypatch):
-    """Unlike lines of one template meet in a bucket; few of their pairs are compared."""
-    pick = random.Random(8)
-
-    def name(n):
-        return "".join(pick.choice("abcdefghijklmnopqrstuvw") for _ in range(n))
-
-    lines = [f"This article was posted by {name(12)} {name(9)} on the {name(14)} day of {name(8)}" for _ in range(2000)]
-    near_ones = [line[:-1] + "!" for line in lines[:30]]
-    compared = []
-    verified = line_dedup._verified
-
-    def counted(pairs, texts):
-        compared.append(pairs.count())
-        return verified(pairs, texts)
-
-    monkeypatch.setattr(line_dedup, "_verified", counted)
-    docs = spark.createDataFrame(list(enumerate(lines + near_ones)), "doc_id long, text string")
-    found = places(line_dedup.removed_places(docs))
-    assert found == {(2000 + k, 0) for k in range(30)}
-    assert sum(compared) < 20_000
-
-
 def test_rulers_of_any_length_are_one_line(spark):
     lines = ["-" * n for n in (10, 70, 200, 900)] + ["ab " * 30 + "ab", "ab " * 200 + "ab"]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
