@@ -1,6 +1,6 @@
 """Text model, indexers, classifiers and their checks."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
@@ -209,6 +209,19 @@ def ml_save_load_score(spark, sf):
     return scored.select("id", "predicted_cause", F.round("confidence", 4).alias("confidence"))
 
 
+def ml_load_score_messages(spark, sf):
+    """Unseen messages with all their times, scored by the job with a model saved and loaded."""
+    folder, built = work_folder(spark, "models"), _built(spark, sf)
+    train, test = classify.split(built, "id")
+    stages = classify.feature_stages().fit(train)
+    ready = materialise(stages.transform(train).select(classify.LABEL_INDEX, *classify.feature_columns()), "train")
+    fitted = classify.model_stages("naive_bayes").fit(ready)
+    classify.save_model(PipelineModel(stages=[*stages.stages, *fitted.stages]), f"{folder}/naive_bayes")
+    unseen = views.messages(spark, sf).filter(F.col("end").isNotNull()).join(test.select("id"), "id", "left_semi")
+    scored = learning.score_messages(classify.load_named(folder, "naive_bayes"), unseen)
+    return scored.select("id", "predicted_cause", F.round("confidence", 4).alias("confidence"))
+
+
 def ml_preview(spark, sf):
     """The ten predictions of the smallest ids: a report's first rows."""
     return classify.preview(_trained(spark, sf, "naive_bayes"), "id")
@@ -239,6 +252,7 @@ QUERIES = {
     "ml_build_features_job": ml_build_features_job,
     "ml_train_best": ml_train_best,
     "ml_save_load_score": ml_save_load_score,
+    "ml_load_score_messages": ml_load_score_messages,
     "ml_preview": ml_preview,
 }
 
@@ -396,6 +410,8 @@ SELECT id, CAST(width AS INTEGER) AS width FROM messages, widths WHERE "end" IS
 SELECT id, cause, CAST(answers.class AS DOUBLE) AS prediction, predicted_cause
 FROM answers JOIN known USING (id)""",
         "ml_score_confidence": f"""{bayes}
+SELECT id, predicted_cause, round(confidence, 4) AS confidence FROM answers""",
+        "ml_load_score_messages": f"""{bayes}
 SELECT id, predicted_cause, round(confidence, 4) AS confidence FROM answers""",
         "ml_sample_predictions": f"""{bayes}
 SELECT cause, CAST(answers.class AS DOUBLE) AS prediction, text_content
