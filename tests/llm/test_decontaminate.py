@@ -5,7 +5,7 @@ import re
 import check
 import pytest
 
-from tramline.llm import catalogue, decontaminate
+from tramline.llm import catalogue, decontaminate, oracles
 
 
 def shingles(text):
@@ -49,5 +49,17 @@ def test_edge_rows(spark):
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query(spark, sf_dir):
     db = check.connect(sf_dir)
-    ok, rows, note = check.compare(spark, db, sf_dir, catalogue.op5_decontaminate, catalogue.LEAKS_SQL)
+    ok, rows, note = check.compare(spark, db, sf_dir, catalogue.op5_decontaminate, oracles.LEAKS)
     assert ok and rows, note
+
+
+def test_null_and_shared_ids_and_clashing_names(spark):
+    item = "one two three four five six seven"
+    docs = spark.createDataFrame(
+        [(None, f"a {item} b", 1), (1, item, 2), (1, "clean text of this same id", 3), (2, "clean", 4)],
+        "doc_id long, text string, `c0.hit` int",
+    )
+    items = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert sorted((r.doc or 0, r.item) for r in decontaminate.contained(docs, items).collect()) == [(0, None), (1, None)]
+    kept = decontaminate.decontaminate(docs, items)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "clean", 4)]

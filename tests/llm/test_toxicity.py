@@ -77,6 +77,12 @@ def test_edge_rows(spark, model):
     assert kept.columns == docs.columns and sorted(r.score for r in kept.collect()) == ["a", "b", "d", "e", "e"]
 
 
+def test_reject_keeps_any_column_names(spark, model):
+    docs = spark.createDataFrame([("fine", 1, 2, 3)], "text string, _toxicity int, `a.b` int, c0 int")
+    kept = toxicity.reject(docs, model, 0.5)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [("fine", 1, 2, 3)]
+
+
 def test_training_needs_both_classes(spark):
     assert toxicity.train([]) is None
     assert toxicity.train([("only clean", 0), (None, 1)]) is None

@@ -13,12 +13,14 @@ while their files are below its threshold and by a sort-merge join beyond it.
 
 All steps are DataFrame operations. Defined results: null and short texts (documents or
 items of fewer than SHINGLE words) contain nothing and are contained in nothing; repeated
-items count once; repeated documents stay; other columns stay.
+items count once, also under a null id; rows with one document id, null included, are one
+document: an item in one of them takes all; repeated documents stay; other columns stay.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.common import quoted
 from tramline.session import materialise
 
 SHINGLE = 5
@@ -27,9 +29,9 @@ LEAST_CONTAINMENT = 0.8
 
 def _worded(rows: DataFrame, id_column: str, text_column: str, name: str) -> DataFrame:
     """(name, words) of rows with a shingle at least."""
-    words = F.regexp_extract_all(F.lower(text_column), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(quoted(text_column)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     # The explode keeps the optimizer from extracting the words once per shingle.
-    once = rows.select(F.col(id_column).alias(name), F.explode(F.array(words)).alias("words"))
+    once = rows.select(F.col(quoted(id_column)).alias(name), F.explode(F.array(words)).alias("words"))
     return once.filter(F.size("words") >= SHINGLE)
 
 
@@ -64,10 +66,12 @@ def contained(
     )
     probes = _worded(docs, id_column, text_column, "doc").select("doc", F.explode(_hashes()).alias("h"))
     candidates = materialise(probes.join(signatures, "h").select("doc", "item").distinct(), "leak-candidates")
-    wanted = candidates.join(known.select("item", _shingles().alias("theirs")), "item")
-    texts = docs.join(candidates.select(F.col("doc").alias(id_column)).distinct(), id_column, "left_semi")
-    ours = _worded(texts, id_column, text_column, "doc").select("doc", _shingles().alias("ours"))
-    sizes = wanted.join(ours, "doc").select(
+    theirs = known.select(F.col("item").alias("known_item"), _shingles().alias("theirs"))
+    wanted = candidates.join(theirs, F.col("item").eqNullSafe(F.col("known_item")))
+    hit = candidates.select(F.col("doc").alias("hit")).distinct()
+    texts = _worded(docs, id_column, text_column, "own").join(hit, F.col("own").eqNullSafe(F.col("hit")), "left_semi")
+    ours = texts.select("own", _shingles().alias("ours"))
+    sizes = wanted.join(ours, F.col("doc").eqNullSafe(F.col("own"))).select(
         "doc",
         "item",
         F.size(F.array_intersect("ours", "theirs")).alias("shared"),
@@ -79,4 +83,7 @@ def contained(
 def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **columns) -> DataFrame:
     """The documents that contain no item."""
     found = contained(docs, items, id_column=id_column, **columns)
-    return docs.join(found.select(F.col("doc").alias(id_column)).distinct(), id_column, "left_anti")
+    # Names of their own, since `docs` may have any.
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own, hit = F.col(f"c{docs.columns.index(id_column)}"), found.select(F.col("doc").alias("hit")).distinct()
+    return named.join(hit, own.eqNullSafe(F.col("hit")), "left_anti").toDF(*docs.columns)

@@ -29,6 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tramline.llm import common
 
@@ -408,5 +409,8 @@ def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_
 
 def reject(docs: DataFrame, model: Model | None, from_score: float, text_column: str = "text") -> DataFrame:
     """The documents that score below `from_score`."""
-    known = common.scored(docs, _one_task(docs, model), text_column, docs.columns, "_toxicity")
-    return known.filter(f"_toxicity < {from_score}").drop("_toxicity")
+    # Names of their own, since `docs` may have any.
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_column)}"
+    known = common.scored(named, _one_task(docs, model), text, named.columns, "score")
+    return known.filter(F.col("score") < from_score).drop("score").toDF(*docs.columns)
