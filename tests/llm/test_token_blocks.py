@@ -13,6 +13,7 @@ from tramline.llm import catalogue, token_blocks
 
 PATH = public_tokenizers.path(catalogue.BYTE_BPE)
 LIBRARY = token_blocks._tokenizer(token_blocks.common.file_bytes(PATH))
+ENCODER = token_blocks._encoder(token_blocks.common.file_bytes(PATH))
 
 
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(50, 90), min_size=1, max_size=300))
@@ -82,6 +83,27 @@ def test_edge_rows(spark, folder, monkeypatch):
     assert found(written(spark, f"{folder}/c", empty)) == []
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "int", "long", "string"])
+def test_id_types(spark, folder, kind, monkeypatch):
+    monkeypatch.setattr(token_blocks, "RANGE_BYTES", 4)
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (3, "three")], "doc_id int, text string")
+    typed = docs.withColumn("doc_id", docs.doc_id.cast(kind))
+    back = token_blocks.read(spark, _written(typed, folder))
+    assert dict(back.dtypes)["doc_id"] == dict(typed.dtypes)["doc_id"]
+    assert [int(r.doc_id) for r in sorted(back.collect(), key=lambda r: r.start)] == [1, 2, 3]
+
+
+def _written(docs, folder):
+    token_blocks.write(docs, f"{folder}/types", PATH)
+    return f"{folder}/types"
+
+
+@given(st.lists(st.text(st.sampled_from("ab1²é'_ \n\t.!sαж́-½ªʰ\x1c\x85中")), max_size=20))
+def test_pieces_give_the_ids_of_whole_texts(texts):
+    whole = [c.ids for c in LIBRARY.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [c.tolist() for c in ENCODER.encode(texts)] == whole and ENCODER.cut is token_blocks._pieces
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]

@@ -6,7 +6,7 @@ PERCENTILE smallest share of its values needs; the values that need more are
 exceptions, stored as a list of places and high bits. The index gives the start of
 every block, so any document is read by unpacking the blocks it lies in.
 
-Documents are dealt out by ranges of their ids and sorted; each task encodes its range
+Documents are dealt out by ranges of their ids, about RANGE_BYTES of text each, and sorted; each task encodes its range
 and packs it into files of about FILE_IDS ids, whole documents each. A file is one row
 of a Parquet table: range, number within the range, bytes, and its documents with
 their counts. Positions in the whole follow from the counts: one number per range is
@@ -23,6 +23,7 @@ columns are dropped; an empty table gives no files.
 """
 
 import functools
+import json
 import re
 import struct
 from itertools import chain
@@ -42,6 +43,13 @@ PERCENTILE = 90
 FILE_IDS = 1 << 20
 # Distinct words whose ids a Python worker keeps, from task to task.
 KEPT_WORDS = 1_000_000
+# Text bytes that a range of ids takes, and so a task.
+RANGE_BYTES = 64 << 20
+# Letters and digits with a space before them, and what stands between such words. Two
+# white spaces or an apostrophe before a word belong to it.
+_PIECE = re.compile(r" ?[^\W_]++|(?:(?! [^\W_])[\W_])++(?:(?:(?<=\s\s)|(?<='))[^\W_]++)?+")
+# Scripts whose letters and digits Unicode's versions agree about end here.
+_OTHER_SCRIPT = re.compile("[^\x00-\u052f]")
 # A space beside other white space, and where to cut a text that has one.
 _IRREGULAR = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -144,11 +152,13 @@ class WordEncoder:
 
     A byte-level tokenizer always cuts before a space that stands between two other
     characters than white space, so the stretches between such cuts are encoded on
-    their own and give the ids of the whole text.
+    their own and give the ids of the whole text. One with the usual pattern (`fine`) also
+    cuts where letters and digits end.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, fine: bool = False):
         self.tokenizer, self.known = tokenizer, {}
+        self.cut = _pieces if fine else _words
 
     def _learn(self, words: set[str]) -> None:
         new = words.difference(self.known)
@@ -161,14 +171,21 @@ class WordEncoder:
             self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded, strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_words(t) for t in texts]
+        cut = [self.cut(t) for t in texts]
         self._learn(set(chain.from_iterable(cut)))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in cut]
 
 
 @functools.lru_cache(maxsize=1)
 def _encoder(content: bytes) -> WordEncoder:
-    return WordEncoder(_tokenizer(content))
+    settings = json.loads(content)
+    cutter = settings.get("pre_tokenizer") or {}
+    usual = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    return WordEncoder(_tokenizer(content), bool(usual and not settings.get("normalizer")))
+
+
+def _pieces(text: str) -> list[str]:
+    return _words(text) if _OTHER_SCRIPT.search(text) else _PIECE.findall(text)
 
 
 def _words(text: str) -> list[str]:
@@ -188,42 +205,43 @@ def write(
     id_type = dict(docs.dtypes)[id_column]
 
     def rows(stream):
-        """(document id, its ids with the end id)"""
+        """(document id, its ids with the end id, the document id's type)"""
         encoder = _encoder(content.value)
         for batch in stream:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 coded = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 for document, ids in zip(part.column("id").to_pylist(), coded, strict=True):
-                    yield document, np.append(ids, np.uint32(end_id))
+                    yield document, np.append(ids, np.uint32(end_id)), part.column("id").type
 
     def run(stream):
         part, file, held = TaskContext.get().partitionId(), 0, []
         size = 0
-        for row in rows(stream):
+        for *row, kind in rows(stream):
             held.append(row)
             size += len(row[1])
             if size >= FILE_IDS:
-                yield _file_row(part, file, held)
+                yield _file_row(part, file, held, kind)
                 file, held, size = file + 1, [], 0
         if held:
-            yield _file_row(part, file, held)
+            yield _file_row(part, file, held, kind)
 
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(common.quoted(id_column)).alias("id"), F.col(common.quoted(text_column)).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     keyed = texts.withColumn("tie", F.xxhash64("text"))
     ranged = keyed.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie").drop("tie")
     packed = ranged.mapInArrow(run, f"part int, file int, n long, ids array<{id_type}>, counts array<long>, data binary")
     packed.write.parquet(folder)
 
 
-def _file_row(part: int, file: int, held: list) -> pa.RecordBatch:
+def _file_row(part: int, file: int, held: list, kind: pa.DataType) -> pa.RecordBatch:
     ids = np.concatenate([i for _, i in held])
     columns = {
         "part": pa.array([part], pa.int32()),
         "file": pa.array([file], pa.int32()),
         "n": pa.array([len(ids)], pa.int64()),
-        "ids": pa.array([[d for d, _ in held]]),
+        "ids": pa.array([[d for d, _ in held]], pa.list_(kind)),
         "counts": pa.array([[len(i) for _, i in held]], pa.list_(pa.int64())),
         "data": pa.array([pack_file(ids)], pa.binary()),
     }
