@@ -24,6 +24,17 @@ def test_matching_statistics(texts, probe):
     assert list(automaton.matches(probe)) == wanted
 
 
+@given(st.lists(st.binary(max_size=8), max_size=30))
+def test_word_hashes(parts):
+    data, size = b" ".join(parts), substring_dedup._HASHED_AT_ONCE
+    words, hashes = data.split(), substring_dedup._hashes(data).tolist()
+    assert len(hashes) == len(words) and len(set(hashes)) == len(set(words))
+    long = [b"q" * (size - 1), b"r" * size, b"s" * (size + 1), *words, b"t" * 40_000, b"u" * 40_000, *words]
+    found = substring_dedup._hashes(b"\n".join(long)).tolist()
+    assert len(found) == len(long) and len(set(found)) == len(set(long)) and found[3 : 3 + len(words)] == hashes
+    assert found[1] == substring_dedup._hashes(b"r" * size).item()
+
+
 def brute(rows):
     def words(text):
         return (text or "").encode().split()
@@ -54,9 +65,9 @@ def found(df):
     return sorted(map(tuple, rows), key=str)
 
 
-@pytest.mark.parametrize("block", [300, 1_000_000])
+@pytest.mark.parametrize("block", [1_500, 6 << 20])
 def test_edge_rows(spark, block, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "BLOCK_WORDS", block)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", block)
     pick = random.Random(block)
     passages = [" ".join(f"w{pick.randrange(60)}" for _ in range(pick.randint(10, 70))) for _ in range(25)]
     rows = []
@@ -71,6 +82,11 @@ def test_edge_rows(spark, block, monkeypatch):
     assert substring_dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_ids_are_whole_numbers(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        substring_dedup.deduplicate(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]

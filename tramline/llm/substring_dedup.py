@@ -16,8 +16,8 @@ sends one row per block.
 
 Defined results: words are what ASCII white space separates, unchanged; windows are
 judged on the input; a null text has no words; documents with a null id keep all words
-and are no reference; rows with equal ids are never earlier than each other; other
-columns are dropped.
+and are no reference; rows with equal ids are never earlier than each other; ids are whole
+numbers, and others raise; other columns are dropped.
 """
 
 import numpy as np
@@ -26,20 +26,31 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tramline.llm import common
 
 WINDOW = 13
 ANCHOR = 4
 BUCKETS = 256
-BLOCK_WORDS = 1_000_000
-_KNOWN_WORDS = 500_000
+BLOCK_BYTES = 6 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_known: dict[bytes, int] = {}  # hashes of words, kept by a Python worker
+# A word's hash is a polynomial in a byte's number, whose white space is 0.
+_HASHED_AT_ONCE = 1 << 16
+_BASE = 0xD1342543DE82EF95
+_SPACES = np.frombuffer(b" \t\n\v\f\r", np.uint8)
+_NUMBER = np.arange(1, 257, dtype=np.uint64) * _MIX
+_NUMBER ^= _NUMBER >> np.uint64(29)
+_NUMBER[_SPACES] = 0
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_HASHED_AT_ONCE, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_POWER, _INVERSE = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def _packed(texts: DataFrame, id_type: str) -> DataFrame:
@@ -57,26 +68,47 @@ def _packed(texts: DataFrame, id_type: str) -> DataFrame:
     return texts.select("id", "key", "text").mapInArrow(run, f"id {id_type}, key long, text binary")
 
 
-def _unpacked(packed: bytes | None) -> list[bytes]:
-    """The words of a compressed text."""
-    return zstandard.decompress(packed).split() if packed else []
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    if len(_known) > _KNOWN_WORDS:
-        _known.clear()
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-
-
-def segments(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(packed: bytes | None) -> bytes:
+    return zstandard.decompress(packed) if packed else b""
+
+
+def _hashed(data: bytes) -> np.ndarray:
+    """Hashes of the words of at most _HASHED_AT_ONCE bytes."""
+    number = _NUMBER[np.frombuffer(data, np.uint8)]
+    inside = number != 0
+    inside[1:] &= ~inside[:-1]
+    first = np.flatnonzero(inside)
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    out = np.add.reduceat(number * _POWER[: len(number)], first) * _INVERSE[first]
+    return out ^ (out >> np.uint64(31))
+
+
+def _hashes(data: bytes) -> np.ndarray:
+    """Hashes of a text's words. Different words may share one: it only tells where to look."""
+    if len(data) <= _HASHED_AT_ONCE:
+        return _hashed(data)
+    out, held, size = [], [], 0
+    for word in data.split():
+        size += len(word) + 1
+        if size > _HASHED_AT_ONCE:
+            out.append(_hashed(b" ".join(held)))
+            held, size = [], len(word) + 1
+        if len(word) <= _HASHED_AT_ONCE:
+            held.append(word)
+        else:
+            out.append(np.array([xxhash.xxh64_intdigest(word)], np.uint64))
+            size = 0
+    return np.concatenate([*out, _hashed(b" ".join(held))])
+
+
+def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, windows) of each segment of one text."""
-    windows = len(words) - WINDOW + 1
+    hashes = _hashes(data)
+    windows = len(hashes) - WINDOW + 1
     if windows < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes = _hashes(words)
-    grams = len(words) - ANCHOR + 1
+    grams = len(hashes) - ANCHOR + 1
     gram = np.zeros(grams, np.uint64)
     for k in range(ANCHOR):
         gram = (gram ^ hashes[k : k + grams]) * _MIX
@@ -158,16 +190,14 @@ _ANCHORS = pa.schema(
 )
 
 
-def _blocks(stream, cut, *columns):
-    """Lists of (id, words, ...) of about BLOCK_WORDS words; `cut` gives a text's words."""
+def _blocks(stream, plain, *columns):
+    """Lists of (id, text, ...) of about BLOCK_BYTES; `plain` gives a text's bytes."""
     held, size = [], 0
     for doc, text, *rest in common.records(stream, *columns):
-        words = cut(text)
-        if len(words) < WINDOW:
-            continue
-        held.append((doc, words, *rest))
-        size += len(words)
-        if size >= BLOCK_WORDS:
+        text = plain(text)
+        held.append((doc, text, *rest))
+        size += len(text) + 64
+        if size >= BLOCK_BYTES:
             yield held
             held, size = [], 0
     if held:
@@ -176,10 +206,12 @@ def _blocks(stream, cut, *columns):
 
 def _anchor_rows(stream):
     """Per block and bucket its anchors with their documents; and anchors shared in the block."""
-    for block in _blocks(stream, words_of, "id", "text"):
+    for block in _blocks(stream, str.encode, "id", "text"):
         ids = [doc for doc, _ in block]
-        found = [np.unique(segments(words)[0]) for _, words in block]
+        found = [np.unique(segments(text)[0]) for _, text in block]
         anchor = np.concatenate(found)
+        if not len(anchor):
+            continue
         row = np.repeat(np.arange(len(block), dtype=np.uint32), [len(f) for f in found])
         order = np.lexsort((row, anchor))
         anchor, row = anchor[order], row[order]
@@ -255,8 +287,9 @@ def _segment_rows(stream):
     """Segments with a shared anchor, one document's per block and text; and the spans of the others."""
     for block in _blocks(stream, _unpacked, "id", "text", "key", "shared"):
         where: dict[tuple[int, bytes], dict[tuple[int, int], list[int]]] = {}
-        for doc, words, key, shared in block:
-            anchor, first, windows = segments(words)
+        for doc, data, key, shared in block:
+            anchor, first, windows = segments(data)
+            words = data.split()
             wanted = np.isin(anchor, np.concatenate([np.frombuffer(s, "<u8") for s in shared]))
             numbers = anchor[wanted].view(np.int64).tolist()
             for a, s, n in zip(numbers, first[wanted].tolist(), windows[wanted].tolist(), strict=True):
@@ -325,7 +358,9 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     `key` is xxhash64 of the text, which tells documents of one id apart.
     """
     common.ship(docs.sparkSession)
-    columns = [F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")]
+    if not isinstance(docs.select(common.quoted(id_column)).schema[0].dataType, IntegralType):
+        raise TypeError(f"{id_column} must hold whole numbers, which tell the earlier document")
+    columns = [F.col(common.quoted(id_column)).cast("long").alias("id"), F.col(common.quoted(text_column)).alias("text")]
     texts = docs.select(*columns).withColumn("key", F.xxhash64("text")).filter("id IS NOT NULL AND text IS NOT NULL")
     anchors = texts.mapInArrow(_anchor_rows, "bucket int, docs array<long>, anchors binary, rows binary")
     shared = anchors.repartition("bucket").mapInArrow(_shared_anchors, "id long, anchors binary")
@@ -342,7 +377,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """(id_column, text, n_words, n_removed) of every row: text is the kept words, one space between."""
     id_type = dict(docs.dtypes)[id_column]
     spans = covered(docs, id_column, text_column)
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = docs.select(F.col(common.quoted(id_column)).alias("id"), F.col(common.quoted(text_column)).alias("text"))
 
     def run(stream):
         names = ["id", "text", "n_words", "n_removed"]
@@ -351,7 +386,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 part = batch.slice(begin, 500)
                 kept, counts, removed = [], [], []
                 for text, spans in common.records([part], "text", "spans"):
-                    words = _unpacked(text)
+                    words = _unpacked(text).split()
                     flags = np.zeros(len(words) + 1, np.int64)
                     for span in spans or ():
                         flags[span["start"]] += 1
