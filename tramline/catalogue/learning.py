@@ -8,7 +8,7 @@ from tramline import sources
 from tramline.catalogue import text as text_queries
 from tramline.catalogue import views
 from tramline.functions import text
-from tramline.operators import classify, features, vocabulary
+from tramline.operators import classify, features, folds, vocabulary
 from tramline.plans import learning
 from tramline.session import materialise, work_folder
 
@@ -222,6 +222,17 @@ def ml_load_score_messages(spark, sf):
     return scored.select("id", "predicted_cause", F.round("confidence", 4).alias("confidence"))
 
 
+def ml_bayes_folds(spark, sf):
+    """Cross-validation of naive Bayes: each smoothing on each fold of the training side."""
+    train, _ = classify.split(_built(spark, sf), "id")
+    stages = classify.feature_stages().fit(train)
+    ready = stages.transform(train).select("id", classify.LABEL_INDEX, *classify.feature_columns())
+    digits = F.substring(F.md5(F.concat(F.lit(f"fold:{fv.SEED}:"), "id").cast("binary")), 1, 8)
+    dealt = ready.withColumn(classify.FOLD, (F.conv(digits, 16, 10).cast("bigint") % fv.FOLDS).cast("int"))
+    vectors = classify.vectors("naive_bayes", dealt).select("id", classify.FOLD, classify.LABEL_INDEX, "features")
+    return folds.hits(materialise(vectors, "vectors"), "id")
+
+
 def ml_preview(spark, sf):
     """The ten predictions of the smallest ids: a report's first rows."""
     return classify.preview(_trained(spark, sf, "naive_bayes"), "id")
@@ -253,6 +264,7 @@ QUERIES = {
     "ml_train_best": ml_train_best,
     "ml_save_load_score": ml_save_load_score,
     "ml_load_score_messages": ml_load_score_messages,
+    "ml_bayes_folds": ml_bayes_folds,
     "ml_preview": ml_preview,
 }
 
@@ -297,9 +309,8 @@ def _in_share_sql(key, share, purpose):
     return f"CAST('0x' || {digits} AS BIGINT) < {int(share * 2**32)}"
 
 
-def _bayes_sql():
-    """Multinomial naive Bayes with add-one smoothing over the same features in long form:
-    (message, feature, value), values of 0 left out."""
+def _bayes_features_sql():
+    """The features in long form: (message, feature, value), and the rows with their classes."""
     in_train = _in_share_sql("doc_id", fv.TRAIN_SHARE, "split")
     numeric = "\n  UNION ALL ".join(
         f"SELECT id, 'n:{c}', {'greatest(display_duration_hours, 0)' if c == 'display_duration_hours' else c}"
@@ -326,7 +337,12 @@ x(id, feature, value) AS (
 width AS (
   SELECT (SELECT count(*) FROM vocabulary) + {len(fv.NUMERIC_FEATURES)}
          + (SELECT count(DISTINCT built.pattern) FROM built JOIN filtered USING (id) WHERE fitted)
-         + (SELECT count(DISTINCT message_length_category) FROM built JOIN filtered USING (id) WHERE fitted) AS w),
+         + (SELECT count(DISTINCT message_length_category) FROM built JOIN filtered USING (id) WHERE fitted) AS w)"""
+
+
+def _bayes_sql():
+    """Multinomial naive Bayes with add-one smoothing over the same features."""
+    return f"""{_bayes_features_sql()},
 sums AS (
   SELECT class, feature, sum(value) AS s FROM x JOIN known USING (id) WHERE fitted GROUP BY 1, 2),
 classes AS (
@@ -348,6 +364,33 @@ answers AS (
   GROUP BY 1, 2)"""
 
 
+def _bayes_folds_sql():
+    """Each held-out fold by each smoothing's model of the other folds."""
+    digits = f"substr(md5('fold:{fv.SEED}:' || id), 1, 8)"
+    settings = ", ".join(f"({a})" for a in folds.SMOOTHINGS)
+    return f"""{_bayes_features_sql()},
+folded AS (
+  SELECT id, class, CAST('0x' || {digits} AS BIGINT) % {fv.FOLDS} AS fold FROM known WHERE fitted),
+held AS (SELECT DISTINCT fold AS g FROM folded),
+sums AS (
+  SELECT g, class, feature, sum(value) AS s FROM x JOIN folded USING (id) JOIN held ON fold <> g GROUP BY 1, 2, 3),
+sizes AS (SELECT g, class, count(*) AS n FROM folded JOIN held ON fold <> g GROUP BY 1, 2),
+classes AS (
+  SELECT g, class, n, sum(n) OVER (PARTITION BY g) AS total, count(*) OVER (PARTITION BY g) AS k,
+         (SELECT sum(s) FROM sums WHERE sums.g = sizes.g AND sums.class = sizes.class) AS mass
+  FROM sizes),
+settings(a) AS (VALUES {settings}),
+scores AS (
+  SELECT folded.id AS id, any_value(folded.class) AS truth, fold, CAST(a AS DOUBLE) AS a, classes.class AS class,
+         any_value(ln(n + a) - ln(total + a * k)) + sum(value * (ln(coalesce(s, 0) + a) - ln(mass + a * w))) AS score
+  FROM folded JOIN classes ON classes.g = fold CROSS JOIN settings CROSS JOIN width JOIN x ON x.id = folded.id
+       LEFT JOIN sums ON sums.g = fold AND sums.class = classes.class AND sums.feature = x.feature
+  GROUP BY folded.id, fold, a, classes.class),
+chosen AS (SELECT id, any_value(truth) AS truth, fold, a, arg_max(class, score) AS class FROM scores GROUP BY id, fold, a)
+SELECT a AS smoothing, CAST(fold AS INTEGER) AS fold, count(*) AS n_rows, count(*) FILTER (class = truth) AS n_hits
+FROM chosen GROUP BY 1, 2"""
+
+
 # From rows of (label, prediction).
 _METRICS_SQL = """
 kinds AS (SELECT label AS kind FROM predicted UNION SELECT prediction FROM predicted),
@@ -419,6 +462,7 @@ FROM answers JOIN rows USING (id) WHERE {_in_share_sql('id', fv.SAMPLE_SHARE, 's
         "ml_preview": f"""{bayes}
 SELECT id, cause, CAST(answers.class AS DOUBLE) AS prediction
 FROM answers JOIN rows USING (id) ORDER BY id LIMIT 10""",
+        "ml_bayes_folds": _bayes_folds_sql(),
         "sample_by_key": f"""
 SELECT o_orderkey, o_totalprice FROM orders WHERE {_in_share_sql('o_orderkey', fv.SAMPLE_SHARE, 'sample')}""",
         "ml_metrics": f"""WITH predicted AS (

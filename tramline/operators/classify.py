@@ -164,6 +164,12 @@ def model_stages(name: str, include_leaky: bool = True, **overrides) -> Pipeline
     return Pipeline(stages=[*stages, assembler(columns), classifier(name, **overrides)])
 
 
+def vectors(name: str, rows: DataFrame, include_leaky: bool = True) -> DataFrame:
+    """Rows with the vector that the classifier would be given."""
+    stages = model_stages(name, include_leaky).getStages()[:-1]
+    return Pipeline(stages=stages).fit(rows).transform(rows)
+
+
 # --- evaluation ---------------------------------------------------------------
 
 
