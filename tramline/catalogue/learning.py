@@ -25,7 +25,7 @@ def _filtered(spark, sf):
 def _text_model(spark, sf):
     """Term counts and TF-IDF of all messages."""
     words = materialise(_worded(spark, sf), "words")
-    return Pipeline(stages=classify.text_stages()).fit(words).transform(words)
+    return classify.text_stages().fit(words).transform(words)
 
 
 def _built(spark, sf):

@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    IDF,
     OneHotEncoder,
     SQLTransformer,
     StopWordsRemover,
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
-from tramline.operators.vocabulary import RankedCountVectorizer
+from tramline.operators.fitting import FeatureFit
 
 LABEL_INDEX = "cause_index"
 _FINGERPRINT_RANGE = 1 << 32
@@ -77,15 +76,9 @@ def stop_words(input_col: str = "words", output_col: str = "filtered_words") ->
     return StopWordsRemover(inputCol=input_col, outputCol=output_col, stopWords=french)
 
 
-def text_stages(min_df: float = fv.VOCABULARY_MIN_DF, size: int = fv.VOCABULARY_SIZE) -> list:
+def text_stages(min_df: float = fv.VOCABULARY_MIN_DF, size: int = fv.VOCABULARY_SIZE) -> FeatureFit:
     """Stop-word removal, term counts, TF-IDF."""
-    return [
-        stop_words(),
-        RankedCountVectorizer(
-            inputCol="filtered_words", outputCol="tf_features", minDF=min_df, vocabSize=size
-        ),
-        IDF(inputCol="tf_features", outputCol="text_features"),
-    ]
+    return FeatureFit(stop_words(), min_df, size)
 
 
 def _short(column: str) -> str:
@@ -108,9 +101,9 @@ def encoder() -> OneHotEncoder:
     )
 
 
-def feature_stages(min_df: float = fv.VOCABULARY_MIN_DF, size: int = fv.VOCABULARY_SIZE) -> Pipeline:
+def feature_stages(min_df: float = fv.VOCABULARY_MIN_DF, size: int = fv.VOCABULARY_SIZE) -> FeatureFit:
     """Everything between built features and the assembler, label index included."""
-    return Pipeline(stages=[*text_stages(min_df, size), indexers(), encoder()])
+    return FeatureFit(stop_words(), min_df, size, indexers(), encoder())
 
 
 def feature_columns(include_leaky: bool = True) -> list[str]:

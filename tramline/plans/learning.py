@@ -24,7 +24,7 @@ def build_features(
     built = materialise(features.build(messages), "features")
     if json_out:
         sinks.write_json(built, json_out, "overwrite")
-    model = Pipeline(stages=classify.text_stages(min_df)).fit(built)
+    model = classify.text_stages(min_df).fit(built)
     sinks.write_parquet(model.transform(built), out)
     if model_out:
         classify.save_model(model, model_out)
