@@ -1,43 +1,43 @@
 """Near-duplicate lines across a corpus: one line of each group stays.
 
-A line's signature is the SIGNATURE smallest hashes of its shingles of SHINGLE
-characters, taken at every position, so that no class of lines has few. Bands are all
-pairs of signature values: two lines need two of them in common. Short lines are banded by
-all pairs of a prefix of their shingles of EXACT characters: no two of them that are
-similar are passed over.
-In a band's bucket every line is compared with the bucket's first; lines that fail
-there are compared with the bucket's other lines, so no pair of a bucket goes unseen. A
-pair links if the Jaccard similarity of all its character shingles of EXACT characters
-is at least SIMILARITY. Of each component of links the first line, by document id and
-place, stays; every other occurrence goes.
-
-All steps are DataFrame operations. Only hashes travel until candidates are known.
+A line's signature has BANDS bands of BAND_ROWS MinHash values each, over its shingles of
+EXACT characters at every position; two lines whose shingle sets have similarity s share a
+band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, whatever their lengths. In a
+band's bucket every line is compared with the bucket's first. Lines that fail there are
+compared with the bucket's other lines; in a crowded bucket, of more than CROWD lines, only
+with those that share one of their rarest shingles, as similar lines must (prefix filter),
+so that unlike lines of one template are not paired. Pairs are left out if more than
+SKETCH_DIFFER of SKETCH bits of further MinHash values differ; a similar pair has a chance of
+one in a hundred thousand of that. A pair links if the Jaccard similarity of all its shingles
+is at least SIMILARITY. Of each component of links the first line, by document id and place,
+stays; every other occurrence goes.
+
+Shingles are hashed in numpy and compared in Python, within tasks; Spark deals the lines,
+buckets, pairs and components. Only hashes travel until pairs that may link are known.
 
 Defined results: lines end at a line feed and are compared without white space around
 them; blank lines always stay; a null text stays null; rows with one document id are one
 document, whose equal lines at one place are one line; other columns stay, whatever their names.
 """
 
-from itertools import combinations
-
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramline.llm import common
 from tramline.llm.common import quoted
 from tramline.llm.graph import components
 from tramline.session import materialise
 
-SHINGLE = 12
-SIGNATURE = 8
 EXACT = 5
 SIMILARITY = 0.8
-# Lines below SHORT_CHARS have prefixes; those that may match longer lines, below BOTH_CHARS,
-# have both. Long lines of fewer than FEW shingles, such as rulers, have prefixes as well.
-SHORT_CHARS = 32
-BOTH_CHARS = 40
-FEW = 24
-# Values in the longest prefix.
-PREFIX = int((BOTH_CHARS - EXACT) * (1 - SIMILARITY) + 1e-6) + 2
+BANDS, BAND_ROWS = 18, 4
+SKETCH, SKETCH_DIFFER = 128, 30
+CROWD = 256
+SEED, SKETCH_SEED = 11, 12
+# Characters hashed at a time; longer lines are hashed in overlapping parts.
+PIECE = 1 << 16
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -48,84 +48,221 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _hashes() -> F.Column:
-    """The hashes of a line's shingles of SHINGLE characters at every position, smallest first."""
-    every = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.sort_array(F.transform(every, lambda s: F.xxhash64(s))))
+def _hashed(text: str) -> np.ndarray:
+    """A 32-bit hash of the EXACT characters that start at each position."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    n = len(codes) - EXACT + 1
+    h = codes[:n].astype(np.uint64)
+    for i in range(1, EXACT):
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += codes[i : i + n]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(32)).astype(np.uint32)
 
 
-def _prefix() -> F.Column:
-    """The smallest hashes of a short line's shingles, two more than a similar line may lack.
+def _parts(lines: list[str]):
+    """Groups of (line number, part), of about PIECE characters; no line twice in a group."""
+    group, size = [], 0
+    for i, line in enumerate(lines):
+        for start in range(0, max(len(line) - EXACT, 0) + 1, PIECE):
+            part = line[start : start + PIECE + EXACT - 1]
+            if len(part) < EXACT:
+                continue
+            if size + len(part) > PIECE and group:
+                yield group
+                group, size = [], 0
+            group.append((i, part))
+            size += len(part)
+    if group:
+        yield group
+
+
+def signatures(lines: list[str], n: int, seed: int) -> np.ndarray:
+    """`n` MinHash values, one row a line; lines below EXACT characters have the largest values."""
+    pick = np.random.default_rng(seed)
+    turns = pick.integers(0, 1 << 32, n, dtype=np.uint32)
+    factors = pick.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
+    found = np.full((len(lines), n), 0xFFFFFFFF, np.uint32)
+    for group in _parts(lines):
+        sizes = np.array([len(part) for _, part in group])
+        starts = np.cumsum(sizes) - sizes
+        # Each part's own shingles, then those across to the next part, which are left out.
+        edges = np.stack([starts, starts + sizes - EXACT + 1], axis=1).ravel()
+        hashes = np.append(_hashed("".join(part for _, part in group)), np.uint32(0))
+        rows = [i for i, _ in group]
+        for k in range(n):
+            x = (hashes ^ turns[k]) * factors[k]
+            found[rows, k] = np.minimum(found[rows, k], np.minimum.reduceat(x, edges)[::2])
+    return found
+
+
+def bands_of(lines: list[str]) -> np.ndarray:
+    """BANDS 64-bit keys, one row a line."""
+    values = signatures(lines, BANDS * BAND_ROWS, SEED).astype(np.uint64)
+    keys = np.empty((len(lines), BANDS), np.uint64)
+    for j in range(BANDS):
+        key = np.full(len(lines), j + 1, np.uint64)
+        for k in range(j * BAND_ROWS, (j + 1) * BAND_ROWS):
+            key = (key ^ values[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        keys[:, j] = key
+    return keys.view(np.int64)
+
+
+def sketches(lines: list[str]) -> np.ndarray:
+    """SKETCH bits in 64-bit words, one row a line; each bit is one of a MinHash value's own."""
+    values = signatures(lines, SKETCH, SKETCH_SEED)
+    # A value is a minimum, so its high bits are mostly 0: a mixed bit is taken.
+    bits = (values * np.uint32(0x2C1B3C6D)) >> np.uint32(31)
+    return np.packbits(bits.astype(np.uint8), axis=1).view("<i8")
+
+
+def _once(batch) -> tuple[np.ndarray, list[str]]:
+    """The hashes and texts of a batch of (a, line), equal lines once."""
+    a, first = np.unique(batch.column(0).to_numpy(), return_index=True)
+    return a, batch.column(1).take(pa.array(first)).to_pylist()
+
+
+def _sketched(stream):
+    for batch in stream:
+        a, lines = _once(batch)
+        words = sketches(lines)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(words[:, 0]), pa.array(words[:, 1])], ["a", "s", "t"])
+
+
+def _close() -> F.Column:
+    """Whether the sketches (s, t) and (s_o, t_o) of a pair allow SIMILARITY."""
+    differ = [F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_o"))) for c in ("s", "t")]
+    return differ[0] + differ[1] <= SKETCH_DIFFER
+
+
+def _others(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(*more, F.col("a").alias("other"), F.col("s").alias("s_o"), F.col("t").alias("t_o"))
 
-    Lines of n and at most n shingles with similarity SIMILARITY have at least
-    SIMILARITY * n in common, so the prefixes of both share two values, or all they have.
-    """
-    hashes = F.sort_array(F.transform(_shingles("line"), lambda s: F.xxhash64(s)))
-    lacking = F.floor(F.size(hashes) * (1 - SIMILARITY) + 1e-6).cast("int")
-    return F.slice(hashes, F.lit(1), lacking + 2)
 
+def _sketch_pairs(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Those pairs (a, other) that may be similar."""
+    both = pairs.join(sketched, "a").join(_others(sketched), "other")
+    return both.filter(_close()).select("a", "other")
 
-def _pairs(values: list[str]) -> list[F.Column]:
-    """Hashes of all pairs of values; a single value's own if there is but one."""
-    pairs = [f"IF({y} IS NULL, NULL, xxhash64({x}, {y}))" for x, y in combinations(values, 2)]
-    return list(map(F.expr, [*pairs, f"IF({values[0]} IS NOT NULL AND {values[1]} IS NULL, xxhash64({values[0]}), NULL)"]))
+
+def _banded(stream):
+    schema = pa.schema([("band", pa.int64()), ("a", pa.int64())])
+    for batch in stream:
+        a, lines = _once(batch)
+        keys = bands_of(lines)
+        columns = [pa.array(keys.ravel()), pa.array(np.repeat(a, BANDS))]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _signed(lines: DataFrame, sign, schema: str) -> DataFrame:
+    """What `sign` makes of the lines that have shingles; a shorter line is similar to no other."""
+    common.ship(lines.sparkSession)
+    return lines.filter(F.length("line") >= EXACT).select("a", "line").mapInArrow(sign, schema)
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
     """(band, a, first): members of buckets with more than one distinct line."""
-    length = F.length("line")
-    hashed = lines.select("a", "line", F.when(length >= SHORT_CHARS, _hashes()).alias("hashes"))
-    short = (length < BOTH_CHARS) | (F.size("hashes") < FEW)
-    signed = hashed.select("a", F.slice("hashes", 1, SIGNATURE).alias("s"), F.when(short, _prefix()).alias("t"))
-    values = {"s": [f"s{i}" for i in range(SIGNATURE)], "t": [f"t{i}" for i in range(PREFIX)]}
-    first = [F.first(F.get(k, F.lit(i))).alias(v) for k, vs in values.items() for i, v in enumerate(vs)]
-    distinct = signed.groupBy("a").agg(*first)
-    bands = F.array(*_pairs(values["s"]), *_pairs(values["t"]))
-    banded = distinct.select("a", F.explode(F.array_compact(bands)).alias("band"))
-    spans = banded.selectExpr(
+    spans = _signed(lines, _banded, "band long, a long").selectExpr(
         "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
     )
-    return spans.filter("first <> last").select("band", "a", "first")
+    return spans.filter("first <> last").select("band", "a", "first").distinct()
+
 
+def shingles(line: str) -> set[str]:
+    return {line[i : i + EXACT] for i in range(max(len(line) - EXACT, 0) + 1)}
 
-def _shingles(line: str) -> F.Column:
-    every = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{EXACT}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.length(line) < EXACT, F.array(line)).otherwise(every))
 
+def similar(x: set[str], y: set[str]) -> bool:
+    small, large = sorted((len(x), len(y)))
+    if small < SIMILARITY * large:
+        return False
+    shared = len(x & y)
+    return shared >= SIMILARITY * (len(x) + len(y) - shared)
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds `near` to pairs (a, other)."""
+
+def _judged(stream):
+    for batch in stream:
+        rows = common.records([batch], "x", "y")
+        near = pa.array([similar(shingles(x), shingles(y)) for x, y in rows], pa.bool_())
+        names = [n for n in batch.schema.names if n not in ("x", "y")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), near], [*names, "near"])
+
+
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, other, u, v): the pairs that link, with the first places of their lines."""
+    pairs = materialise(pairs, "line-pairs")
+    ids = pairs.select(F.explode(F.array("a", "other")).alias("a")).distinct()
+    node = F.min(F.struct("id", "place", "a", "b")).alias("node")
+    found = lines.join(ids, "a", "left_semi").groupBy("a", "b", "line").agg(node)
+    texts = materialise(found.select("a", "line", "node"), "line-texts")
     left = texts.select("a", F.col("node").alias("u"), F.col("line").alias("x"))
     right = texts.select(F.col("a").alias("other"), F.col("node").alias("v"), F.col("line").alias("y"))
-    both = pairs.join(left, "a").join(right, "other")
-    cut = both.select("a", "other", "u", "v", _shingles("x").alias("x"), _shingles("y").alias("y"))
-    sized = cut.withColumn("shared", F.size(F.array_intersect("x", "y")))
-    near = F.col("shared") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("shared"))
-    return sized.select("a", "other", "u", "v", near.alias("near"))
+    both = pairs.join(left, "a").join(right, "other").select("a", "other", "u", "v", "x", "y")
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema.fields[:4])
+    judged = both.mapInArrow(_judged, f"{out}, near boolean")
+    return materialise(judged.filter("near").drop("near"), "line-links")
+
+
+def _shingled(stream):
+    schema = pa.schema([("a", pa.int64()), ("n", pa.int64()), ("h", pa.int64())])
+    for batch in stream:
+        for a, line in common.records([batch], "a", "line"):
+            h = np.unique(_hashed(line)).astype(np.int64)
+            columns = [np.full(len(h), a), np.full(len(h), len(h)), h]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+
+def _crowded_pairs(crowded: DataFrame, failed: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, other): lines of crowded buckets that share a value of their prefixes, one of them failed.
+
+    Lines with n shingles, and similarity SIMILARITY to another, have all but 1 - SIMILARITY
+    of them in common with it: the rarest beyond that share meet, in whatever bucket.
+    """
+    held = lines.join(crowded.select("a").distinct(), "a", "left_semi").select("a", "line").distinct()
+    every = materialise(held.mapInArrow(_shingled, "a long, n long, h long"), "line-shingles")
+    counted = every.join(every.groupBy("h").count(), "h")
+    # Hash collisions may take shingles together: one more than the bound.
+    place = F.row_number().over(Window.partitionBy("a").orderBy("count", "h"))
+    prefix = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-6) + 2
+    rare = materialise(counted.withColumn("place", place).filter(F.col("place") <= prefix).select("a", "n", "h"), "line-prefixes")
+    probes = rare.join(failed.select("a").distinct(), "a", "left_semi")
+    others = rare.select(F.col("a").alias("other"), F.col("n").alias("m"), "h")
+    near = (F.least("n", "m") + 1 >= SIMILARITY * F.greatest("n", "m")) & (F.col("a") != F.col("other"))
+    return probes.join(others, "h").filter(near).select("a", "other")
+
+
+def _second_pairs(members: DataFrame, failed: DataFrame, lines: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(a, other), each pair once: what lines that failed against a bucket's first may still link to."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    touched = members.join(failed.select("band").distinct(), "band", "left_semi").join(sizes, "band").filter("size > 2")
+    touched = materialise(touched.join(sketched, "a"), "line-touched")
+    small, crowded = touched.filter(F.col("size") <= CROWD), touched.filter(F.col("size") > CROWD)
+    probes = small.join(failed, ["band", "a"], "left_semi").select("band", "a", "s", "t")
+    # The bucket's first was compared already.
+    both = probes.join(_others(small.filter("a <> first"), "band"), "band")
+    within = both.filter((F.col("a") != F.col("other")) & _close()).select("a", "other")
+    crowd_failed = failed.join(crowded.select("band").distinct(), "band", "left_semi")
+    across = _sketch_pairs(_crowded_pairs(crowded, crowd_failed, lines).distinct(), sketched)
+    pairs = within.unionByName(across)
+    return pairs.selectExpr("least(a, other) AS a", "greatest(a, other) AS other").distinct()
 
 
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, places): sorted places of the lines to remove, for documents that have some."""
     lines = lines_of(docs, id_column, text_column)
     members = materialise(_buckets(lines), "line-buckets")
-    wanted = members.select("a").distinct()
-    node = F.struct("id", "place", "a", "b")
-    texts = materialise(
-        lines.join(wanted, "a", "left_semi")
-        .groupBy("a", "b", "line")
-        .agg(F.min(node).alias("node"))
-        .select("a", "line", "node"),
-        "line-texts",
-    )
+    # All lines are sketched where they are: joined first, their texts would be shuffled.
+    every = _signed(lines, _sketched, "a long, s long, t long").distinct()
+    sketched = materialise(every.join(members.select("a").distinct(), "a", "left_semi"), "line-sketches")
     by_first = members.filter("a <> first").select("a", F.col("first").alias("other")).distinct()
-    first_round = materialise(_verified(by_first, texts), "line-links")
-    failed = first_round.filter("NOT near").select("a", F.col("other").alias("first")).distinct()
-    rest = members.join(failed, ["a", "first"]).select("band", "a")
-    others = members.filter("a <> first").select("band", F.col("a").alias("other"))
-    pairs = rest.join(others, "band").filter("a <> other").selectExpr("least(a, other) AS a", "greatest(a, other) AS other")
-    second_round = _verified(pairs.distinct(), texts)
-    links = first_round.filter("near").select("u", "v").unionByName(second_round.filter("near").select("u", "v"))
-    parts = components(links)
+    first_round = _links(_sketch_pairs(by_first, sketched), lines)
+    near = first_round.select("a", F.col("other").alias("first"))
+    unlike = members.filter("a <> first").join(near, ["a", "first"], "left_anti")
+    failed = materialise(unlike.select("band", "a"), "line-failed")
+    second_round = _links(_second_pairs(members, failed, lines, sketched), lines)
+    parts = components(first_round.unionByName(second_round).select("u", "v"))
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
     occurrences = lines.select("id", "place", "a", "b")
