@@ -165,3 +165,16 @@ def test_column_names(spark):
     found = line_dedup.deduplicate(docs, "doc.id")
     assert found.columns == [*docs.columns, "n_lines", "n_removed"]
     assert sorted(map(tuple, found.collect())) == [(1, "a line of text\nb", "x", 1, 2, 0), (2, "", "y", 2, 1, 1)]
+
+
+def test_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CROWD", 4)
+    pick = random.Random(9)
+
+    def name():
+        return "".join(pick.choice("abcdefghij") for _ in range(8))
+
+    posts = [f"This article was posted by {name()} on the {name()} day of the month" for _ in range(80)]
+    rows = list(enumerate(posts + [x.replace("article", "Article") for x in posts[::3]] + [x + "!" for x in posts[::5]]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert places(line_dedup.removed_places(docs)) == brute(rows)

@@ -6,7 +6,8 @@ band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, whatever their lengths.
 band's bucket every line is compared with the bucket's first. Lines that fail there are
 compared with the bucket's other lines; in a crowded bucket, of more than CROWD lines, only
 with those that share one of their rarest shingles, as similar lines must (prefix filter),
-so that unlike lines of one template are not paired. Pairs are left out if more than
+so that unlike lines of one template are not paired. Lines that already link to one line are
+not compared again: they are of one component. Pairs are left out if more than
 SKETCH_DIFFER of SKETCH bits of further MinHash values differ; a similar pair has a chance of
 one in a hundred thousand of that. A pair links if the Jaccard similarity of all its shingles
 is at least SIMILARITY. Of each component of links the first line, by document id and place,
@@ -137,8 +138,10 @@ def _close() -> F.Column:
     return differ[0] + differ[1] <= SKETCH_DIFFER
 
 
-def _others(rows: DataFrame, *more: str) -> DataFrame:
-    return rows.select(*more, F.col("a").alias("other"), F.col("s").alias("s_o"), F.col("t").alias("t_o"))
+def _others(rows: DataFrame, *names: str) -> DataFrame:
+    """`rows` as the other side of pairs, with the given columns as they are."""
+    renamed = {"a": "other"} | {c: f"{c}_o" for c in rows.columns if c != "a" and c not in names}
+    return rows.withColumnsRenamed(renamed)
 
 
 def _sketch_pairs(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -214,7 +217,15 @@ def _shingled(stream):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def _crowded_pairs(crowded: DataFrame, failed: DataFrame, lines: DataFrame) -> DataFrame:
+def _rooted(sketched: DataFrame, links: DataFrame) -> DataFrame:
+    """Adds `root`: the smallest line that a line links to in two steps by (a, other), else itself."""
+    first = links.groupBy("a").agg(F.min("other").alias("step"))
+    second = first.select(F.col("a").alias("step"), F.col("step").alias("root"))
+    roots = first.join(second, "step", "left").select("a", F.coalesce("root", "step").alias("root"))
+    return sketched.join(roots, "a", "left").withColumn("root", F.coalesce("root", "a"))
+
+
+def _crowded_pairs(crowded: DataFrame, failed: DataFrame, lines: DataFrame, roots: DataFrame) -> DataFrame:
     """(a, other): lines of crowded buckets that share a value of their prefixes, one of them failed.
 
     Lines with n shingles, and similarity SIMILARITY to another, have all but 1 - SIMILARITY
@@ -226,11 +237,11 @@ def _crowded_pairs(crowded: DataFrame, failed: DataFrame, lines: DataFrame) -> D
     # Hash collisions may take shingles together: one more than the bound.
     place = F.row_number().over(Window.partitionBy("a").orderBy("count", "h"))
     prefix = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-6) + 2
-    rare = materialise(counted.withColumn("place", place).filter(F.col("place") <= prefix).select("a", "n", "h"), "line-prefixes")
+    short = counted.withColumn("place", place).filter(F.col("place") <= prefix).select("a", "n", "h")
+    rare = materialise(short.join(roots.select("a", "root"), "a"), "line-prefixes")
     probes = rare.join(failed.select("a").distinct(), "a", "left_semi")
-    others = rare.select(F.col("a").alias("other"), F.col("n").alias("m"), "h")
-    near = (F.least("n", "m") + 1 >= SIMILARITY * F.greatest("n", "m")) & (F.col("a") != F.col("other"))
-    return probes.join(others, "h").filter(near).select("a", "other")
+    sized = F.least("n", "n_o") + 1 >= SIMILARITY * F.greatest("n", "n_o")
+    return probes.join(_others(rare, "h"), "h").filter((F.col("root") != F.col("root_o")) & sized).select("a", "other")
 
 
 def _second_pairs(members: DataFrame, failed: DataFrame, lines: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -239,12 +250,12 @@ def _second_pairs(members: DataFrame, failed: DataFrame, lines: DataFrame, sketc
     touched = members.join(failed.select("band").distinct(), "band", "left_semi").join(sizes, "band").filter("size > 2")
     touched = materialise(touched.join(sketched, "a"), "line-touched")
     small, crowded = touched.filter(F.col("size") <= CROWD), touched.filter(F.col("size") > CROWD)
-    probes = small.join(failed, ["band", "a"], "left_semi").select("band", "a", "s", "t")
+    probes = small.join(failed, ["band", "a"], "left_semi")
     # The bucket's first was compared already.
     both = probes.join(_others(small.filter("a <> first"), "band"), "band")
-    within = both.filter((F.col("a") != F.col("other")) & _close()).select("a", "other")
+    within = both.filter((F.col("root") != F.col("root_o")) & _close()).select("a", "other")
     crowd_failed = failed.join(crowded.select("band").distinct(), "band", "left_semi")
-    across = _sketch_pairs(_crowded_pairs(crowded, crowd_failed, lines).distinct(), sketched)
+    across = _sketch_pairs(_crowded_pairs(crowded, crowd_failed, lines, sketched).distinct(), sketched)
     pairs = within.unionByName(across)
     return pairs.selectExpr("least(a, other) AS a", "greatest(a, other) AS other").distinct()
 
@@ -261,7 +272,8 @@ def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str
     near = first_round.select("a", F.col("other").alias("first"))
     unlike = members.filter("a <> first").join(near, ["a", "first"], "left_anti")
     failed = materialise(unlike.select("band", "a"), "line-failed")
-    second_round = _links(_second_pairs(members, failed, lines, sketched), lines)
+    rooted = materialise(_rooted(sketched, first_round), "line-roots")
+    second_round = _links(_second_pairs(members, failed, lines, rooted), lines)
     parts = components(first_round.unionByName(second_round).select("u", "v"))
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
