@@ -51,6 +51,15 @@ def test_one_scan_and_a_saved_model(spark, built, plan_of, folder):
     assert back.transform(built).agg(total).first() == model.transform(built).agg(total).first()
 
 
+def test_words_are_folded_before_spark_aggregates_them(spark, built, plan_of):
+    """A row per word of the text would make the aggregation's input as large as the text."""
+    plan = plan_of(fitting.counts(classify.stop_words().transform(built), "filtered_words", [fv.LABEL]))
+    assert "MapInArrow" in plan and "Generate" not in plan
+    rows = spark.range(300, numPartitions=2).selectExpr("array_repeat('x', 100) AS words", "'c' AS c")
+    found = {(r.kind, r.term): (r.tf, r.df) for r in fitting.counts(rows, "words", ["c"]).collect()}
+    assert found == {(-1, None): (300, 300), (0, "x"): (30_000, 300), (1, "c"): (300, 300)}
+
+
 def test_no_common_word(spark, built):
     with pytest.raises(ValueError, match="minDF"):
         classify.text_stages(min_df=10_000).fit(built)
