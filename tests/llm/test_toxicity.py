@@ -1,5 +1,6 @@
 """The string kernel against its definition, and held-out accuracy."""
 
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -94,6 +95,19 @@ def test_training_needs_both_classes(spark):
     assert toxicity.fit(sample.limit(0)) is None
 
 
+def test_training_memory():
+    """Newton steps hold a few copies of the matrix at most, none of it in double precision."""
+    pick = np.random.default_rng(1)
+    full = np.c_[pick.normal(size=(100_000, 64)), np.ones(100_000)].astype(np.float32)
+    y = np.where(full[:, 0] + pick.normal(size=len(full)) > 0, 1.0, -1.0)
+    tracemalloc.start()
+    w, bias = toxicity._svm(full, y, np.ones(len(full)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert w[0] > 10 * np.abs(w[1:]).max() and len(w) == 64 and abs(bias) < 0.1
+    assert peak < 2.8 * full.nbytes
+
+
 def test_query_held_out(spark):
     found = catalogue.op9_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()

@@ -53,6 +53,8 @@ LANDMARK_CHARS = 24
 # Known tokens, and bytes of their kernels, that a scorer keeps.
 _CACHE = 150_000
 _CACHE_BYTES = 32 << 20
+# Rows and columns of the training matrix that are copied in double precision at a time.
+_SVM_ROWS, _SVM_COLUMNS = 8192, 32
 _ODD = -1
 
 _ENDS = re.compile(r"(?<=[.!?])\s|[\n\r]")
@@ -145,8 +147,8 @@ class Landmarks:
             by_length.setdefault(len(u), []).append(i)
         for length, rows in by_length.items():
             scale = np.sqrt(_norm(length))
-            for begin in range(0, len(rows), 2048):
-                part = rows[begin : begin + 2048]
+            for begin in range(0, len(rows), 512):
+                part = rows[begin : begin + 512]
                 at = self.place[_codes([units[i] for i in part], length)]
                 row, _, pick = np.nonzero(at)
                 code = at[at > 0] - 1
@@ -237,20 +239,30 @@ def _pool(landmarks: Landmarks, sample: Sample, pick) -> tuple[np.ndarray, np.nd
     return pooled, changed
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by Newton steps, each over the margin's violators."""
-    full = np.c_[x, np.ones(len(x), np.float32)]
-    ridge = np.r_[np.full(x.shape[1], RIDGE), 1e-6]
+def _svm(full: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss by Newton steps, each over the margin's violators.
+
+    The last column of `full` is 1.
+    """
+    ridge = np.r_[np.full(full.shape[1] - 1, RIDGE), 1e-6]
     w = np.zeros(full.shape[1])
 
+    def decided(w):
+        # By parts, since each is copied in double precision.
+        return np.concatenate([full[i : i + _SVM_ROWS] @ w for i in range(0, len(full), _SVM_ROWS)])
+
     def loss(w):
-        return (weight * np.maximum(0, 1 - y * (full @ w)) ** 2).sum() + (ridge * w * w).sum()
+        return (weight * np.maximum(0, 1 - y * decided(w)) ** 2).sum() + (ridge * w * w).sum()
 
     for _ in range(40):
-        short = y * (full @ w) < 1
+        short = y * decided(w) < 1
         part = full[short]
         heavy = part * weight[short, None].astype(np.float32)
-        best = np.linalg.solve(heavy.T @ part + np.diag(ridge), heavy.T @ y[short])
+        gram = heavy.T @ part + np.diag(ridge)
+        del part
+        sides = [heavy[:, i : i + _SVM_COLUMNS].T @ y[short] for i in range(0, heavy.shape[1], _SVM_COLUMNS)]
+        best = np.linalg.solve(gram, np.concatenate(sides))
+        del heavy
         step, now = 1.0, loss(w)
         while step > 1e-4 and loss(w + step * (best - w)) > now:
             step /= 2
@@ -284,8 +296,12 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     own = near.kernels(landmarks).astype(float)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     white = (vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))).astype(np.float32)
-    x, stretched = pooled @ white, changed @ white
     decision = pooled.max(axis=1)  # before the first model: nearness to any landmark
+    # Each of these is as large as all sentences' kernels: none is kept longer than it is read.
+    x = pooled @ white
+    del pooled
+    stretched = changed @ white
+    del changed
     bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
     for _ in range(ROUNDS):
         chosen = labels[owner] == 0
@@ -294,7 +310,11 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
                 chosen[a + decision[a:b].argmax()] = True
         y = np.tile(np.where(labels[owner[chosen]], 1.0, -1.0), 2)
         weight = np.where(y > 0, min(20.0, (y < 0).sum() / (y > 0).sum()), 1.0)
-        w, bias = _svm(np.concatenate([x[chosen], stretched[chosen]]), y, weight)
+        full = np.ones((len(y), x.shape[1] + 1), np.float32)
+        np.compress(chosen, x, axis=0, out=full[: len(y) // 2, :-1])
+        np.compress(chosen, stretched, axis=0, out=full[len(y) // 2 :, :-1])
+        w, bias = _svm(full, y, weight)
+        del full
         decision = x @ w + bias
     worst = np.maximum.reduceat(decision, bounds[:-1])
     slope, offset = _logistic(worst, labels[owner[bounds[:-1]]])
