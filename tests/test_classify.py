@@ -198,3 +198,17 @@ def test_build_features_job(spark, folder):
     assert loaded.stages[1].vocabulary == model.stages[1].vocabulary
     assert loaded.transform(features.build(rows)).select("id", "text_features").exceptAll(
         out.select("id", "text_features")).isEmpty()
+
+
+def test_trees_read_bounded_partitions(prepared, monkeypatch):
+    """A partition's rows as dense bins stay under the bound; other classifiers keep their partitions."""
+    rows = prepared.coalesce(1)
+    assert classify.dealt(rows, ["random_forest"]).rdd.getNumPartitions() == 1
+    width = classify.vectors("random_forest", rows).select(F.unwrap_udt("features")["size"]).first()[0]
+    monkeypatch.setattr(classify, "_TREE_BYTES", 10 * 4 * width)
+    found = classify.dealt(rows, ["naive_bayes", "random_forest"])
+    sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert found.rdd.getNumPartitions() == -(-rows.count() // 10) and max(sizes) < 20
+    assert sorted(r["id"] for r in found.select("id").collect()) == sorted(r["id"] for r in rows.select("id").collect())
+    assert classify.dealt(rows, ["naive_bayes"]).rdd.getNumPartitions() == 1
+    assert classify.dealt(rows.limit(0), ["random_forest"]).isEmpty()
