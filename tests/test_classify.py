@@ -212,3 +212,8 @@ def test_trees_read_bounded_partitions(prepared, monkeypatch):
     assert sorted(r["id"] for r in found.select("id").collect()) == sorted(r["id"] for r in rows.select("id").collect())
     assert classify.dealt(rows, ["naive_bayes"]).rdd.getNumPartitions() == 1
     assert classify.dealt(rows.limit(0), ["random_forest"]).isEmpty()
+
+
+def test_boosted_trees_hold_one_class_at_a_time():
+    """Each class's trees keep all rows as dense bins: several at once would not fit in memory."""
+    assert classify.classifier("gbt_one_vs_rest").getParallelism() == 1
