@@ -60,6 +60,13 @@ def test_words_are_folded_before_spark_aggregates_them(spark, built, plan_of):
     assert found == {(-1, None): (300, 300), (0, "x"): (30_000, 300), (1, "c"): (300, 300)}
 
 
+def test_counts_by_parts_of_a_batch(spark, monkeypatch):
+    rows = spark.createDataFrame([(["a", "b", "a"],), (None,), (["b", None],), ([],), (["c"],), (["a"],)], "words array<string>").coalesce(1)
+    monkeypatch.setattr(fitting, "_CHUNK_WORDS", 2)
+    found = {(r.kind, r.term): (r.tf, r.df) for r in fitting.counts(rows, "words").collect()}
+    assert found == {(-1, None): (6, 6), (0, "a"): (3, 2), (0, "b"): (2, 2), (0, "c"): (1, 1)}
+
+
 def test_no_common_word(spark, built):
     with pytest.raises(ValueError, match="minDF"):
         classify.text_stages(min_df=10_000).fit(built)
