@@ -1,9 +1,11 @@
+import tempfile
 from datetime import datetime
 
 import samples
 from pyspark.sql import functions as F
 
 from tramline import fixed_values as fv
+from tramline.catalogue import views
 from tramline.operators import features
 
 
@@ -83,3 +85,21 @@ def test_defaults_fill_only_missing_columns(spark):
     rows = spark.createDataFrame([("x", 7)], "pattern string, title_length int")
     filled = features.with_defaults(rows).first().asDict()
     assert filled == {**fv.FEATURE_DEFAULTS, "pattern": "x", "title_length": 7}
+
+
+def test_generated_method_is_small_enough_to_be_compiled(spark):
+    """The JVM interprets a method above 8,000 bytes for good."""
+    columns = "doc_id bigint, text string, lang string, source string"
+    with tempfile.TemporaryDirectory() as folder:
+        spark.createDataFrame([(1, "un retard", "fr", "web")], columns).write.parquet(f"{folder}/documents.parquet")
+        built = features.build(views.messages(spark, folder)).drop("message")
+        stages = built._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_null_text_has_no_words_mentions_or_flags(spark):
+    rows = samples.messages(spark, 2).withColumn("message", F.lit(None).cast("string"))
+    row = features.build(rows).first()
+    assert (row.text_content, row.words, row.transport_types, row.station_list) == (None, [], [], [])
+    assert all(row[name] == 0 for name in fv.FLAG_PATTERNS)
