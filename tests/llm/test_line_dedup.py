@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow.compute  # noqa: F401
 import pytest
 from brute import parts_of
 
@@ -178,3 +179,44 @@ def test_crowded_buckets(spark, monkeypatch):
     rows = list(enumerate(posts + [x.replace("article", "Article") for x in posts[::3]] + [x + "!" for x in posts[::5]]))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert places(line_dedup.removed_places(docs)) == brute(rows)
+
+
+def test_bands_travel_as_bytes(spark):
+    # 18 pairs of band and line took a row each: a shuffle of one and a half times the texts.
+    lines = [f"line {k} of some text that has its own words {k * k}" for k in range(2_000)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").coalesce(1)
+    hashed = line_dedup.lines_of(docs, "doc_id", "text").select("a", "line").toArrow()
+    dealt = list(line_dedup._banded(iter(hashed.to_batches())))
+    assert sum(b.num_rows for b in dealt) == line_dedup.PARTS
+    held = sum(len(x) for b in dealt for c in (1, 2, 3) for x in b.column(c).to_pylist())
+    assert held == len(lines) * (12 * line_dedup.BANDS + 24)
+
+
+@pytest.mark.parametrize("held", [1, 7])
+def test_any_number_of_lines_at_a_time(spark, corpus, monkeypatch, held):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string").coalesce(1)
+    batches = line_dedup.lines_of(docs, "doc_id", "text").filter("length(line) >= 5").select("a", "line").toArrow().to_batches(100)
+
+    def found():
+        rows = line_dedup.pa.Table.from_batches(line_dedup._banded(iter(batches)))
+        out = set()
+        for part in range(line_dedup.PARTS):
+            some = line_dedup._bucketed(rows.filter(line_dedup.pa.compute.equal(rows["part"], part)))
+            out |= set(zip(*some.to_pydict().values(), strict=True))
+        return out
+
+    whole = found()
+    assert len(whole) > 100
+    monkeypatch.setattr(line_dedup, "HELD_LINES", held)
+    assert found() == whole
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 15, 1 << 27])
+def test_lines_by_bitmaps(spark, monkeypatch, bits):
+    monkeypatch.setattr(line_dedup, "SENT_IDS", 5)
+    monkeypatch.setattr(line_dedup, "MAP_BITS", bits)
+    lines = spark.range(3_000).selectExpr("xxhash64(id) AS a", "id AS line")
+    ids = lines.filter("line % 7 = 3").select("a")
+    assert {r.line for r in line_dedup._held(lines, ids).collect()} == set(range(3, 3_000, 7))
+    few = ids.limit(3)
+    assert {r.a for r in line_dedup._held(lines, few).collect()} == {r.a for r in few.collect()}

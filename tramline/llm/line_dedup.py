@@ -39,6 +39,12 @@ CROWD = 256
 SEED, SKETCH_SEED = 11, 12
 # Characters hashed at a time; longer lines are hashed in overlapping parts.
 PIECE = 1 << 16
+# Distinct lines whose bands a worker holds, and the parts that it deals them to.
+HELD_LINES = 1 << 16
+PARTS, PART_SHIFT = 1 << 10, np.uint64(54)
+# Ids that are sent to all lines; bits of one bitmap as Spark makes them, and of all bitmaps that are sent.
+SENT_IDS = 1 << 20
+BITMAP, MAP_BITS = 1 << 15, 1 << 27
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -79,57 +85,147 @@ def _parts(lines: list[str]):
         yield group
 
 
-def signatures(lines: list[str], n: int, seed: int) -> np.ndarray:
-    """`n` MinHash values, one row a line; lines below EXACT characters have the largest values."""
+def _drawn(n: int, seed: int) -> np.ndarray:
+    """The turns and the odd factors of `n` hash functions."""
     pick = np.random.default_rng(seed)
     turns = pick.integers(0, 1 << 32, n, dtype=np.uint32)
-    factors = pick.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
-    found = np.full((len(lines), n), 0xFFFFFFFF, np.uint32)
+    return np.stack([turns, pick.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)])
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """SKETCH MinHash values, the bands' first, one row a line; lines below EXACT characters have the largest values."""
+    n = SKETCH
+    turns, factors = np.hstack([_drawn(BANDS * BAND_ROWS, SEED), _drawn(n - BANDS * BAND_ROWS, SKETCH_SEED)])
+    found = np.full((n, len(lines)), 0xFFFFFFFF, np.uint32)
     for group in _parts(lines):
         sizes = np.array([len(part) for _, part in group])
-        starts = np.cumsum(sizes) - sizes
-        # Each part's own shingles, then those across to the next part, which are left out.
-        edges = np.stack([starts, starts + sizes - EXACT + 1], axis=1).ravel()
-        hashes = np.append(_hashed("".join(part for _, part in group)), np.uint32(0))
-        rows = [i for i, _ in group]
+        # Each part's own shingles; those across to the next part are left out.
+        own = np.ones(sizes.sum() - EXACT + 1, bool)
+        for k in range(1, EXACT):
+            own[np.cumsum(sizes)[:-1] - k] = False
+        hashes = _hashed("".join(part for _, part in group))[own]
+        counts = sizes - EXACT + 1
+        starts, rows = np.cumsum(counts) - counts, [i for i, _ in group]
+        x, least = np.empty_like(hashes), np.empty((n, len(group)), np.uint32)
         for k in range(n):
-            x = (hashes ^ turns[k]) * factors[k]
-            found[rows, k] = np.minimum(found[rows, k], np.minimum.reduceat(x, edges)[::2])
-    return found
+            # In place: a new array of this size would cost more than its values.
+            np.bitwise_xor(hashes, turns[k], out=x)
+            np.multiply(x, factors[k], out=x)
+            np.minimum.reduceat(x, starts, out=least[k])
+        found[:, rows] = np.minimum(found[:, rows], least)
+    return found.T
 
 
-def bands_of(lines: list[str]) -> np.ndarray:
-    """BANDS 64-bit keys, one row a line."""
-    values = signatures(lines, BANDS * BAND_ROWS, SEED).astype(np.uint64)
-    keys = np.empty((len(lines), BANDS), np.uint64)
+def bands_of(values: np.ndarray) -> np.ndarray:
+    """BANDS 64-bit keys, one row a line, of its first MinHash values."""
+    keys = np.empty((len(values), BANDS), np.uint64)
     for j in range(BANDS):
-        key = np.full(len(lines), j + 1, np.uint64)
+        key = np.full(len(values), j + 1, np.uint64)
         for k in range(j * BAND_ROWS, (j + 1) * BAND_ROWS):
             key = (key ^ values[:, k]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         keys[:, j] = key
-    return keys.view(np.int64)
+    return keys
 
 
-def sketches(lines: list[str]) -> np.ndarray:
+def sketches(values: np.ndarray) -> np.ndarray:
     """SKETCH bits in 64-bit words, one row a line; each bit is one of a MinHash value's own."""
-    values = signatures(lines, SKETCH, SKETCH_SEED)
     # A value is a minimum, so its high bits are mostly 0: a mixed bit is taken.
     bits = (values * np.uint32(0x2C1B3C6D)) >> np.uint32(31)
-    return np.packbits(bits.astype(np.uint8), axis=1).view("<i8")
+    return np.packbits(np.ascontiguousarray(bits, np.uint8), axis=1).view("<i8")
 
 
-def _once(batch) -> tuple[np.ndarray, list[str]]:
-    """The hashes and texts of a batch of (a, line), equal lines once."""
+def _once(batch, known: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """The hashes and texts of a batch of (a, line), equal lines once and none of the known ones."""
     a, first = np.unique(batch.column(0).to_numpy(), return_index=True)
-    return a, batch.column(1).take(pa.array(first)).to_pylist()
+    new = ~np.isin(a, known)
+    return a[new], batch.column(1).take(pa.array(first[new])).to_pylist()
+
 
+def _dealt(a: np.ndarray, keys: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+    """(part, bands, lines, sketches): the lines' (band, line) pairs and sketches by parts of the keys."""
+    keys, held = keys.ravel(), np.repeat(a, BANDS)
+    parts = [(x >> PART_SHIFT).astype(np.uint16) for x in (keys, a.view(np.uint64))]
+    orders = [np.argsort(x, kind="stable") for x in parts]
+    low, held, words = keys[orders[0]].astype("<u4"), held[orders[0]], np.column_stack([a, words])[orders[1]]
+    edges = [np.searchsorted(x[order], np.arange(PARTS + 1)).tolist() for x, order in zip(parts, orders, strict=True)]
+    spans = [list(zip(e, e[1:], strict=False)) for e in edges]
+    columns = [
+        pa.array(np.arange(PARTS), pa.int32()),
+        *(pa.array([x[i:j].tobytes() for i, j in spans[k]], pa.binary()) for k, x in ((0, low), (0, held), (1, words))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["part", "bands", "lines", "sketches"])
 
-def _sketched(stream):
+
+def _banded(stream):
+    common.release()
+    held, known = [], np.zeros(0, np.int64)
     for batch in stream:
-        a, lines = _once(batch)
-        words = sketches(lines)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(words[:, 0]), pa.array(words[:, 1])], ["a", "s", "t"])
+        a, lines = _once(batch, known)
+        values = signatures(lines)
+        held.append((a, bands_of(values), sketches(values)))
+        del values
+        known = np.concatenate([known, a])
+        if len(known) >= HELD_LINES:
+            yield _dealt(*map(np.concatenate, zip(*held, strict=True)))
+            held, known = [], np.zeros(0, np.int64)
+    if held:
+        yield _dealt(*map(np.concatenate, zip(*held, strict=True)))
+    del held, known
+    common.release()
+
+
+def _joined(column, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _bucketed(table: pa.Table) -> pa.Table:
+    """A part's buckets of more than one distinct line, and its lines' sketches."""
+    part = table.column("part")[0].as_py()
+    low, a = _joined(table.column("bands"), "<u4"), _joined(table.column("lines"), "<i8")
+    order = np.lexsort((a, low))
+    low, a = low[order], a[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (low[1:] != low[:-1]) | (a[1:] != a[:-1])
+    low, a = low[new], a[new]
+    starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]][: len(low)])
+    sizes = np.diff(np.r_[starts, len(low)])
+    size, first = np.repeat(sizes, sizes), np.repeat(a[starts], sizes)
+    kept = size > 1
+    band = low[kept].astype(np.int64) | part << 32
+    words = _joined(table.column("sketches"), "<i8").reshape(-1, 3)
+    words = words[np.unique(words[:, 0], return_index=True)[1]]
+    n, m = len(band), len(words)
+    columns = [
+        pa.concat_arrays([pa.array(band), pa.nulls(m, pa.int64())]),
+        pa.array(np.r_[a[kept], words[:, 0]]),
+        *(pa.concat_arrays([pa.array(x[kept].astype(np.int64)), pa.nulls(m, pa.int64())]) for x in (first, size)),
+        *(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(np.ascontiguousarray(words[:, k]))]) for k in (1, 2)),
+    ]
+    return pa.Table.from_arrays(columns, ["band", "a", "first", "size", "s", "t"])
+
+
+def _signed(lines: DataFrame) -> DataFrame:
+    """(band, a, first, size, s, t): members of buckets with more than one distinct line, then lines with their sketches.
+
+    Lines below EXACT characters are similar to no other. Pairs of band and line travel as bytes,
+    by PARTS parts of the bands; a bucket's key is its part and 32 more bits, so a few buckets may
+    be two bands' in one, whose lines are compared all the same.
+    """
+    common.ship(lines.sparkSession)
+    long = lines.filter(F.length("line") >= EXACT).select("a", "line")
+    dealt = long.mapInArrow(_banded, "part int, bands binary, lines binary, sketches binary")
+    columns = "band long, a long, first long, size long, s long, t long"
+    return dealt.groupBy("part").applyInArrow(_bucketed, columns)
+
+
+def _members(signed: DataFrame) -> DataFrame:
+    return signed.filter("band IS NOT NULL").select("band", "a", "first", "size")
+
+
+def _buckets(lines: DataFrame) -> DataFrame:
+    """(band, a, first, size): members of buckets with more than one distinct line."""
+    return _members(_signed(lines))
 
 
 def _close() -> F.Column:
@@ -146,31 +242,27 @@ def _others(rows: DataFrame, *names: str) -> DataFrame:
 
 def _sketch_pairs(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """Those pairs (a, other) that may be similar."""
+    sketched = sketched.select("a", "s", "t")
     both = pairs.join(sketched, "a").join(_others(sketched), "other")
     return both.filter(_close()).select("a", "other")
 
 
-def _banded(stream):
-    schema = pa.schema([("band", pa.int64()), ("a", pa.int64())])
-    for batch in stream:
-        a, lines = _once(batch)
-        keys = bands_of(lines)
-        columns = [pa.array(keys.ravel()), pa.array(np.repeat(a, BANDS))]
-        yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
-def _signed(lines: DataFrame, sign, schema: str) -> DataFrame:
-    """What `sign` makes of the lines that have shingles; a shorter line is similar to no other."""
-    common.ship(lines.sparkSession)
-    return lines.filter(F.length("line") >= EXACT).select("a", "line").mapInArrow(sign, schema)
-
+def _held(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """`lines` whose hash `a` is among the distinct `ids`; few others are shuffled.
 
-def _buckets(lines: DataFrame) -> DataFrame:
-    """(band, a, first): members of buckets with more than one distinct line."""
-    spans = _signed(lines, _banded, "band long, a long").selectExpr(
-        "band", "a", "min(a) OVER (PARTITION BY band) AS first", "max(a) OVER (PARTITION BY band) AS last"
-    )
-    return spans.filter("first <> last").select("band", "a", "first").distinct()
+    Up to SENT_IDS ids are sent to the lines; of more, bitmaps of MAP_BITS in all, before the join.
+    """
+    if ids.count() <= SENT_IDS:
+        return lines.join(F.broadcast(ids), "a", "left_semi")
+    bits = MAP_BITS
+    spot = F.pmod("a", F.lit(bits))
+    places = ids.select(F.floor(spot / BITMAP).alias("bucket"), (spot % BITMAP).alias("bit")).repartition("bucket")
+    maps = places.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    named = lines.withColumns({"bucket": F.floor(spot / BITMAP), "bit": (spot % BITMAP).cast("int")})
+    byte = F.conv(F.hex(F.substring("map", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.expr("getbit(byte, bit % 8) = 1")
+    near = named.join(F.broadcast(maps), "bucket").withColumn("byte", byte).filter(marked)
+    return near.select(lines.columns).join(ids, "a", "left_semi")
 
 
 def shingles(line: str) -> set[str]:
@@ -196,9 +288,9 @@ def _judged(stream):
 def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, other, u, v): the pairs that link, with the first places of their lines."""
     pairs = materialise(pairs, "line-pairs")
-    ids = pairs.select(F.explode(F.array("a", "other")).alias("a")).distinct()
+    ids = materialise(pairs.select(F.explode(F.array("a", "other")).alias("a")).distinct(), "line-ids")
     node = F.min(F.struct("id", "place", "a", "b")).alias("node")
-    found = lines.join(ids, "a", "left_semi").groupBy("a", "b", "line").agg(node)
+    found = _held(lines, ids).groupBy("a", "b", "line").agg(node)
     texts = materialise(found.select("a", "line", "node"), "line-texts")
     left = texts.select("a", F.col("node").alias("u"), F.col("line").alias("x"))
     right = texts.select(F.col("a").alias("other"), F.col("node").alias("v"), F.col("line").alias("y"))
@@ -225,55 +317,52 @@ def _rooted(sketched: DataFrame, links: DataFrame) -> DataFrame:
     return sketched.join(roots, "a", "left").withColumn("root", F.coalesce("root", "a"))
 
 
-def _crowded_pairs(crowded: DataFrame, failed: DataFrame, lines: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, other): lines of crowded buckets that share a value of their prefixes, one of them failed.
+def _crowded_pairs(crowded: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, other): lines of crowded buckets that share a value of their prefixes, one of them failed, and may be similar.
 
     Lines with n shingles, and similarity SIMILARITY to another, have all but 1 - SIMILARITY
-    of them in common with it: the rarest beyond that share meet, in whatever bucket.
+    of them in common with it: the rarest beyond that share meet, in whatever bucket. Sketches
+    travel with the prefixes, so that most pairs end where they meet.
     """
-    held = lines.join(crowded.select("a").distinct(), "a", "left_semi").select("a", "line").distinct()
+    known = materialise(crowded.groupBy("a", "root", "s", "t").agg(F.max("failed").alias("failed")), "line-crowded")
+    held = _held(lines.select("a", "line"), known.select("a")).distinct()
     every = materialise(held.mapInArrow(_shingled, "a long, n long, h long"), "line-shingles")
     counted = every.join(every.groupBy("h").count(), "h")
     # Hash collisions may take shingles together: one more than the bound.
     place = F.row_number().over(Window.partitionBy("a").orderBy("count", "h"))
     prefix = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-6) + 2
     short = counted.withColumn("place", place).filter(F.col("place") <= prefix).select("a", "n", "h")
-    rare = materialise(short.join(roots.select("a", "root"), "a"), "line-prefixes")
-    probes = rare.join(failed.select("a").distinct(), "a", "left_semi")
+    rare = materialise(short.join(known, "a"), "line-prefixes")
+    probes = rare.filter("failed").drop("failed")
     sized = F.least("n", "n_o") + 1 >= SIMILARITY * F.greatest("n", "n_o")
-    return probes.join(_others(rare, "h"), "h").filter((F.col("root") != F.col("root_o")) & sized).select("a", "other")
+    met = probes.join(_others(rare.drop("failed"), "h"), "h")
+    return met.filter((F.col("root") != F.col("root_o")) & sized & _close()).select("a", "other")
 
 
-def _second_pairs(members: DataFrame, failed: DataFrame, lines: DataFrame, sketched: DataFrame) -> DataFrame:
+def _second_pairs(members: DataFrame, first_round: DataFrame, lines: DataFrame, sketched: DataFrame) -> DataFrame:
     """(a, other), each pair once: what lines that failed against a bucket's first may still link to."""
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-    touched = members.join(failed.select("band").distinct(), "band", "left_semi").join(sizes, "band").filter("size > 2")
-    touched = materialise(touched.join(sketched, "a"), "line-touched")
-    small, crowded = touched.filter(F.col("size") <= CROWD), touched.filter(F.col("size") > CROWD)
-    probes = small.join(failed, ["band", "a"], "left_semi")
+    near = first_round.select("a", F.col("other").alias("first"), F.lit(True).alias("near"))
+    judged = members.filter("size > 2").join(near, ["a", "first"], "left")
+    judged = judged.withColumn("failed", F.expr("a <> first AND near IS NULL")).drop("near")
+    judged = materialise(judged.join(_rooted(sketched, first_round), "a"), "line-judged")
+    small, crowded = judged.filter(F.col("size") <= CROWD), judged.filter(F.col("size") > CROWD)
     # The bucket's first was compared already.
-    both = probes.join(_others(small.filter("a <> first"), "band"), "band")
+    others = small.filter("a <> first").select("band", "a", "s", "t", "root")
+    both = small.filter("failed").select(others.columns).join(_others(others, "band"), "band")
     within = both.filter((F.col("root") != F.col("root_o")) & _close()).select("a", "other")
-    crowd_failed = failed.join(crowded.select("band").distinct(), "band", "left_semi")
-    across = _sketch_pairs(_crowded_pairs(crowded, crowd_failed, lines, sketched).distinct(), sketched)
-    pairs = within.unionByName(across)
+    touched = crowded.join(crowded.filter("failed").select("band").distinct(), "band", "left_semi")
+    pairs = within.unionByName(_crowded_pairs(touched, lines))
     return pairs.selectExpr("least(a, other) AS a", "greatest(a, other) AS other").distinct()
 
 
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, places): sorted places of the lines to remove, for documents that have some."""
     lines = lines_of(docs, id_column, text_column)
-    members = materialise(_buckets(lines), "line-buckets")
-    # All lines are sketched where they are: joined first, their texts would be shuffled.
-    every = _signed(lines, _sketched, "a long, s long, t long").distinct()
-    sketched = materialise(every.join(members.select("a").distinct(), "a", "left_semi"), "line-sketches")
+    signed = materialise(_signed(lines), "line-buckets")
+    members, sketched = _members(signed), signed.filter("band IS NULL").select("a", "s", "t")
     by_first = members.filter("a <> first").select("a", F.col("first").alias("other")).distinct()
     first_round = _links(_sketch_pairs(by_first, sketched), lines)
-    near = first_round.select("a", F.col("other").alias("first"))
-    unlike = members.filter("a <> first").join(near, ["a", "first"], "left_anti")
-    failed = materialise(unlike.select("band", "a"), "line-failed")
-    rooted = materialise(_rooted(sketched, first_round), "line-roots")
-    second_round = _links(_second_pairs(members, failed, lines, rooted), lines)
+    second_round = _links(_second_pairs(members, first_round, lines, sketched), lines)
     parts = components(first_round.unionByName(second_round).select("u", "v"))
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
