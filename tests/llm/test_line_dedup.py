@@ -6,7 +6,7 @@ import pyarrow.compute  # noqa: F401
 import pytest
 from brute import parts_of
 
-from tramline.llm import graph, line_dedup
+from tramline.llm import common, graph, line_dedup
 
 
 def grams(line):
@@ -220,3 +220,8 @@ def test_lines_by_bitmaps(spark, monkeypatch, bits):
     assert {r.line for r in line_dedup._held(lines, ids).collect()} == set(range(3, 3_000, 7))
     few = ids.limit(3)
     assert {r.a for r in line_dedup._held(lines, few).collect()} == {r.a for r in few.collect()}
+
+
+def test_workers_let_go_of_earlier_stages():
+    common.held("an earlier stage", 1, lambda: "its store")
+    assert list(line_dedup._banded(iter([]))) == [] and not common._held

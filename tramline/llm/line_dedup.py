@@ -8,7 +8,7 @@ compared with the bucket's other lines; in a crowded bucket, of more than CROWD
 with those that share one of their rarest shingles, as similar lines must (prefix filter),
 so that unlike lines of one template are not paired. Lines that already link to one line are
 not compared again: they are of one component. Pairs are left out if more than
-SKETCH_DIFFER of SKETCH bits of further MinHash values differ; a similar pair has a chance of
+SKETCH_DIFFER of SKETCH bits, of the bands' and further MinHash values, differ; a similar pair has a chance of
 one in a hundred thousand of that. A pair links if the Jaccard similarity of all its shingles
 is at least SIMILARITY. Of each component of links the first line, by document id and place,
 stays; every other occurrence goes.
