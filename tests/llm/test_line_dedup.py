@@ -1,11 +1,13 @@
 """Line dedup and union-find against brute force."""
 
 import random
+import time
 
 import pyarrow.compute  # noqa: F401
 import pytest
 from brute import parts_of
 
+from tramline import session
 from tramline.llm import common, graph, line_dedup
 
 
@@ -225,3 +227,72 @@ def test_lines_by_bitmaps(spark, monkeypatch, bits):
 def test_workers_let_go_of_earlier_stages():
     common.held("an earlier stage", 1, lambda: "its store")
     assert list(line_dedup._banded(iter([]))) == [] and not common._held
+
+
+def test_buckets_of_unlike_lines_end_in_their_task(spark):
+    # Every member met its bucket's first in a join, which grew with the square of the buckets.
+    pick = random.Random(3)
+
+    def word():
+        return pick.getrandbits(64) - (1 << 63)
+
+    same = (word(), word())
+    sketches = [(a, *(same if a in (40, 41) else (word(), word()))) for a in range(60)]
+    members = [(band, a) for band in (5, 7, 1 << 33) for a in range(60)] + [(9, 3), (9, 40), (9, 41)]
+    frames = spark.createDataFrame(members, "band long, a long"), spark.createDataFrame(sketches, "a long, s long, t long")
+    rows = [tuple(r)[:4] for r in line_dedup._near_rows(*frames).collect()]
+    assert sorted(rows) == sorted((band, a, 3 if band == 9 else 0, 3 if band == 9 else 60) for band in (5, 7, 9, 1 << 33) for a in (40, 41))
+
+
+@pytest.mark.parametrize("most", [1, 1 << 18])
+def test_pairs_of_buckets(monkeypatch, most):
+    monkeypatch.setattr(line_dedup, "PAIR_ROWS", most)
+    pick = random.Random(4)
+    bases = [pick.getrandbits(128) for _ in range(3)]
+    rows = {}
+    for _ in range(120):
+        sketch = pick.choice(bases)
+        for _ in range(pick.randrange(25)):
+            sketch ^= 1 << pick.randrange(128)
+        s, t = ((sketch >> k & (1 << 64) - 1) - (1 << 63) for k in (0, 64))
+        rows[pick.randrange(8), pick.randrange(-50, 50)] = (pick.randrange(4), s, t)
+    columns = zip(*((band, a, *x) for (band, a), x in rows.items()), strict=True)
+    table = line_dedup.pa.table(dict(zip(("band", "a", "root", "s", "t"), map(list, columns), strict=True)))
+    found = {tuple(sorted(x.values())) for b in line_dedup._paired(iter(table.to_batches(30))) for x in b.to_pylist()}
+
+    def differ(x, y):
+        return sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x[1:], y[1:], strict=True))
+
+    wanted = {
+        (a, o)
+        for (band, a), x in rows.items()
+        for (band_o, o), y in rows.items()
+        if band == band_o and a < o and x[0] != y[0] and differ(x, y) <= line_dedup.SKETCH_DIFFER
+    }
+    assert found == wanted and len(wanted) > 20
+
+
+def test_verdicts_by_hashes(corpus):
+    pick = random.Random(8)
+    lines = [x.strip() for _, text in corpus[:60] for x in text.split("\n") if x.strip()] + ["-" * 40, "-" * 70, "日本" * 9]
+    pairs = [(x, y) for x in lines[:80] for y in pick.sample(lines, 40)]
+    for x in lines[:150]:
+        y = x
+        for _ in range(pick.randrange(12)):
+            at = pick.randrange(len(y))
+            y = y[:at] + "Z" + y[at + 1 :]
+            pairs.append((x, y))
+    wanted = [line_dedup.similar(line_dedup.shingles(x), line_dedup.shingles(y)) for x, y in pairs]
+    assert list(line_dedup._verdicts(pairs)) == wanted and 100 < sum(wanted) < len(wanted) - 100
+
+
+def test_shuffles_are_let_go(spark):
+    known = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    session.let_go(spark)
+    time.sleep(1)
+    before = known.size()
+    found = line_dedup._settled(spark.range(1000).repartition(7, "id"), "some-rows")
+    until = time.time() + 20
+    while known.size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert known.size() <= before and len(found.collect()) == 1000

@@ -3,24 +3,27 @@
 A line's signature has BANDS bands of BAND_ROWS MinHash values each, over its shingles of
 EXACT characters at every position; two lines whose shingle sets have similarity s share a
 band with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, whatever their lengths. In a
-band's bucket every line is compared with the bucket's first. Lines that fail there are
-compared with the bucket's other lines; in a crowded bucket, of more than CROWD lines, only
-with those that share one of their rarest shingles, as similar lines must (prefix filter),
-so that unlike lines of one template are not paired. Lines that already link to one line are
-not compared again: they are of one component. Pairs are left out if more than
+band's bucket every line is compared with the bucket's first. Then the bucket's other lines
+are compared; in a crowded bucket, of more than CROWD lines, only those that share one of their
+rarest shingles, as similar lines must (prefix filter), so that unlike lines of one template are
+not paired. Lines that already link to one line are not compared again: they are of one
+component. Pairs are left out if more than
 SKETCH_DIFFER of SKETCH bits, of the bands' and further MinHash values, differ; a similar pair has a chance of
 one in a hundred thousand of that. A pair links if the Jaccard similarity of all its shingles
 is at least SIMILARITY. Of each component of links the first line, by document id and place,
 stays; every other occurrence goes.
 
-Shingles are hashed in numpy and compared in Python, within tasks; Spark deals the lines,
-buckets, pairs and components. Only hashes travel until pairs that may link are known.
+Shingles are hashed and compared in numpy and Python, within tasks; Spark deals the lines,
+buckets, pairs and components. Only hashes travel until pairs that may link are known: sketches
+are compared inside a bucket's task, which gives close pairs only, and lines without any go.
 
 Defined results: lines end at a line feed and are compared without white space around
 them; blank lines always stay; a null text stays null; rows with one document id are one
 document, whose equal lines at one place are one line; other columns stay, whatever their names.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,24 +32,36 @@ from pyspark.sql import functions as F
 from tramline.llm import common
 from tramline.llm.common import quoted
 from tramline.llm.graph import components
-from tramline.session import materialise
+from tramline.session import let_go, materialise
 
 EXACT = 5
 SIMILARITY = 0.8
-BANDS, BAND_ROWS = 18, 4
+BANDS, BAND_ROWS = 24, 5
 SKETCH, SKETCH_DIFFER = 128, 30
-CROWD = 256
+CROWD = 2048
 SEED, SKETCH_SEED = 11, 12
 # Characters hashed at a time; longer lines are hashed in overlapping parts.
 PIECE = 1 << 16
 # Distinct lines whose bands a worker holds, and the parts that it deals them to.
 HELD_LINES = 1 << 16
 PARTS, PART_SHIFT = 1 << 10, np.uint64(54)
+# Rows of pairs in an Arrow batch, and hashes of lines that are kept while their pairs are judged.
+PAIR_ROWS, JUDGED_HASHES = 1 << 18, 1 << 22
+# Pairs within so many shingles of SIMILARITY are judged by the shingles themselves.
+CLASHES = 4
 # Ids that are sent to all lines; bits of one bitmap as Spark makes them, and of all bitmaps that are sent.
 SENT_IDS = 1 << 20
 BITMAP, MAP_BITS = 1 << 15, 1 << 27
 
 
+def _settled(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` materialised; the shuffles it came from are let go."""
+    done = materialise(df, purpose)
+    del df
+    let_go(done.sparkSession)
+    return done
+
+
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, place, line, a, b) of each line that is not blank; (a, b) is its 128-bit hash."""
     lines = F.split(F.col(quoted(text_column)), "\n")
@@ -55,8 +70,8 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return trimmed.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")})
 
 
-def _hashed(text: str) -> np.ndarray:
-    """A 32-bit hash of the EXACT characters that start at each position."""
+def _mixed(text: str) -> np.ndarray:
+    """A 64-bit hash of the EXACT characters that start at each position."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     n = len(codes) - EXACT + 1
     h = codes[:n].astype(np.uint64)
@@ -65,7 +80,12 @@ def _hashed(text: str) -> np.ndarray:
         h += codes[i : i + n]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(32)).astype(np.uint32)
+    return h
+
+
+def _hashed(text: str) -> np.ndarray:
+    """A 32-bit hash of the EXACT characters that start at each position."""
+    return (_mixed(text) >> np.uint64(32)).astype(np.uint32)
 
 
 def _parts(lines: list[str]):
@@ -188,10 +208,9 @@ def _bucketed(table: pa.Table) -> pa.Table:
     new = np.ones(len(a), bool)
     new[1:] = (low[1:] != low[:-1]) | (a[1:] != a[:-1])
     low, a = low[new], a[new]
-    starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]][: len(low)])
-    sizes = np.diff(np.r_[starts, len(low)])
-    size, first = np.repeat(sizes, sizes), np.repeat(a[starts], sizes)
-    kept = size > 1
+    kept = np.zeros(len(low), bool)
+    kept[1:] = low[1:] == low[:-1]
+    kept[:-1] |= kept[1:]
     band = low[kept].astype(np.int64) | part << 32
     words = _joined(table.column("sketches"), "<i8").reshape(-1, 3)
     words = words[np.unique(words[:, 0], return_index=True)[1]]
@@ -199,14 +218,13 @@ def _bucketed(table: pa.Table) -> pa.Table:
     columns = [
         pa.concat_arrays([pa.array(band), pa.nulls(m, pa.int64())]),
         pa.array(np.r_[a[kept], words[:, 0]]),
-        *(pa.concat_arrays([pa.array(x[kept].astype(np.int64)), pa.nulls(m, pa.int64())]) for x in (first, size)),
         *(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(np.ascontiguousarray(words[:, k]))]) for k in (1, 2)),
     ]
-    return pa.Table.from_arrays(columns, ["band", "a", "first", "size", "s", "t"])
+    return pa.Table.from_arrays(columns, ["band", "a", "s", "t"])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """(band, a, first, size, s, t): members of buckets with more than one distinct line, then lines with their sketches.
+    """(band, a, s, t): members of buckets with more than one distinct line, then lines with their sketches.
 
     Lines below EXACT characters are similar to no other. Pairs of band and line travel as bytes,
     by PARTS parts of the bands; a bucket's key is its part and 32 more bits, so a few buckets may
@@ -215,16 +233,15 @@ def _signed(lines: DataFrame) -> DataFrame:
     common.ship(lines.sparkSession)
     long = lines.filter(F.length("line") >= EXACT).select("a", "line")
     dealt = long.mapInArrow(_banded, "part int, bands binary, lines binary, sketches binary")
-    columns = "band long, a long, first long, size long, s long, t long"
-    return dealt.groupBy("part").applyInArrow(_bucketed, columns)
+    return dealt.groupBy("part").applyInArrow(_bucketed, "band long, a long, s long, t long")
 
 
 def _members(signed: DataFrame) -> DataFrame:
-    return signed.filter("band IS NOT NULL").select("band", "a", "first", "size")
+    return signed.filter("band IS NOT NULL").select("band", "a")
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(band, a, first, size): members of buckets with more than one distinct line."""
+    """(band, a): members of buckets with more than one distinct line."""
     return _members(_signed(lines))
 
 
@@ -240,11 +257,85 @@ def _others(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumnsRenamed(renamed)
 
 
-def _sketch_pairs(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Those pairs (a, other) that may be similar."""
-    sketched = sketched.select("a", "s", "t")
-    both = pairs.join(sketched, "a").join(_others(sketched), "other")
-    return both.filter(_close()).select("a", "other")
+def _by_buckets(batches, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each row's bucket begins, and the columns `names`, by bucket and line."""
+    table = pa.Table.from_batches(batches)
+    band, a = (table.column(c).to_numpy() for c in ("band", "a"))
+    order = np.lexsort((a, band))
+    band = band[order]
+    starts = np.flatnonzero(np.r_[True, band[1:] != band[:-1]][: len(band)])
+    return np.repeat(starts, np.diff(np.r_[starts, len(band)])), [table.column(c).to_numpy()[order] for c in names]
+
+
+def _sizes(start: np.ndarray) -> np.ndarray:
+    """Each row's bucket's rows."""
+    return np.bincount(start, minlength=len(start))[start]
+
+
+def _near(s: np.ndarray, t: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the sketches of rows `i` and `j` allow SIMILARITY."""
+    differ = [np.bitwise_count((x[i] ^ x[j]).view(np.uint64)) for x in (s, t)]
+    return differ[0] + differ[1] <= SKETCH_DIFFER
+
+
+def _meeting(start: np.ndarray, rows: np.ndarray, s: np.ndarray, t: np.ndarray):
+    """Pairs (i, j) of rows of one bucket whose sketches are close, `rows` and their later ones, by steps between them."""
+    end, step = start + _sizes(start), 1
+    while len(rows := rows[rows + step < end[rows]]):
+        near = _near(s, t, rows, rows + step)
+        yield rows[near], rows[near] + step
+        step += 1
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines that are close to their bucket's first; then the members that the second round needs."""
+    start, (band, a, s, t) = _by_buckets(batches, "band", "a", "s", "t")
+    size, rows = _sizes(start), np.arange(len(start))
+    close = (rows > start) & _near(s, t, rows, start)
+    pairs = np.unique(np.column_stack([a[close], a[start[close]]]), axis=0)
+    needed = size > CROWD
+    # The first is compared already.
+    for i, j in _meeting(start, np.flatnonzero((rows > start) & ~needed), s, t):
+        needed[i] = needed[j] = True
+    none = pa.nulls(len(pairs), pa.int64())
+    members = [x[needed] for x in (band, a, a[start], size, s, t)]
+    firsts = [none, *(pa.array(np.ascontiguousarray(x)) for x in pairs.T), none, none, none]
+    columns = [pa.concat_arrays([x, pa.array(y, pa.int64())]) for x, y in zip(firsts, members, strict=True)]
+    yield pa.RecordBatch.from_arrays(columns, ["band", "a", "first", "size", "s", "t"])
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, other): close pairs of a bucket's lines that have different roots."""
+    start, (a, root, s, t) = _by_buckets(batches, "a", "root", "s", "t")
+    found, size = [np.zeros((2, 0), np.int64)], 0
+
+    def batch():
+        pairs = np.unique(np.hstack(found), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in pairs], ["a", "other"])
+
+    for i, j in _meeting(start, np.arange(len(start)), s, t):
+        new = root[i] != root[j]
+        found.append(np.stack([a[i[new]], a[j[new]]]))
+        size += found[-1].shape[1]
+        if size >= PAIR_ROWS:
+            yield batch()
+            found, size = found[:1], 0
+    yield batch()
+
+
+def _in_buckets(rows: DataFrame, run, columns: str) -> DataFrame:
+    """`run` over whole buckets, PARTS groups of them."""
+    common.ship(rows.sparkSession)
+    return rows.groupBy(F.shiftright("band", 32).alias("part")).applyInArrow(run, columns)
+
+
+def _near_rows(members: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(band, a, first, size, s, t): pairs (a, first), without a band, then members that have other close ones.
+
+    Of a crowded bucket, all members.
+    """
+    both = members.join(sketched, "a").select("band", "a", "s", "t")
+    return _in_buckets(both, _compared, "band long, a long, first long, size long, s long, t long")
 
 
 def _held(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -277,17 +368,45 @@ def similar(x: set[str], y: set[str]) -> bool:
     return shared >= SIMILARITY * (len(x) + len(y) - shared)
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """The distinct hashes, sorted; np.unique takes several times as long."""
+    hashes.sort()
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    return hashes[new]
+
+
+def _verdicts(rows):
+    """Whether each pair of texts is similar: by 64-bit hashes of their shingles, near the limit by the shingles."""
+    held, size = {}, 0
+    for pair in rows:
+        for text in pair:
+            if text not in held:
+                held[text] = _distinct(_mixed(text))
+                size += len(held[text])
+        small, large = sorted((held[text] for text in pair), key=len)
+        # By so many shingles the pair is above the limit; hashes that clash by chance could move it by one or two.
+        above = len(small) - SIMILARITY * len(large)
+        if above >= -CLASHES:
+            both = np.concatenate([small, large])
+            both.sort()
+            shared = np.count_nonzero(both[1:] == both[:-1])
+            above = shared - SIMILARITY * (len(small) + len(large) - shared)
+        yield above > 0 if abs(above) > CLASHES else similar(*map(shingles, pair))
+        if size > JUDGED_HASHES:
+            held, size = {}, 0
+
+
 def _judged(stream):
     for batch in stream:
-        rows = common.records([batch], "x", "y")
-        near = pa.array([similar(shingles(x), shingles(y)) for x, y in rows], pa.bool_())
+        near = pa.array([bool(v) for v in _verdicts(common.records([batch], "x", "y"))], pa.bool_())
         names = [n for n in batch.schema.names if n not in ("x", "y")]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), near], [*names, "near"])
 
 
 def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, other, u, v): the pairs that link, with the first places of their lines."""
-    pairs = materialise(pairs, "line-pairs")
+    pairs = _settled(pairs, "line-pairs")
     ids = materialise(pairs.select(F.explode(F.array("a", "other")).alias("a")).distinct(), "line-ids")
     node = F.min(F.struct("id", "place", "a", "b")).alias("node")
     found = _held(lines, ids).groupBy("a", "b", "line").agg(node)
@@ -297,7 +416,7 @@ def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     both = pairs.join(left, "a").join(right, "other").select("a", "other", "u", "v", "x", "y")
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema.fields[:4])
     judged = both.mapInArrow(_judged, f"{out}, near boolean")
-    return materialise(judged.filter("near").drop("near"), "line-links")
+    return _settled(judged.filter("near").drop("near"), "line-links")
 
 
 def _shingled(stream):
@@ -339,18 +458,15 @@ def _crowded_pairs(crowded: DataFrame, lines: DataFrame) -> DataFrame:
     return met.filter((F.col("root") != F.col("root_o")) & sized & _close()).select("a", "other")
 
 
-def _second_pairs(members: DataFrame, first_round: DataFrame, lines: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(a, other), each pair once: what lines that failed against a bucket's first may still link to."""
-    near = first_round.select("a", F.col("other").alias("first"), F.lit(True).alias("near"))
-    judged = members.filter("size > 2").join(near, ["a", "first"], "left")
-    judged = judged.withColumn("failed", F.expr("a <> first AND near IS NULL")).drop("near")
-    judged = materialise(judged.join(_rooted(sketched, first_round), "a"), "line-judged")
-    small, crowded = judged.filter(F.col("size") <= CROWD), judged.filter(F.col("size") > CROWD)
-    # The bucket's first was compared already.
-    others = small.filter("a <> first").select("band", "a", "s", "t", "root")
-    both = small.filter("failed").select(others.columns).join(_others(others, "band"), "band")
-    within = both.filter((F.col("root") != F.col("root_o")) & _close()).select("a", "other")
-    touched = crowded.join(crowded.filter("failed").select("band").distinct(), "band", "left_semi")
+def _second_pairs(near: DataFrame, first_round: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, other), each pair once: what lines may still link to in their buckets."""
+    rooted = materialise(_rooted(near.filter("band IS NOT NULL"), first_round), "line-rooted")
+    small, crowded = rooted.filter(F.col("size") <= CROWD), rooted.filter(F.col("size") > CROWD)
+    within = _in_buckets(small.select("band", "a", "root", "s", "t"), _paired, "a long, other long")
+    # Lines of the first's root need not be compared with each other.
+    firsts = crowded.filter("a = first").select("band", F.col("root").alias("first_root"))
+    failed = crowded.join(firsts, "band").withColumn("failed", F.col("root") != F.col("first_root"))
+    touched = failed.join(failed.filter("failed").select("band").distinct(), "band", "left_semi")
     pairs = within.unionByName(_crowded_pairs(touched, lines))
     return pairs.selectExpr("least(a, other) AS a", "greatest(a, other) AS other").distinct()
 
@@ -358,11 +474,11 @@ def _second_pairs(members: DataFrame, first_round: DataFrame, lines: DataFrame,
 def removed_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, places): sorted places of the lines to remove, for documents that have some."""
     lines = lines_of(docs, id_column, text_column)
-    signed = materialise(_signed(lines), "line-buckets")
-    members, sketched = _members(signed), signed.filter("band IS NULL").select("a", "s", "t")
-    by_first = members.filter("a <> first").select("a", F.col("first").alias("other")).distinct()
-    first_round = _links(_sketch_pairs(by_first, sketched), lines)
-    second_round = _links(_second_pairs(members, first_round, lines, sketched), lines)
+    signed = _settled(_signed(lines), "line-buckets")
+    near = _settled(_near_rows(_members(signed), signed.filter("band IS NULL").select("a", "s", "t")), "line-near")
+    by_first = near.filter("band IS NULL").select("a", F.col("first").alias("other")).distinct()
+    first_round = _links(by_first, lines)
+    second_round = _links(_second_pairs(near, first_round, lines), lines)
     parts = components(first_round.unionByName(second_round).select("u", "v"))
     later = parts.filter("node <> component").select(F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.lit(True).alias("later"))
 
